@@ -65,10 +65,10 @@ def cluster_layout(df: DataFrame, cols: list[str], method: str = "range", files:
         cuts = df.approxQuantile(cols, steps, 0.001)
         ranks = []
         for c, values in zip(cols, cuts):
-            marks = sorted(set(values))
-            # the marks ascend, so the rank is the number of marks at or below the value
-            marks_col = F.array(*[F.lit(float(m)) for m in marks])
-            ranks.append(F.size(F.filter(marks_col, lambda m, c=c: m <= F.col(c).cast("double"))))
+            # a value's rank is the number of cuts at or below it
+            marks = F.array(*[F.lit(float(m)) for m in sorted(set(values))])
+            value = F.col(c).cast("double")
+            ranks.append(F.size(F.filter(marks, lambda m: m <= value)))  # noqa: B023
         by = [_interleave(ranks, bits)]
     else:
         raise ValueError(f"unknown method {method!r}")
