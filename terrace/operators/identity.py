@@ -70,7 +70,9 @@ def match_identities(records: DataFrame, rules: dict[str, Column]) -> DataFrame:
     for name, rule in rules.items():
         is_list = records.select(rule.alias("r")).schema["r"].dataType.typeName() == "array"
         values = rule if is_list else F.array(rule)
-        tagged.append(F.transform(F.coalesce(values, F.array().cast("array<string>")), lambda v, n=name: F.concat(F.lit(n + ":"), v)))
+        prefix = F.lit(f"{name}:")
+        values = F.coalesce(values, F.array().cast("array<string>"))
+        tagged.append(F.transform(values, lambda v: F.concat(prefix, v)))  # noqa: B023
     # every record also carries a key of its own, so that unlinked records keep a row
     keys = F.concat(F.array(F.concat(F.lit("self:"), item)), *tagged)
     links = records.select(item.alias("item"), F.explode(F.array_compact(keys)).alias("key"))
