@@ -1 +1,178 @@
+"""Streams over the given tables, run to the end of their input; results are opened from files."""
 
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from terrace.functions.money import cents
+from terrace.operators import audit, gold
+from terrace.queries.registry import query
+from terrace.session import scratch_path
+from terrace.sources import files
+from terrace.sources.tables import is_folder, table, table_stream
+from terrace.streaming import alerts, flows, runs
+
+
+def _ntz(df: DataFrame, *cols: str) -> DataFrame:
+    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in cols})
+
+
+def _event_stream(spark: SparkSession, sf: str) -> DataFrame:
+    return flows.event_time(table_stream(spark, sf, "events"), "ts")
+
+
+@query("SELECT event_id, ts, user_id, event_type, value, props, 'events.parquet' AS _src_file FROM events")
+def ingest_files_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Run twice with one checkpoint: the second run finds nothing new."""
+    schema = table(spark, sf, "events").schema
+    out, progress = scratch_path(spark, "bronze"), scratch_path(spark, "progress")
+    path, options = f"{sf}/events.parquet", {}
+    if not is_folder(spark, path):
+        path, options = sf, {"pathGlobFilter": "events.parquet"}
+    for _ in range(2):
+        loaded = runs.run_to_files(files.ingest_files_stream(spark, path, "parquet", schema, options), out, progress)
+    return loaded.select(*schema.fieldNames(), "_src_file")
+
+
+@query("SELECT event_id, user_id, event_type, ts FROM events")
+def dedupe_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Every event delivered twice."""
+    stream = _event_stream(spark, sf).select("event_id", "user_id", "event_type", "ts")
+    again = _event_stream(spark, sf).select("event_id", "user_id", "event_type", "ts")
+    once = flows.dedupe_stream(stream.union(again), ["event_id"], "ts", "1 hour")
+    return _ntz(runs.run_to_scratch(once, "deduped"), "ts")
+
+
+@query("""
+SELECT event_id, user_id, event_type, c_mktsegment, c_nationkey FROM events LEFT JOIN customer ON user_id = c_custkey
+""")
+def enrich_stream(spark: SparkSession, sf: str) -> DataFrame:
+    people = table(spark, sf, "customer").select(F.col("c_custkey").alias("user_id"), "c_mktsegment", "c_nationkey")
+    stream = _event_stream(spark, sf).select("event_id", "user_id", "event_type")
+    return runs.run_to_scratch(flows.enrich_stream(stream, people, ["user_id"]), "enriched")
+
+
+def _halves(log: DataFrame) -> tuple[DataFrame, DataFrame]:
+    a = log.filter("event_type = 'signup'").select("user_id", F.col("event_id").alias("signup_id"), F.col("ts").alias("signup_ts"))
+    b = log.filter("event_type = 'purchase'").select("user_id", F.col("event_id").alias("purchase_id"), F.col("ts").alias("purchase_ts"))
+    return a, b
+
+
+INTERVAL_SQL = """
+SELECT a.user_id, a.event_id AS signup_id, a.ts AS signup_ts, {missing} AS purchase_id, b.ts AS purchase_ts
+FROM (SELECT * FROM events WHERE event_type = 'signup') a {how} JOIN (SELECT * FROM events WHERE event_type = 'purchase') b
+ON a.user_id = b.user_id AND b.ts BETWEEN a.ts - INTERVAL 1 HOUR AND a.ts + INTERVAL 12 HOUR
+"""
+
+
+@query(INTERVAL_SQL.format(how="LEFT", missing="coalesce(b.event_id, -1)"))
+def join_interval(spark: SparkSession, sf: str) -> DataFrame:
+    """Batch: purchases from an hour before to twelve hours after a signup."""
+    a, b = _halves(table(spark, sf, "events"))
+    out = flows.join_streams_interval(a, b, ["user_id"], "signup_ts", "purchase_ts", -3600, 12 * 3600, "left")
+    return out.na.fill(-1, ["purchase_id"])
+
+
+@query(INTERVAL_SQL.format(how="", missing="b.event_id"))
+def join_streams_interval(spark: SparkSession, sf: str) -> DataFrame:
+    a, b = _halves(_event_stream(spark, sf))
+    a, b = a.withWatermark("signup_ts", "1 day"), b.withWatermark("purchase_ts", "1 day")
+    out = flows.join_streams_interval(a, b, ["user_id"], "signup_ts", "purchase_ts", -3600, 12 * 3600)
+    return _ntz(runs.run_to_scratch(out, "pairs"), "signup_ts", "purchase_ts")
+
+
+@query("""
+WITH mark AS (SELECT max(ts) - INTERVAL 1 DAY AS m FROM events WHERE event_type <> 'error')
+SELECT event_type, event_type = 'error' AND ts < m AS is_late, count(*) AS n FROM events, mark GROUP BY ALL
+""")
+def split_late(spark: SparkSession, sf: str) -> DataFrame:
+    """Errors arrive after everything else: those more than a day behind are set apart."""
+    source, progress = scratch_path(spark, "arrivals"), scratch_path(spark, "progress")
+    on_time, late, marks = (scratch_path(spark, p) for p in ("ontime", "late", "marks"))
+    log = table(spark, sf, "events")
+    is_error = F.col("event_type") == "error"
+    for arriving in (log.filter(~is_error), log.filter(is_error)):
+        arriving.write.mode("append").parquet(source)
+        stream = spark.readStream.schema(log.schema).parquet(source)
+        runs.run_batches(stream, flows.late_splitter("ts", 86_400, on_time, late, marks), progress)
+    both = spark.read.parquet(on_time).withColumn("is_late", F.lit(False)).unionByName(
+        spark.read.schema(log.schema).parquet(late).withColumn("is_late", F.lit(True)), allowMissingColumns=True
+    )
+    return both.groupBy("event_type", "is_late").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""
+SELECT user_id, event_id, ts, event_type, value FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1 AND event_type <> 'error'
+""")
+def current_state_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Change application from micro-batches."""
+    path, progress = scratch_path(spark, "state"), scratch_path(spark, "progress")
+    keys, seq = ["user_id"], ["ts", "event_id"]
+    stream = table_stream(spark, sf, "events").select("user_id", "event_id", "ts", "event_type", "value")
+    runs.run_batches(stream, runs.scd1_writer(path, keys, seq, F.col("event_type") == "error"), progress)
+    return runs.read_scd1(spark, path, keys, seq)
+
+
+@query("""
+SELECT event_type, count(*) AS n_rows, CAST(sum(round(value * 100)) AS BIGINT) AS total, CAST(min(round(value * 100)) AS BIGINT) AS low,
+       CAST(max(round(value * 100)) AS BIGINT) AS high FROM events GROUP BY event_type
+""")
+def refresh_aggregate_stream(spark: SparkSession, sf: str) -> DataFrame:
+    path, progress = scratch_path(spark, "partials"), scratch_path(spark, "progress")
+    writer = runs.aggregate_writer(path, ["event_type"], cents("value"), F.col("user_id"))
+    runs.run_batches(table_stream(spark, sf, "events"), writer, progress)
+    return gold.serve_partials(runs.read_aggregate(spark, path, ["event_type"])).drop("reach")
+
+
+def _complete(stream: DataFrame, label: str) -> DataFrame:
+    """Final result of an aggregate in complete mode: each micro-batch replaces the one before."""
+    spark = stream.sparkSession
+    path = scratch_path(spark, label)
+    schema = stream.schema
+
+    def replace(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+
+    runs.run_batches(stream, replace, scratch_path(spark, f"{label}-progress"), "complete")
+    return spark.read.schema(schema).parquet(path)
+
+
+@query("""
+SELECT date_trunc('day', ts) AS window_start, date_trunc('day', ts) + INTERVAL 1 DAY AS window_end, event_type, count(*) AS n
+FROM events GROUP BY ALL
+""")
+def activity_windows_stream(spark: SparkSession, sf: str) -> DataFrame:
+    counted = audit.activity_windows(_event_stream(spark, sf), "ts", "1 day", ["event_type"])
+    return _ntz(_complete(counted, "daily"), "window_start", "window_end")
+
+
+@query("SELECT user_id, event_type, min(ts) AS first_seen FROM events GROUP BY ALL")
+def first_seen_stream(spark: SparkSession, sf: str) -> DataFrame:
+    found = audit.first_seen(_event_stream(spark, sf), ["user_id", "event_type"], "ts")
+    return _ntz(_complete(found, "first"), "first_seen")
+
+
+@query("""
+WITH m AS (SELECT user_id, ts, CASE WHEN ts > lag(ts) OVER w + INTERVAL 6 HOUR OR lag(ts) OVER w IS NULL THEN 1 ELSE 0 END AS s
+  FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+n AS (SELECT user_id, ts, sum(s) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS no FROM m)
+SELECT user_id, min(ts) AS started, max(ts) + INTERVAL 6 HOUR AS ended, count(*) AS n FROM n GROUP BY user_id, no
+""")
+def session_windows_stream(spark: SparkSession, sf: str) -> DataFrame:
+    found = audit.session_windows(_event_stream(spark, sf), "ts", "6 hours", ["user_id"])
+    return _ntz(_complete(found, "sessions"), "started", "ended")
+
+
+@query("""
+WITH e AS (SELECT user_id, ts, event_id, count(*) OVER (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL 36 HOUR PRECEDING AND CURRENT ROW) >= 3 AS burst
+           FROM events WHERE event_type = 'error'),
+f AS (SELECT *, coalesce(lag(burst) OVER (PARTITION BY user_id ORDER BY ts, event_id), false) AS before FROM e)
+SELECT user_id, ts AS alert_at FROM f WHERE burst AND NOT before
+""")
+def alert_stream(spark: SparkSession, sf: str) -> DataFrame:
+    found = alerts.alert_stream(
+        _event_stream(spark, sf), "ts", F.col("event_type") == "error", 3, 36 * 3600, ["user_id"], "1 hour"
+    )
+    return _ntz(runs.run_to_scratch(found, "alerts"), "alert_at")
