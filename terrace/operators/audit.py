@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from terrace.functions.times import day_of, micros, time_slot
-from terrace.plans.chunks import HOT_ROWS, last_known, neighbour, running_total
+from terrace.plans.chunks import HOT_ROWS, last_known, neighbour, running_total, tag_chunks, untag
 from terrace.plans.joins import null_safe_join
 
 BAD = "_bad_payload"
@@ -48,11 +48,11 @@ def sessionize(
     """
     slot = day_of(time) if chunk is None else chunk
     order = [time, tie]
-    rows = neighbour(df, keys, order, {"__last": F.col(time)}, slot, False, hot_rows)
+    rows = neighbour(tag_chunks(df, keys, slot, hot_rows), keys, order, {"__last": F.col(time)})
     pause = micros(time) - micros("__last")
     starts = F.when(F.col("__last").isNull() | (pause > gap_seconds * 1_000_000), 1).otherwise(0)
     rows = rows.withColumn("__new", starts.cast("bigint")).drop("__last")
-    return running_total(rows, keys, order, F.col("__new"), "session_no", slot, hot_rows).drop("__new")
+    return untag(running_total(rows, keys, order, F.col("__new"), "session_no")).drop("__new")
 
 
 def session_totals(sessions: DataFrame, time: str, keys: list[str]) -> DataFrame:
@@ -133,7 +133,8 @@ def distribution(
         return wide.select(*keys, F.explode(pairs).alias("p")).select(*keys, "p.q", "p.value")
     counts = df.filter(F.col(col).isNotNull()).groupBy(*keys, col).agg(F.count(F.lit(1)).alias("__n"))
     slot = F.floor(F.col(col)) if chunk is None else chunk
-    walked = running_total(counts, keys, [col], F.col("__n"), "__upto", slot, hot_rows)
+    walked = running_total(tag_chunks(counts, keys, slot, hot_rows), keys, [col], F.col("__n"), "__upto")
+    walked = untag(walked)
     totals = df.filter(F.col(col).isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("__total"))
     wanted = totals.withColumn("q", F.explode(F.array(*[F.lit(float(q)) for q in qs])))
     pos = F.col("q") * (F.col("__total") - 1)
@@ -146,8 +147,7 @@ def distribution(
     def holds(rank: str) -> Column:
         return (start <= F.col(rank)) & (F.col(rank) < F.col("__upto"))
 
-    hit = null_safe_join(walked, wanted, keys) if keys else walked.join(wanted, holds("__lo") | holds("__hi"))
-    hit = hit.filter(holds("__lo") | holds("__hi"))
+    hit = null_safe_join(walked, wanted, keys).filter(holds("__lo") | holds("__hi"))
     ends = hit.groupBy(*keys, "q").agg(
         F.max("__pos").alias("p"), F.max("__lo").alias("lo"),
         F.min(F.when(holds("__lo"), F.col(col))).alias("a"), F.max(F.when(holds("__hi"), F.col(col))).alias("b"),
@@ -176,7 +176,8 @@ def verify_access(
         F.lit(None).cast(uses.schema["__row"].dataType).alias("__row"), grant.alias("__grant"),
     )
     slot = day_of("__t") if chunk is None else chunk
-    merged = last_known(uses.unionByName(opens), keys, ["__t", "__kind"], F.col("__grant"), "__g", slot, hot_rows)
+    both = tag_chunks(uses.unionByName(opens), keys, slot, hot_rows)
+    merged = last_known(both, keys, ["__t", "__kind"], F.col("__grant"), "__g")
     valid = F.col("__g.valid_to").isNull() | (F.col("__t") < F.col("__g.valid_to"))
     allowed = F.coalesce(F.col("__g").isNotNull() & valid, F.lit(False))
     return merged.filter("__kind = 1").select(
@@ -202,7 +203,8 @@ def fill_gaps(df: DataFrame, time: str, keys: list[str], start: Column | None =
     low = counted.agg(F.min("day")).scalar() if start is None else start
     high = counted.agg(F.max("day")).scalar() if end is None else end
     days = F.sequence(low.cast("date"), high.cast("date"))
-    calendar = counted.select(*keys).distinct().select(*keys, F.explode(days).cast("timestamp_ntz").alias("day"))
+    calendar = counted.select(*keys).distinct().select(*keys, F.explode(days).alias("day"))
+    calendar = calendar.withColumn("day", F.col("day").cast("timestamp_ntz"))
     return null_safe_join(calendar, counted, [*keys, "day"], "left").na.fill(0, ["n"])
 
 

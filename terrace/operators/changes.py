@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrace.operators.refine import dedupe_latest
-from terrace.plans.chunks import HOT_ROWS, neighbour
+from terrace.plans.chunks import CHUNK, HOT_ROWS, neighbour, tag_chunks
 from terrace.plans.joins import null_safe_join
 
 GONE = "_deleted"
@@ -46,18 +46,19 @@ def history_from_changes(
     ``chunk`` follows ``seq[0]`` (see ``terrace.plans.chunks``).
     """
     when = seq[0]
-    rows = changes.select(*keys, *track, *seq, F.coalesce(delete_when, F.lit(False)).alias(GONE), chunk.alias("__slot"))
-    # one row per instant: the highest tie-breaker wins, cut map-side before the shuffle
-    rows = dedupe_latest(rows, [*keys, when], [*[F.col(s).desc() for s in seq[1:]], F.col(GONE).asc()])
-    slot = F.col("__slot")
+    rows = changes.select(*keys, *track, *seq, F.coalesce(delete_when, F.lit(False)).alias(GONE))
+    rows = tag_chunks(rows, keys, chunk, hot_rows)
+    # one row per instant: rows of an instant share a chunk, so its last row has another instant next
+    rank = Window.partitionBy(*keys, CHUNK).orderBy(when, *seq[1:], F.col(GONE).desc())
+    rows = rows.withColumn("__next", F.lead(when).over(rank))
+    rows = rows.filter(F.col("__next").isNull() | (F.col("__next") != F.col(when))).drop("__next")
     was = {f"__p_{c}": F.col(c) for c in track}
-    rows = neighbour(rows, keys, [when], {**was, "__p_gone": F.col(GONE)}, slot, False, hot_rows)
-    first = F.col("__p_gone").isNull()
+    rows = neighbour(rows, keys, [when], {**was, "__p_gone": F.col(GONE)})
     same = F.col(GONE) == F.col("__p_gone")
     for c in track:
         same = same & (F.col(GONE) | F.col(c).eqNullSafe(F.col(f"__p_{c}")))
-    starts = rows.filter(first | ~same).drop(*was, "__p_gone")
-    closed = neighbour(starts, keys, [when], {"valid_to": F.col(when)}, slot, True, hot_rows)
+    starts = rows.filter(F.col("__p_gone").isNull() | ~same).drop(*was, "__p_gone")
+    closed = neighbour(starts, keys, [when], {"valid_to": F.col(when)}, forward=True)
     return closed.filter(~F.col(GONE)).select(
         *keys, *track, *seq[1:], F.col(when).alias("valid_from"), "valid_to"
     )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from terrace.functions.times import day_of
 from terrace.operators.gold import gold_aggregate
-from terrace.plans.chunks import HOT_ROWS, running_total
+from terrace.plans.chunks import HOT_ROWS, running_total, tag_chunks, untag
 from terrace.plans.joins import all_of
 
 UNALLOCATED = "unallocated"
@@ -92,7 +92,8 @@ def allocate_shared(pools: DataFrame, drivers: DataFrame, slots: int = 1024, hot
     partly = placed.filter((F.col("__quota") > 0) & (F.col("__quota") < F.col("__k")))
     partly = partly.withColumn("__down", -F.col("__rem")).withColumn("__tie", F.md5(F.col("id").cast("string")))
     chunk = F.struct(F.col("__down"), F.substring("__tie", 1, 2))
-    ranked = running_total(partly, ["pool"], ["__down", "__tie", "id"], F.lit(1).cast("bigint"), "__rank", chunk, hot_rows)
+    partly = tag_chunks(partly, ["pool"], chunk, hot_rows)
+    ranked = running_total(partly, ["pool"], ["__down", "__tie", "id"], F.lit(1).cast("bigint"), "__rank")
     ranked = ranked.withColumn("__extra", (F.col("__rank") <= F.col("__quota")).cast("bigint"))
     final = [*drivers.columns, (F.col("__sign") * (F.col("__share") + F.col("__extra"))).alias("cents")]
     return whole.select(*final).unionByName(ranked.select(*final))
@@ -109,7 +110,7 @@ def budget_burn(
 ) -> DataFrame:
     """Costs with the running ``spent_cents`` and ``breached`` against ``budgets(key, budget_cents)``."""
     slot = day_of(order[0]) if chunk is None else chunk
-    spent = running_total(costs, [key], order, F.col(cents), "spent_cents", slot, hot_rows)
+    spent = untag(running_total(tag_chunks(costs, [key], slot, hot_rows), [key], order, F.col(cents), "spent_cents"))
     return spent.join(budgets.select(key, "budget_cents"), key, "left").withColumn(
         "breached", F.coalesce(F.col("spent_cents") > F.col("budget_cents"), F.lit(False))
     )

@@ -1,119 +1,87 @@
 """Ordered look-back and look-ahead per key that survives a key holding a third of the rows.
 
-A plain ``Window.partitionBy(key)`` sorts a whole key in one task. Here the rows of a hot
-key are cut into chunks along the leading order column: the window runs per
-``(key, chunk)``, one summary row per chunk is reduced map-side, a second window runs over
-those summaries only, and its result is joined back. Cold keys form one chunk, so they
-take the plain path and add no summary rows.
-
-``chunk`` must never decrease along the order. Rows are hot when their key has more than
-``hot_rows`` of them, so at most ``rows / hot_rows`` keys are ever listed as hot, which
-bounds the broadcast; ``hot_rows=0`` cuts every key and lists none.
+A plain ``Window.partitionBy(key)`` sorts a whole key in one task. Here the rows of a hot key
+are cut into chunks along the leading order column: the window runs per ``(key, chunk)``, one
+summary row per chunk is reduced map-side, a second window runs over those summaries only, and
+its result is joined back on ``(key, chunk)``, the partitioning the rows already have.
+
+Cold keys form one chunk (NULL) and take the plain path. When no key is hot, AQE sees the empty
+list of hot keys and drops the summary branch, its scan and the join. Several steps over one
+tagged frame share one shuffle and one count of the keys.
+
+``chunk`` must never decrease along the order and may not be NULL. A key is hot when it has more
+than ``hot_rows`` rows, so at most ``rows / hot_rows`` keys are listed, which bounds the
+broadcast. ``hot_rows=0`` cuts every key. Rows with a NULL key are one group and are not cut.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from terrace.plans.joins import null_safe_join
-
 HOT_ROWS = 5_000_000
 CHUNK = "__chunk"
 
 
+def _matched(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+    """Left join; NULLs match nothing. Plain equality lets Spark keep the partitioning of ``left``."""
+    renamed = right.withColumnsRenamed({k: f"__m_{k}" for k in on})
+    same = reduce(Column.__and__, [F.col(k) == F.col(f"__m_{k}") for k in on])
+    return left.join(renamed, same, "left").drop(*[f"__m_{k}" for k in on])
+
+
 def tag_chunks(df: DataFrame, keys: list[str], chunk: Column, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Add the chunk column: ``chunk`` for rows of hot keys, NULL for all others."""
     if hot_rows <= 0:
         return df.withColumn(CHUNK, chunk)
-    hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    hot = hot.filter(F.col("__n") > hot_rows).select(*keys, F.lit(True).alias("__hot"))
-    tagged = null_safe_join(df, F.broadcast(hot), keys, "left")
-    return tagged.withColumn(CHUNK, F.when(F.col("__hot"), chunk)).drop("__hot")
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    hot = counted.filter(F.col("__n") > hot_rows).select(*keys, F.lit(True).alias("__hot"))
+    return _matched(df, F.broadcast(hot), keys).withColumn(CHUNK, F.when(F.col("__hot"), chunk)).drop("__hot")
+
+
+def untag(tagged: DataFrame) -> DataFrame:
+    return tagged.drop(CHUNK)
 
 
-def _carried(tagged: DataFrame, keys: list[str], summaries: list[Column], carry: dict[str, Column]) -> DataFrame:
-    """Reduce each chunk to one row, evaluate ``carry`` over the chunks of a key, join back."""
-    chunks = tagged.filter(F.col(CHUNK).isNotNull()).groupBy(*keys, CHUNK).agg(*summaries)
-    over = chunks.select(*keys, CHUNK, *[c.alias(n) for n, c in carry.items()])
-    return null_safe_join(tagged, over, [*keys, CHUNK], "left")
+def _within(keys: list[str], order: list[str]) -> Window:
+    return Window.partitionBy(*keys, CHUNK).orderBy(*order)
 
 
 def _along(keys: list[str]) -> Window:
     return Window.partitionBy(*keys).orderBy(CHUNK)
 
 
-def neighbour(
-    df: DataFrame,
-    keys: list[str],
-    order: list[str],
-    values: dict[str, Column],
-    chunk: Column,
-    forward: bool = False,
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
+def _carried(tagged: DataFrame, source: DataFrame, keys: list[str], summary: Column, carry: Column, name: str) -> DataFrame:
+    """Reduce each chunk of a hot key to ``__edge``, evaluate ``carry`` over the chunks, join it back."""
+    chunks = source.filter(F.col(CHUNK).isNotNull()).groupBy(*keys, CHUNK).agg(summary.alias("__edge"))
+    return _matched(tagged, chunks.select(*keys, CHUNK, carry.alias(name)), [*keys, CHUNK])
+
+
+def neighbour(tagged: DataFrame, keys: list[str], order: list[str], values: dict[str, Column], forward: bool = False) -> DataFrame:
     """``lag(1)`` (or ``lead(1)`` when ``forward``) of ``values`` along an ascending total order."""
-    tagged = tag_chunks(df, keys, chunk, hot_rows)
     row = F.struct(*[c.alias(n) for n, c in values.items()])
-    within = Window.partitionBy(*keys, CHUNK).orderBy(*order)
     edge, step = (F.min_by, F.lead) if forward else (F.max_by, F.lag)
-    tagged = tagged.withColumn("__near", step(row, 1).over(within))
-    out = _carried(
-        tagged,
-        keys,
-        [edge(row, F.struct(*order)).alias("__edge")],
-        {"__far": step("__edge", 1).over(_along(keys))},
-    )
-    found = F.coalesce("__near", "__far")
-    out = out.withColumn("__found", found)
-    return out.select(*df.columns, *[F.col("__found")[n].alias(n) for n in values])
-
-
-def running_total(
-    df: DataFrame,
-    keys: list[str],
-    order: list[str],
-    value: Column,
-    out_name: str,
-    chunk: Column,
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
+    out = tagged.withColumn("__near", step(row, 1).over(_within(keys, order)))
+    out = _carried(out, tagged, keys, edge(row, F.struct(*order)), step("__edge", 1).over(_along(keys)), "__far")
+    out = out.withColumn("__found", F.coalesce("__near", "__far"))
+    return out.select(*tagged.columns, *[F.col("__found")[n].alias(n) for n in values])
+
+
+def running_total(tagged: DataFrame, keys: list[str], order: list[str], value: Column, out_name: str) -> DataFrame:
     """Inclusive running sum of an integer value along an ascending total order."""
-    tagged = tag_chunks(df, keys, chunk, hot_rows)
-    within = Window.partitionBy(*keys, CHUNK).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    tagged = tagged.withColumn("__here", F.sum(value).over(within))
-    out = _carried(
-        tagged,
-        keys,
-        [F.sum(value).alias("__sum")],
-        {"__before": F.sum("__sum").over(_along(keys).rowsBetween(Window.unboundedPreceding, -1))},
-    )
+    here = F.sum(value).over(_within(keys, order).rowsBetween(Window.unboundedPreceding, 0))
+    before = F.sum("__edge").over(_along(keys).rowsBetween(Window.unboundedPreceding, -1))
+    out = _carried(tagged.withColumn("__here", here), tagged, keys, F.sum(value), before, "__before")
     total = F.coalesce("__here", F.lit(0)) + F.coalesce("__before", F.lit(0))
-    return out.select(*df.columns, total.alias(out_name))
-
-
-def last_known(
-    df: DataFrame,
-    keys: list[str],
-    order: list[str],
-    value: Column,
-    out_name: str,
-    chunk: Column,
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
+    return out.select(*tagged.columns, total.alias(out_name))
+
+
+def last_known(tagged: DataFrame, keys: list[str], order: list[str], value: Column, out_name: str) -> DataFrame:
     """Latest non-NULL ``value`` at or before each row along an ascending total order."""
-    tagged = tag_chunks(df, keys, chunk, hot_rows).withColumn("__val", value)
-    back = Window.partitionBy(*keys, CHUNK).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    tagged = tagged.withColumn("__here", F.last("__val", ignorenulls=True).over(back))
-    when_set = F.when(F.col("__val").isNotNull(), F.struct(*order))
-    out = _carried(
-        tagged,
-        keys,
-        [F.max_by("__val", when_set).alias("__edge")],
-        {
-            "__before": F.last("__edge", ignorenulls=True).over(
-                _along(keys).rowsBetween(Window.unboundedPreceding, -1)
-            )
-        },
-    )
-    return out.select(*df.columns, F.coalesce("__here", "__before").alias(out_name))
+    here = F.last(value, ignorenulls=True).over(_within(keys, order).rowsBetween(Window.unboundedPreceding, 0))
+    latest = F.max_by(value, F.when(value.isNotNull(), F.struct(*order)))
+    before = F.last("__edge", ignorenulls=True).over(_along(keys).rowsBetween(Window.unboundedPreceding, -1))
+    out = _carried(tagged.withColumn("__here", here), tagged, keys, latest, before, "__before")
+    return out.select(*tagged.columns, F.coalesce("__here", "__before").alias(out_name))

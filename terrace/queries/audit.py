@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from terrace.operators import audit, changes
 from terrace.functions.times import day_of
+from terrace.operators import audit, changes
 from terrace.queries.registry import query
+from terrace.session import write_through
 from terrace.sources.tables import table
 
 
@@ -154,6 +155,7 @@ def verify_access(spark: SparkSession, sf: str) -> DataFrame:
     held = changes.apply_changes_scd2(
         None, changed, ["user_id"], ["ts", "event_id"], F.col("event_type") == "error", ["event_type"], day_of("ts")
     )
+    held = write_through(held, "grants")  # the history is a stored table
     uses = log.filter("event_type = 'purchase'").select("event_id", "user_id", "ts")
     return audit.verify_access(uses, held, ["user_id"], "ts").drop("granted_at")
 

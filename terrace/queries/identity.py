@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrace.functions.patterns import SENSITIVE
+from terrace.functions.times import in_year
 from terrace.operators import identity
 from terrace.queries.inputs import MEMBERSHIPS_SQL, custom_of_year, custom_of_year_sql, memberships
 from terrace.queries.registry import query
@@ -45,7 +46,7 @@ def membership_plan(spark: SparkSession, sf: str) -> DataFrame:
     orders = table(spark, sf, "orders")
 
     def of(year: int) -> DataFrame:
-        rows = orders.filter(F.year("o_orderdate") == year)
+        rows = orders.filter(in_year("o_orderdate", year))
         return rows.select(F.col("o_custkey").alias("member"), F.col("o_orderpriority").alias("group"))
 
     return identity.membership_plan(of(1999), of(1998))
@@ -98,7 +99,7 @@ FROM orders LEFT JOIN u ON o_custkey = custkey WHERE year(o_orderdate) = 1998 AN
 """)
 def orphaned_access(spark: SparkSession, sf: str) -> DataFrame:
     """Access granted in 1998 that users of 1999 no longer back."""
-    granted = table(spark, sf, "orders").filter(F.year("o_orderdate") == 1998).select(
+    granted = table(spark, sf, "orders").filter(in_year("o_orderdate", 1998)).select(
         F.col("o_custkey").alias("principal"), F.col("o_orderpriority").alias("object_id")
     )
     users = _directory(spark, sf, 1999).select(F.col("custkey").alias("principal"), "active")
@@ -124,7 +125,7 @@ def config_drift(spark: SparkSession, sf: str) -> DataFrame:
     line, part = table(spark, sf, "lineitem"), table(spark, sf, "part")
 
     def settings(year: int) -> DataFrame:
-        rows = line.filter(F.year("l_shipdate") == year).join(part, F.col("l_partkey") == F.col("p_partkey"))
+        rows = line.filter(in_year("l_shipdate", year)).join(part, F.col("l_partkey") == F.col("p_partkey"))
         return rows.groupBy(
             F.col("p_type").alias("env"), F.concat(F.lit("s"), "l_suppkey").alias("resource"), F.col("p_brand").alias("key")
         ).agg(F.max("p_size").cast("string").alias("value"))

@@ -6,12 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrace.functions.money import cents
+from terrace.functions.times import in_year
 from terrace.sources.tables import table
 
 
 def custom_of_year(spark: SparkSession, sf: str, year: int) -> DataFrame:
     """Snapshot of the customers of one year: number of orders and highest priority."""
-    orders = table(spark, sf, "orders").filter(F.year("o_orderdate") == year)
+    orders = table(spark, sf, "orders").filter(in_year("o_orderdate", year))
     return orders.groupBy(F.col("o_custkey").alias("custkey")).agg(
         F.count(F.lit(1)).alias("n_orders"), F.min("o_orderpriority").alias("priority")
     )
