@@ -13,6 +13,10 @@ def cents(amount: str | Column) -> Column:
 
 
 def discounted(price: str, discount: str) -> Column:
-    """price * (1 - discount) as an exact decimal."""
-    one = F.lit(1).cast("decimal(18,2)")
-    return F.col(price).cast("decimal(18,2)") * (one - F.col(discount).cast("decimal(18,2)"))
+    """price * (1 - discount) in units of 1/10,000, exact for two-digit inputs."""
+    return cents(price) * (F.lit(100) - cents(discount))
+
+
+def from_units(total: Column) -> Column:
+    """Sum of :func:`discounted` units as an amount; the sum is a decimal, so it cannot overflow."""
+    return (F.sum(total.cast("decimal(20,0)")) / 10_000).cast("double")

@@ -44,14 +44,14 @@ def row_filter(df: DataFrame, policies: list[RowPolicy], principal: str, max_val
     for policy in policies:
         if policy.mapping is None:
             if principal in policy.principals:
-                literal.append(F.coalesce(policy.predicate, F.lit(False)))
+                literal.append(policy.predicate)
             continue
         values = policy.mapping.filter((F.col("principal") == principal) & F.col("value").isNotNull())
         listed = [r[0] for r in values.select("value").distinct().limit(max_values + 1).collect()]
         if len(listed) > max_values:
             joined.append(policy)
         elif listed:
-            literal.append(F.coalesce(F.col(policy.column).isin(listed), F.lit(False)))
+            literal.append(F.col(policy.column).isin(listed))
     if not joined:
         return df.filter(any_of(literal))
     seen = any_of(literal)

@@ -19,8 +19,8 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str
 
 
 def all_of(conditions: list[Column]) -> Column:
-    return reduce(Column.__and__, conditions, F.lit(True))
+    return reduce(Column.__and__, conditions) if conditions else F.lit(True)
 
 
 def any_of(conditions: list[Column]) -> Column:
-    return reduce(Column.__or__, conditions, F.lit(False))
+    return reduce(Column.__or__, conditions) if conditions else F.lit(False)

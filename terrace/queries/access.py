@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrace.functions import masks
-from terrace.functions.money import discounted
+from terrace.functions.money import from_units
 from terrace.functions.patterns import SENSITIVE
-from terrace.operators import access, gold, protection, refine
+from terrace.operators import access, gold, protection
 from terrace.queries.inputs import ACCESS_LOG_SQL, MEMBERSHIPS_SQL, access_log, memberships
+from terrace.queries.ingest import order_revenue
 from terrace.queries.registry import query
 from terrace.sources.tables import table
 
@@ -230,16 +231,15 @@ WHERE r_name = 'ASIA' AND l_quantity > 0 GROUP BY ALL
 """)
 def secured_revenue(spark: SparkSession, sf: str) -> DataFrame:
     """The serving table an analyst of one region gets: secured customers, clean line items, star join."""
-    line = refine.expect(table(spark, sf, "lineitem"), {"positive_quantity": F.col("l_quantity") > 0}, "drop")
     people = secured_customers(spark, sf).select("c_custkey", "c_nationkey", "c_mktsegment", F.col("c_acctbal").alias("balance_class"))
     orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
-    # the few visible customers restrict the orders, these the line items
     visible = orders.join(people, F.col("o_custkey") == F.col("c_custkey"))
-    rows = line.join(visible, F.col("l_orderkey") == F.col("o_orderkey"))
-    star = gold.conform_star(rows, {"n": (table(spark, sf, "nation").select("n_nationkey", "n_name"), "c_nationkey", "n_nationkey")})
-    dims = ["n_name", "c_mktsegment", "balance_class"]
-    per_order = gold.gold_aggregate(star, [*dims, "l_orderkey"], {"r": F.sum(discounted("l_extendedprice", "l_discount"))})
-    return gold.gold_aggregate(per_order, dims, {"n_orders": F.count(F.lit(1)), "revenue": F.sum("r").cast("double")})
+    rows = order_revenue(spark, sf).join(visible, F.col("l_orderkey") == F.col("o_orderkey"))
+    nations = table(spark, sf, "nation").select("n_nationkey", "n_name")
+    star = gold.conform_star(rows, {"nation": (nations, "c_nationkey", "n_nationkey")})
+    return gold.gold_aggregate(
+        star, ["n_name", "c_mktsegment", "balance_class"], {"n_orders": F.count(F.lit(1)), "revenue": from_units(F.col("units"))}
+    )
 
 
 def _keyring(spark: SparkSession, sf: str, versions: int) -> DataFrame:

@@ -28,20 +28,20 @@ def price_usage(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def attributed(spark: SparkSession, sf: str) -> DataFrame:
-    """Urgent and high orders have owners by tag; workspaces with a supplier are owned by the first."""
+    """Urgent and high orders are owned by tag, workspaces outside AFRICA by their nation."""
     priorities = table(spark, sf, "orders").select(F.col("o_orderpriority").alias("tag")).distinct()
     rules = priorities.filter(F.col("tag") < "3").select("tag", F.concat(F.lit("team "), "tag").alias("owner"))
-    owners = table(spark, sf, "supplier").groupBy(F.col("s_nationkey").alias("workspace")).agg(F.min("s_name").alias("owner"))
-    # nations without a wealthy supplier stay without an owner
-    rich = table(spark, sf, "supplier").filter("s_acctbal > 5000").select(F.col("s_nationkey").alias("workspace")).distinct()
-    return cost.attribute_cost(priced(spark, sf), rules, owners.join(rich, "workspace", "left_semi"))
+    nations, regions = table(spark, sf, "nation"), table(spark, sf, "region").filter("r_name <> 'AFRICA'")
+    owners = nations.join(regions, F.col("n_regionkey") == F.col("r_regionkey"))
+    owners = owners.select(F.col("n_nationkey").alias("workspace"), F.col("n_name").alias("owner"))
+    return cost.attribute_cost(priced(spark, sf), rules, owners)
 
 
 ATTRIBUTED_SQL = f"""
 SELECT u.*, coalesce(CASE WHEN tag < '3' THEN 'team ' || tag END, o.owner, 'unallocated') AS owner,
        CASE WHEN tag < '3' THEN 'tag' WHEN o.owner IS NOT NULL THEN 'workspace' ELSE 'none' END AS owner_by
 FROM ({priced_usage_sql()}) u LEFT JOIN (
-  SELECT s_nationkey, min(s_name) AS owner FROM supplier GROUP BY s_nationkey HAVING max(s_acctbal) > 5000) o ON workspace = s_nationkey
+  SELECT n_nationkey, n_name AS owner FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_name <> 'AFRICA') o ON workspace = n_nationkey
 """
 
 

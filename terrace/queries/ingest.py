@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from terrace.functions.money import cents, discounted
+from terrace.functions.money import cents, discounted, from_units
 from terrace.functions.times import day_of
 from terrace.operators import changes, gold, layout, refine, snapshots
 from terrace.queries.inputs import custom_of_year, custom_of_year_sql
@@ -16,21 +16,10 @@ from terrace.sources.files import ingest_files, split_corrupt as split
 from terrace.sources.tables import table
 
 
-def star(spark: SparkSession, sf: str) -> DataFrame:
-    """Clean line items joined to their order, customer, nation and region."""
-    line = table(spark, sf, "lineitem")
-    line = refine.expect(line, {"positive_quantity": F.col("l_quantity") > 0}, "drop")
-    return gold.conform_star(
-        line,
-        {
-            "orders": (table(spark, sf, "orders").select("o_orderkey", "o_custkey"), "l_orderkey", "o_orderkey"),
-            "customer": (
-                table(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_mktsegment"), "o_custkey", "c_custkey",
-            ),
-            "nation": (table(spark, sf, "nation"), "c_nationkey", "n_nationkey"),
-            "region": (table(spark, sf, "region"), "n_regionkey", "r_regionkey"),
-        },
-    )
+def order_revenue(spark: SparkSession, sf: str) -> DataFrame:
+    """Clean line items reduced to one row per order, before any join."""
+    line = refine.expect(table(spark, sf, "lineitem"), {"positive_quantity": F.col("l_quantity") > 0}, "drop")
+    return gold.gold_aggregate(line, ["l_orderkey"], {"units": F.sum(discounted("l_extendedprice", "l_discount"))})
 
 
 @query("""
@@ -42,14 +31,18 @@ WHERE l_quantity > 0 GROUP BY ALL
 """)
 def revenue_by_region(spark: SparkSession, sf: str) -> DataFrame:
     """Medallion build end to end: clean line items, star join, serving table."""
-    # an order has one customer: summing per order first makes the distinct count a plain count
-    per_order = gold.gold_aggregate(
-        star(spark, sf), ["r_name", "n_name", "c_mktsegment", "l_orderkey"],
-        {"r": F.sum(discounted("l_extendedprice", "l_discount"))},
+    people = table(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    star = gold.conform_star(
+        order_revenue(spark, sf),
+        {
+            "orders": (table(spark, sf, "orders").select("o_orderkey", "o_custkey"), "l_orderkey", "o_orderkey"),
+            "customer": (people, "o_custkey", "c_custkey"),
+            "nation": (table(spark, sf, "nation"), "c_nationkey", "n_nationkey"),
+            "region": (table(spark, sf, "region"), "n_regionkey", "r_regionkey"),
+        },
     )
     return gold.gold_aggregate(
-        per_order, ["r_name", "n_name", "c_mktsegment"],
-        {"n_orders": F.count(F.lit(1)), "revenue": F.sum("r").cast("double")},
+        star, ["r_name", "n_name", "c_mktsegment"], {"n_orders": F.count(F.lit(1)), "revenue": from_units(F.col("units"))}
     )
 
 
