@@ -113,7 +113,7 @@ def ipv4_number(address: str | Column) -> Column:
     """Dotted quad as a number; NULL when it is not an address."""
     c = F.col(address) if isinstance(address, str) else address
     parts = F.split(c, r"\.")
-    octets = [parts[i].try_cast("bigint") for i in range(4)]
+    octets = [F.get(parts, F.lit(i)).try_cast("bigint") for i in range(4)]
     number = octets[0] * 2**24 + octets[1] * 2**16 + octets[2] * 2**8 + octets[3]
     legal = (F.size(parts) == 4) & (F.greatest(*octets) < 256) & (F.least(*octets) >= 0)
     return F.when(legal, number)

@@ -35,7 +35,8 @@ def _matched(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
 def tag_chunks(df: DataFrame, keys: list[str], chunk: Column, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Add the chunk column: ``chunk`` for rows of hot keys, NULL for all others."""
     if hot_rows <= 0:
-        return df.withColumn(CHUNK, chunk)
+        known = reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
+        return df.withColumn(CHUNK, F.when(known, chunk))
     counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
     hot = counted.filter(F.col("__n") > hot_rows).select(*keys, F.lit(True).alias("__hot"))
     return _matched(df, F.broadcast(hot), keys).withColumn(CHUNK, F.when(F.col("__hot"), chunk)).drop("__hot")
