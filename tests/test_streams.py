@@ -1,0 +1,139 @@
+"""The same input as stream and as batch; late, repeated and replayed rows."""
+
+import time
+
+import pytest
+from pyspark.sql import functions as F
+
+from terrace.functions.money import cents
+from terrace.operators import audit, gold
+from terrace.operators.changes import apply_changes_scd1
+from terrace.session import scratch_path
+from terrace.sources.files import ingest_files_stream
+from terrace.streaming import alerts, flows, runs
+from tests.helpers import bag, ts
+
+
+@pytest.fixture(scope="module")
+def slices(spark, sf):
+    """Events in four files, oldest first, with distinct modification times."""
+    path = scratch_path(spark, "slices")
+    events = spark.read.parquet(f"{sf}/events.parquet")
+    for i in range(4):
+        part = events.filter(F.floor(F.col("event_id") / 250) == i)
+        part.coalesce(1).write.mode("append").parquet(path)
+        time.sleep(1.1)
+    return path, events
+
+
+def stream_of(spark, slices):
+    path, events = slices
+    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def test_each_file_once_per_checkpoint(spark):
+    path, out, progress = (scratch_path(spark, p) for p in ("in", "out", "progress"))
+    df = spark.createDataFrame([(1,), (2,)], "id bigint")
+
+    def run():
+        return runs.run_to_files(ingest_files_stream(spark, path, "json", df.schema), out, progress)
+
+    df.write.mode("append").json(path)
+    assert run().count() == 2
+    assert run().count() == 2
+    df.write.mode("append").json(path)
+    assert bag(run(), "id") == {(1,): 2, (2,): 2}
+
+
+def test_state_from_micro_batches(spark, slices):
+    path, progress = scratch_path(spark, "state"), scratch_path(spark, "progress")
+    keys, seq, gone = ["user_id"], ["ts", "event_id"], F.col("event_type") == "error"
+    handle = runs.scd1_writer(path, keys, seq, gone)
+    runs.run_batches(stream_of(spark, slices), handle, progress)
+    want = bag(apply_changes_scd1(None, slices[1], keys, seq, gone))
+    assert bag(runs.read_scd1(spark, path, keys, seq), *slices[1].columns) == want
+    # a batch that is delivered again replaces itself
+    handle(slices[1].filter("event_id >= 750"), 3)
+    assert bag(runs.read_scd1(spark, path, keys, seq), *slices[1].columns) == want
+
+
+def test_partials_from_micro_batches(spark, slices):
+    path, progress = scratch_path(spark, "partials"), scratch_path(spark, "progress")
+    runs.run_batches(stream_of(spark, slices), runs.aggregate_writer(path, ["event_type"], cents("value"), F.col("user_id")), progress)
+    cols = ["event_type", "n_rows", "total", "low", "high"]
+    want = bag(gold.partial_aggregate(slices[1], ["event_type"], cents("value"), F.col("user_id")), *cols)
+    assert bag(runs.read_aggregate(spark, path, ["event_type"]), *cols) == want
+
+
+def test_windows_in_append_mode_match_batch_up_to_the_open_day(spark, slices):
+    stream = flows.event_time(stream_of(spark, slices), "ts")
+    out = runs.run_to_scratch(audit.activity_windows(stream, "ts", "1 day", ["event_type"], watermark="10 minutes"), "daily")
+    got = bag(out.withColumn("window_start", F.col("window_start").cast("timestamp_ntz")), "window_start", "event_type", "n")
+    want = bag(audit.activity_windows(slices[1], "ts", "1 day", ["event_type"]), "window_start", "event_type", "n")
+    last = max(w[0] for w in want)
+    assert got == {w: n for w, n in want.items() if w[0] < last}
+
+
+def test_interval_join_matches_batch(spark, slices):
+    def halves(log):
+        a = log.filter("event_type = 'signup'").select("user_id", F.col("ts").alias("a_ts"), F.col("event_id").alias("a_id"))
+        b = log.filter("event_type = 'purchase'").select("user_id", F.col("ts").alias("b_ts"), F.col("event_id").alias("b_id"))
+        return a, b
+
+    a, b = halves(flows.event_time(stream_of(spark, slices), "ts"))
+    streamed = flows.join_streams_interval(a.withWatermark("a_ts", "2 days"), b.withWatermark("b_ts", "2 days"), ["user_id"], "a_ts", "b_ts", 0, 86_400)
+    a, b = halves(slices[1])
+    batch = flows.join_streams_interval(a, b, ["user_id"], "a_ts", "b_ts", 0, 86_400)
+    assert bag(runs.run_to_scratch(streamed, "pairs"), "a_id", "b_id") == bag(batch, "a_id", "b_id")
+
+
+@pytest.mark.parametrize(("lower", "upper"), [(0, 0), (-3600, 7200), (1800, 5400), (-7200, -60)])
+def test_interval_join_by_hand(spark, slices, lower, upper):
+    rows = [(r["user_id"] % 3, r["ts"], r["event_id"]) for r in slices[1].filter("event_id < 200").collect()]
+    a = spark.createDataFrame(rows[::2], "k bigint, at timestamp_ntz, a bigint")
+    b = spark.createDataFrame(rows[1::2] + [(k, t, 1000 + i) for k, t, i in rows[:20:2]], "k bigint, bt timestamp_ntz, b bigint")
+    out = bag(flows.join_streams_interval(a, b, ["k"], "at", "bt", lower, upper, "left"), "a", "b")
+    want = {}
+    for k, t, i in rows[::2]:
+        hits = [j for k2, t2, j in rows[1::2] + [(k, t, 1000 + i) for k, t, i in rows[:20:2]] if k == k2 and lower <= (t2 - t).total_seconds() <= upper]
+        want.update({(i, j): 1 for j in hits or [None]})
+    assert out == want
+
+
+def test_duplicates_within_the_delay(spark, slices):
+    stream = flows.event_time(stream_of(spark, slices), "ts").select("event_id", "ts")
+    once = flows.dedupe_stream(stream.union(flows.event_time(stream_of(spark, slices), "ts").select("event_id", "ts")), ["event_id"], "ts", "12 hours")
+    assert bag(runs.run_to_scratch(once, "once"), "event_id") == bag(slices[1], "event_id")
+
+
+def test_late_rows_go_to_the_side(spark):
+    source, progress, on_time, late, marks = (scratch_path(spark, p) for p in ("s", "p", "o", "l", "m"))
+    handle = flows.late_splitter("t", 3600, on_time, late, marks)
+    batches = [
+        [(1, ts("2024-01-01T10:00:00")), (2, ts("2024-01-01T05:00:00"))],  # nothing is late in the first batch
+        [(3, ts("2024-01-01T09:00:00")), (4, ts("2024-01-01T08:59:59")), (5, ts("2024-01-01T12:00:00")), (6, None)],
+    ]
+    for rows in batches:
+        spark.createDataFrame(rows, "id bigint, t timestamp_ntz").coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema("id bigint, t timestamp_ntz").parquet(source)
+        runs.run_batches(stream, handle, progress)
+    want = {(1,): 1, (2,): 1, (3,): 1, (5,): 1, (6,): 1}
+    assert bag(spark.read.parquet(on_time), "id") == want
+    assert bag(spark.read.parquet(late), "id") == {(4,): 1}
+    handle(spark.createDataFrame(batches[1], "id bigint, t timestamp_ntz"), 1)  # delivered again
+    assert bag(spark.read.parquet(on_time), "id") == want
+    assert bag(spark.read.parquet(late), "id") == {(4,): 1}
+
+
+def test_alerts_once_per_episode(spark):
+    source = scratch_path(spark, "alerts-in")
+    minutes = [[0, 1, 2, 3], [4, 60, 61, 62], [200, 201]]
+    n = 0
+    for part in minutes:
+        rows = [(n + i, "u", ts("2024-01-01T00:00:00") if m == 0 else ts(f"2024-01-01T{m // 60:02}:{m % 60:02}:00")) for i, m in enumerate(part)]
+        n += len(part)
+        spark.createDataFrame(rows, "id bigint, u string, t timestamp").coalesce(1).write.mode("append").parquet(source)
+        time.sleep(1.1)
+    stream = spark.readStream.schema("id bigint, u string, t timestamp").option("maxFilesPerTrigger", 1).parquet(source)
+    out = runs.run_to_scratch(alerts.alert_stream(stream, "t", F.lit(True), 3, 300, ["u"], "1 minute"), "alerts")
+    assert bag(out.select("u", F.date_format("alert_at", "HH:mm").alias("at"))) == {("u", "00:02"): 1, ("u", "01:02"): 1}
