@@ -37,22 +37,21 @@ def sessionize(
     time: str,
     gap_seconds: int,
     keys: list[str],
-    tie: str,
     chunk: Column | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Add ``session_no`` (1, 2, ... per key); a pause longer than the gap starts a new session.
 
-    A pause of exactly the gap does not. ``tie`` orders rows of the same instant. ``chunk``
-    (default: the day) splits keys with more than ``hot_rows`` rows.
+    A pause of exactly the gap does not. ``chunk`` (default: the day) splits keys with more than
+    ``hot_rows`` rows.
     """
     slot = day_of(time) if chunk is None else chunk
-    order = [time, tie]
-    rows = neighbour(tag_chunks(df, keys, slot, hot_rows), keys, order, {"__last": F.col(time)})
+    rows = neighbour(tag_chunks(df, keys, slot, hot_rows), keys, [time], {"__last": F.col(time)})
     pause = micros(time) - micros("__last")
-    starts = F.when(F.col("__last").isNull() | (pause > gap_seconds * 1_000_000), 1).otherwise(0)
-    rows = rows.withColumn("__new", starts.cast("bigint")).drop("__last")
-    return untag(running_total(rows, keys, order, F.col("__new"), "session_no")).drop("__new")
+    goes_on = F.col("__last").isNotNull() & (pause <= gap_seconds * 1_000_000)
+    # rows of one instant come in any order, so the one that starts the session is counted first
+    rows = rows.withColumn("__on", F.when(goes_on, 1).otherwise(0).cast("bigint")).drop("__last")
+    return untag(running_total(rows, keys, [time, "__on"], 1 - F.col("__on"), "session_no")).drop("__on")
 
 
 def session_totals(sessions: DataFrame, time: str, keys: list[str]) -> DataFrame:
@@ -62,10 +61,19 @@ def session_totals(sessions: DataFrame, time: str, keys: list[str]) -> DataFrame
     )
 
 
-def session_windows(df: DataFrame, time: str, gap: str, keys: list[str], watermark: str | None = None) -> DataFrame:
-    """(keys, started, ended, n) by ``session_window``, batch or stream; ``ended`` includes the gap."""
+def session_windows(df: DataFrame, time: str, gap_seconds: int, keys: list[str], watermark: str | None = None) -> DataFrame:
+    """(keys, started, ended, n); ``ended`` is the last event plus the gap.
+
+    A stream uses ``session_window``. That would sort a whole key in one task in batch, so batch
+    goes through :func:`sessionize`, with the same result.
+    """
+    if not df.isStreaming:
+        totals = session_totals(sessionize(df.select(*keys, time), time, gap_seconds, keys), time, keys)
+        ended = F.col("ended") + F.expr(f"INTERVAL {gap_seconds} SECONDS")
+        return totals.select(*keys, "started", ended.alias("ended"), "n")
     rows = df.withWatermark(time, watermark) if watermark else df
-    counted = rows.groupBy(F.session_window(time, gap).alias("w"), *keys).agg(F.count(F.lit(1)).alias("n"))
+    window = F.session_window(time, f"{gap_seconds} seconds")
+    counted = rows.groupBy(window.alias("w"), *keys).agg(F.count(F.lit(1)).alias("n"))
     return counted.select(*keys, F.col("w.start").alias("started"), F.col("w.end").alias("ended"), "n")
 
 
@@ -92,12 +100,32 @@ def first_seen(df: DataFrame, keys: list[str], time: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.min(time).alias("first_seen"))
 
 
-def top_k(df: DataFrame, group: list[str], by: list[Column | str], k: int) -> DataFrame:
-    """First ``k`` rows per group under a total order, with ``rank``; cut per task before the shuffle."""
+PER_TASK_LIMIT = 1000  # Spark cuts groups before the shuffle up to this rank
+
+
+def top_k(df: DataFrame, group: list[str], by: list[Column | str], k: int, spread: int = 256) -> DataFrame:
+    """First ``k`` rows per group under a total order, with ``rank``.
+
+    Spark cuts every map partition to ``k`` rows per group before the shuffle. It does so for
+    small ``k`` only; for a larger one the group is first ranked in ``spread`` parts.
+    """
+    if k > PER_TASK_LIMIT:
+        part = F.pmod(F.xxhash64(*df.columns), F.lit(spread))
+        pieces = df.withColumn("__part", part)
+        w = Window.partitionBy(*group, "__part").orderBy(*by)
+        df = pieces.withColumn("__r", F.row_number().over(w)).filter(F.col("__r") <= k).drop("__part", "__r")
     w = Window.partitionBy(*group).orderBy(*by)
     return df.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
+def frequent_values(df: DataFrame, col: str, group: list[str], k: int, tracked: int = 10_000) -> DataFrame:
+    """(group, rank, value, n): most frequent values by a bounded sketch; counts are exact while a
+    group has at most ``tracked`` distinct values."""
+    found = df.groupBy(*group).agg(F.expr(f"approx_top_k({col}, {int(k)}, {int(tracked)})").alias("top"))
+    listed = found.select(*group, F.posexplode("top").alias("pos", "t"))
+    return listed.select(*group, (F.col("pos") + 1).alias("rank"), F.col("t.item").alias("value"), F.col("t.count").alias("n"))
+
+
 def access_matrix(df: DataFrame, row: list[str], col: str, values: list, measure: Column | None = None) -> DataFrame:
     """Cross-tab with one column per given value, 0 where nothing happened."""
     agg = F.count(F.lit(1)) if measure is None else measure

@@ -81,11 +81,15 @@ def allocate_shared(pools: DataFrame, drivers: DataFrame, slots: int = 1024, hot
         "__rem", F.expr("__x % __w").cast("decimal(38,0)")
     )
     rows = rows.withColumn("__slot", F.expr(f"(__rem * {slots}) div __w").cast("int"))
-    per_slot = rows.groupBy("pool", "__slot").agg(F.count(F.lit(1)).alias("__k"))
-    given = rows.groupBy("pool").agg((F.max("__c") - F.sum("__share")).cast("bigint").alias("__left"))
-    above = Window.partitionBy("pool").orderBy(F.desc("__slot")).rowsBetween(Window.unboundedPreceding, -1)
-    cut = per_slot.withColumn("__above", F.coalesce(F.sum("__k").over(above), F.lit(0))).join(given, "pool")
-    cut = cut.select("pool", "__slot", "__k", (F.col("__left") - F.col("__above")).alias("__quota"))
+    per_slot = rows.groupBy("pool", "__slot").agg(
+        F.count(F.lit(1)).alias("__k"), F.sum("__share").alias("__given"), F.max("__c").cast("bigint").alias("__all")
+    )
+    # at most ``slots`` rows per pool from here on
+    whole_pool = Window.partitionBy("pool")
+    above = whole_pool.orderBy(F.desc("__slot")).rowsBetween(Window.unboundedPreceding, -1)
+    left = F.col("__all") - F.sum("__given").over(whole_pool)
+    quota = left - F.coalesce(F.sum("__k").over(above), F.lit(0))
+    cut = per_slot.select("pool", "__slot", "__k", quota.alias("__quota"))
     placed = rows.join(cut, ["pool", "__slot"])
     whole = placed.filter((F.col("__quota") <= 0) | (F.col("__quota") >= F.col("__k")))
     whole = whole.withColumn("__extra", (F.col("__quota") > 0).cast("bigint"))

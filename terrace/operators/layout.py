@@ -40,6 +40,15 @@ def compact_partitions(spark: SparkSession, path: str, out_path: str, target_byt
     return files
 
 
+def _rank(value: Column, cuts: list[float], base: int = 0) -> Column:
+    """Number of ascending cuts at or below the value, as nested halvings."""
+    if not cuts:
+        return F.lit(base)
+    mid = len(cuts) // 2
+    low, high = _rank(value, cuts[:mid], base), _rank(value, cuts[mid + 1 :], base + mid + 1)
+    return F.when(value < F.lit(cuts[mid]), low).otherwise(high)
+
+
 def _interleave(ranks: list[Column], bits: int) -> Column:
     key = F.lit(0).cast("bigint")
     for bit in range(bits):
@@ -63,17 +72,15 @@ def cluster_layout(df: DataFrame, cols: list[str], method: str = "range", files:
             raise ValueError("bits * columns must stay below 63")
         steps = [i / 2**bits for i in range(1, 2**bits)]
         cuts = df.approxQuantile(cols, steps, 0.001)
-        ranks = []
-        for c, values in zip(cols, cuts):
-            # a value's rank is the number of cuts at or below it
-            marks = F.array(*[F.lit(float(m)) for m in sorted(set(values))])
-            value = F.col(c).cast("double")
-            ranks.append(F.size(F.filter(marks, lambda m: m <= value)))  # noqa: B023
-        by = [_interleave(ranks, bits)]
+        ranks = [_rank(F.col(c).cast("double"), sorted(set(values))) for c, values in zip(cols, cuts)]
+        df = df.withColumns({f"__z{i}": r for i, r in enumerate(ranks)})
+        df = df.withColumn("__z", _interleave([F.col(f"__z{i}") for i in range(len(cols))], bits))
+        by = [F.col("__z")]
     else:
         raise ValueError(f"unknown method {method!r}")
     ranged = df.repartitionByRange(files, *by) if files else df.repartitionByRange(*by)
-    return ranged.sortWithinPartitions(*by)
+    extra = [c for c in df.columns if c.startswith("__z")]
+    return ranged.sortWithinPartitions(*by).drop(*extra)
 
 
 def file_stats(df: DataFrame, cols: list[str]) -> DataFrame:

@@ -54,12 +54,12 @@ SELECT user_id, session_no, min(ts) AS started, max(ts) AS ended, count(*) AS n
 @query(SESSIONS_SQL)
 def sessionize(spark: SparkSession, sf: str) -> DataFrame:
     log = events(spark, sf).select("user_id", "ts", "event_id")
-    return audit.session_totals(audit.sessionize(log, "ts", 6 * 3600, ["user_id"], "event_id"), "ts", ["user_id"])
+    return audit.session_totals(audit.sessionize(log, "ts", 6 * 3600, ["user_id"]), "ts", ["user_id"])
 
 
 @query(f"SELECT user_id, started, ended + INTERVAL 6 HOUR AS ended, n FROM ({SESSIONS_SQL})")
 def session_windows(spark: SparkSession, sf: str) -> DataFrame:
-    return audit.session_windows(events(spark, sf), "ts", "6 hours", ["user_id"])
+    return audit.session_windows(events(spark, sf), "ts", 6 * 3600, ["user_id"])
 
 
 @query("""
@@ -85,6 +85,16 @@ def top_k(spark: SparkSession, sf: str) -> DataFrame:
     return audit.top_k(log, ["event_type"], [F.col("value").desc(), F.col("event_id")], 3)
 
 
+@query("""
+WITH c AS (SELECT event_type, user_id, count(*) AS n FROM events GROUP BY ALL)
+SELECT event_type, CAST(row_number() OVER (PARTITION BY event_type ORDER BY n DESC, user_id) AS INTEGER) AS rank, n
+FROM c QUALIFY rank <= 3
+""")
+def frequent_values(spark: SparkSession, sf: str) -> DataFrame:
+    """How often the three busiest users of each kind of event occur; which one among equals is left open."""
+    return audit.frequent_values(events(spark, sf), "user_id", ["event_type"], 3).drop("value")
+
+
 TYPES = ["click", "error", "purchase", "signup", "view"]
 
 

@@ -161,7 +161,7 @@ n AS (SELECT user_id, ts, sum(s) OVER (PARTITION BY user_id ORDER BY ts ROWS UNB
 SELECT user_id, min(ts) AS started, max(ts) + INTERVAL 6 HOUR AS ended, count(*) AS n FROM n GROUP BY user_id, no
 """)
 def session_windows_stream(spark: SparkSession, sf: str) -> DataFrame:
-    found = audit.session_windows(_event_stream(spark, sf), "ts", "6 hours", ["user_id"])
+    found = audit.session_windows(_event_stream(spark, sf), "ts", 6 * 3600, ["user_id"])
     return _ntz(_complete(found, "sessions"), "started", "ended")
 
 

@@ -41,7 +41,7 @@ def test_window_edges(spark):
 def test_a_pause_of_exactly_the_gap_stays_in_the_session(spark):
     at = [0, 3600, 7201, 10801]
     df = spark.createDataFrame([(i, "u", START + timedelta(seconds=s)) for i, s in enumerate(at)], "id bigint, u string, t timestamp_ntz")
-    out = audit.sessionize(df, "t", 3600, ["u"], "id")
+    out = audit.sessionize(df, "t", 3600, ["u"])
     assert bag(out, "id", "session_no") == {(0, 1): 1, (1, 1): 1, (2, 2): 1, (3, 2): 1}
 
 
@@ -54,15 +54,15 @@ def test_sessions_by_hand(log, hot):
         if seen is None or t - seen > timedelta(hours=2):
             no += 1
         last[u], want[i] = (no, t), no
-    got = {r["id"]: r["session_no"] for r in audit.sessionize(df, "t", 7200, ["u"], "id", hot_rows=hot).collect()}
+    got = {r["id"]: r["session_no"] for r in audit.sessionize(df, "t", 7200, ["u"], hot_rows=hot).collect()}
     assert got == want
 
 
 def test_session_forms_agree(log):
     _, df = log
-    ours = audit.session_totals(audit.sessionize(df, "t", 7200, ["u"], "id"), "t", ["u"])
-    ours = ours.select("u", "started", (F.col("ended") + F.expr("INTERVAL 2 HOURS")).alias("ended"), "n")
-    assert bag(ours) == bag(audit.session_windows(df, "t", "2 hours", ["u"]), "u", "started", "ended", "n")
+    native = df.groupBy(F.session_window("t", "2 hours").alias("w"), "u").agg(F.count(F.lit(1)).alias("n"))
+    ours = audit.session_windows(df, "t", 7200, ["u"])
+    assert bag(ours, "u", "started", "ended", "n") == bag(native, "u", "w.start", "w.end", "n")
 
 
 def test_bursts_by_hand(log):
@@ -126,6 +126,16 @@ def test_top_k_is_cut_before_the_shuffle(log):
     assert "WindowGroupLimit" in executed_plan(out)
 
 
+@pytest.mark.parametrize("k", [1500, 1])
+def test_top_k_of_any_size(spark, k):
+    df = spark.range(6000).select("id", (F.col("id") % 2).alias("g"), F.xxhash64("id").alias("v"))
+    rows = df.collect()
+    out = audit.top_k(df, ["g"], [F.col("v").desc(), F.col("id")], k, 8)
+    for g in (0, 1):
+        want = sorted(((-r["v"], r["id"]) for r in rows if r["g"] == g))[:k]
+        assert [r["id"] for r in out.filter(F.col("g") == g).orderBy("rank").collect()] == [i for _, i in want]
+
+
 def test_reach(log):
     rows, df = log
     per_day = df.withColumn("d", F.col("t").cast("date"))
