@@ -40,13 +40,18 @@ def compact_partitions(spark: SparkSession, path: str, out_path: str, target_byt
     return files
 
 
-def _rank(value: Column, cuts: list[float], base: int = 0) -> Column:
-    """Number of ascending cuts at or below the value, as nested halvings."""
-    if not cuts:
-        return F.lit(base)
-    mid = len(cuts) // 2
-    low, high = _rank(value, cuts[:mid], base), _rank(value, cuts[mid + 1 :], base + mid + 1)
-    return F.when(value < F.lit(cuts[mid]), low).otherwise(high)
+def _with_rank(df: DataFrame, value: Column, cuts: list[float], bits: int, name: str) -> DataFrame:
+    """Add the number of cuts at or below the value (NULL: 0), by halving.
+
+    There are ``2**bits - 1`` ascending cuts. Each halving is a projection of its own: one nested
+    expression would outgrow what the JVM compiles.
+    """
+    marks = F.array(*[F.lit(float(c)) for c in cuts])
+    df = df.withColumn(name, F.lit(0))
+    for bit in reversed(range(bits)):
+        step = 2**bit
+        df = df.withColumn(name, F.col(name) + F.when(value >= F.element_at(marks, F.col(name) + step), step).otherwise(0))
+    return df
 
 
 def _interleave(ranks: list[Column], bits: int) -> Column:
@@ -58,7 +63,7 @@ def _interleave(ranks: list[Column], bits: int) -> Column:
     return key
 
 
-def cluster_layout(df: DataFrame, cols: list[str], method: str = "range", files: int | None = None, bits: int = 6) -> DataFrame:
+def cluster_layout(df: DataFrame, cols: list[str], method: str = "range", files: int | None = None, bits: int = 8) -> DataFrame:
     """Order rows so that files cover narrow value ranges.
 
     ``range`` sorts by the columns in turn; ``zorder`` interleaves the bits of each column's
@@ -71,9 +76,10 @@ def cluster_layout(df: DataFrame, cols: list[str], method: str = "range", files:
         if bits * len(cols) > 62:
             raise ValueError("bits * columns must stay below 63")
         steps = [i / 2**bits for i in range(1, 2**bits)]
-        cuts = df.approxQuantile(cols, steps, 0.001)
-        ranks = [_rank(F.col(c).cast("double"), sorted(set(values))) for c, values in zip(cols, cuts)]
-        df = df.withColumns({f"__z{i}": r for i, r in enumerate(ranks)})
+        numbers = [F.col(c).cast("double") for c in cols]
+        found = df.agg(*[F.percentile_approx(n, steps, 4 * 2**bits).alias(f"q{i}") for i, n in enumerate(numbers)]).first()
+        for i, (n, cuts) in enumerate(zip(numbers, found)):
+            df = _with_rank(df, n, cuts or [0.0] * len(steps), bits, f"__z{i}")
         df = df.withColumn("__z", _interleave([F.col(f"__z{i}") for i in range(len(cols))], bits))
         by = [F.col("__z")]
     else:
