@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from terrace.functions.times import day_of, micros, time_slot
 from terrace.plans.chunks import HOT_ROWS, last_known, neighbour, running_total, tag_chunks, untag
-from terrace.plans.joins import null_safe_join
+from terrace.plans.joins import all_of, null_safe_join
 
 BAD = "_bad_payload"
 
@@ -191,8 +191,16 @@ def verify_access(
 
     Grants of a key must not overlap (a result of the history operator does not). Both sides are
     merged in time order and the latest grant is carried forward, so the work is linear even for
-    a key with very many accesses and grants. ``chunk`` is written over ``__t``.
+    a key with very many accesses and grants. ``chunk`` is written over ``__t``. A stream of
+    accesses is joined to the stored history instead.
     """
+    if access_log.isStreaming:
+        held = grant_history.select(*[F.col(k).alias(f"__{k}") for k in keys], "valid_from", "valid_to")
+        at, open_end = F.col(time).cast("timestamp_ntz"), F.col("valid_to").isNull()
+        inside = (at >= F.col("valid_from")) & (open_end | (at < F.col("valid_to")))
+        joined = access_log.join(held, all_of([*[F.col(k) == F.col(f"__{k}") for k in keys], inside]), "left")
+        granted = F.col("valid_from")
+        return joined.select(*access_log.columns, granted.isNotNull().alias("allowed"), granted.alias("granted_at"))
     payload = [c for c in access_log.columns if c not in keys]
     row = F.struct(*payload)
     grant = F.struct("valid_from", "valid_to")

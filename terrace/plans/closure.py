@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrace.session import scratch_path, write_through
+from terrace.session import discard, scratch_path, write_table, write_through
 
 
 def transitive_closure(edges: DataFrame, child: str, parent: str, with_path: bool = True) -> DataFrame:
@@ -72,7 +72,9 @@ def components(links: DataFrame, item: str, key: str) -> DataFrame:
         links.select(F.col(item).alias("item"), F.col(key).alias("key")).filter(F.col("key").isNotNull()).distinct(),
         "links",
     )
-    labels = write_through(pairs.groupBy("item").agg(F.min("item").alias("label")), "labels")
+    spark = pairs.sparkSession
+    path = scratch_path(spark, "labels")
+    labels = write_table(pairs.groupBy("item").agg(F.min("item").alias("label")), path)
     while True:
         by_key = pairs.join(labels, "item").groupBy("key").agg(F.min("label").alias("label"))
         lowered = pairs.join(by_key, "key").groupBy("item").agg(F.min("label").alias("low"))
@@ -82,7 +84,9 @@ def components(links: DataFrame, item: str, key: str) -> DataFrame:
             .join(hop, "low", "left")
             .select("item", "label", F.least("label", "low", "hop").alias("next"))
         )
-        moved = write_through(moved, "labels")
+        replaced, path = path, scratch_path(spark, "labels")
+        moved = write_table(moved, path)
+        discard(spark, replaced)
         labels = moved.select("item", F.col("next").alias("label"))
         if moved.filter(F.col("next") < F.col("label")).isEmpty():
             return labels

@@ -291,14 +291,14 @@ def pseudonymise(spark: SparkSession, sf: str) -> DataFrame:
     return protection.pseudonymise(rows, ["c_name", "c_nationkey"], "s1")
 
 
-def _redacted_sql() -> str:
+def redacted_sql() -> str:
     text = "text"
     for tag, pattern in SENSITIVE.items():
         text = f"regexp_replace({text}, '{pattern}', '<{tag.upper()}>', 'g')"
     return text
 
 
-@query(f"SELECT doc_id, sha256({_redacted_sql()}) AS digest, {_redacted_sql()} <> text AS changed FROM documents")
+@query(f"SELECT doc_id, sha256({redacted_sql()}) AS digest, {redacted_sql()} <> text AS changed FROM documents")
 def redact_text(spark: SparkSession, sf: str) -> DataFrame:
     """Whole texts; only a digest of each is returned."""
     docs = table(spark, sf, "documents").select("doc_id", "text", F.col("text").alias("raw"))

@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from terrace.functions import masks
 from terrace.functions.money import cents
-from terrace.operators import audit, gold
+from terrace.functions.times import day_of, year_of
+from terrace.operators import access, audit, changes, cost, gold, protection, refine
+from terrace.queries.access import redacted_sql
+from terrace.queries.ingest import HISTORY_SQL
+from terrace.queries.inputs import PRICES_SQL, prices
 from terrace.queries.registry import query
-from terrace.session import scratch_path
+from terrace.session import scratch_path, write_through
 from terrace.sources import files
 from terrace.sources.tables import is_folder, table, table_stream
 from terrace.streaming import alerts, flows, runs
@@ -176,3 +181,74 @@ def alert_stream(spark: SparkSession, sf: str) -> DataFrame:
         _event_stream(spark, sf), "ts", F.col("event_type") == "error", 3, 36 * 3600, ["user_id"], "1 hour"
     )
     return _ntz(runs.run_to_scratch(found, "alerts"), "alert_at")
+
+
+@query(HISTORY_SQL)
+def history_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """History from a log of micro-batches."""
+    path, progress = scratch_path(spark, "changes"), scratch_path(spark, "progress")
+    stream = table_stream(spark, sf, "events").select("user_id", "event_type", "ts", "event_id")
+    runs.run_batches(stream, runs.change_log_writer(path), progress)
+    gone = F.col("event_type") == "error"
+    return runs.read_scd2(spark, path, ["user_id"], ["ts", "event_id"], gone, ["event_type"], day_of("ts"))
+
+
+@query("""
+SELECT o_orderkey, o_custkey, CAST(floor(o_totalprice / 50000) * 50000 AS DOUBLE) AS o_totalprice, sha256('s1:' || o_orderstatus) AS o_orderstatus
+FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH') AND o_totalprice > 1000
+""")
+def secured_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Quality rule, row policy, mask and pseudonyms on a stream."""
+    stream = refine.expect(table_stream(spark, sf, "orders"), {"priced": F.col("o_totalprice") > 1000}, "drop")
+    seen = access.RowPolicy(frozenset({"ann"}), predicate=F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"))
+    rows = access.row_filter(stream, [seen], "ann").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus")
+    rows = access.column_mask(rows, {"o_totalprice": access.ColumnMask(masks.bucket(50_000))}, "ann")
+    return runs.run_to_scratch(protection.pseudonymise(rows, ["o_orderstatus"], "s1"), "secured")
+
+
+@query(f"SELECT doc_id, sha256({redacted_sql()}) AS digest FROM documents")
+def redacted_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole texts redacted as they arrive."""
+    stream = protection.redact_text(table_stream(spark, sf, "documents").select("doc_id", "text"), "text")
+    return runs.run_to_scratch(stream.select("doc_id", F.sha2("text", 256).alias("digest")), "redacted")
+
+
+@query(f"""
+SELECT date_trunc('year', l_shipdate) AS year, count(*) AS n, CAST(sum(CAST(round(l_quantity * unit_cents) AS BIGINT)) AS BIGINT) AS cost_cents
+FROM lineitem LEFT JOIN ({PRICES_SQL}) p ON l_partkey = p.partkey AND l_shipdate >= p.valid_from AND l_shipdate < p.valid_to GROUP BY ALL
+""")
+def priced_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Usage priced as it arrives, against the stored price list."""
+    stream = table_stream(spark, sf, "lineitem").select(F.col("l_partkey").alias("partkey"), "l_quantity", "l_shipdate")
+    priced = runs.run_to_scratch(cost.price_usage(stream, prices(spark, sf), ["partkey"], "l_shipdate", "l_quantity"), "priced")
+    return priced.groupBy(year_of("l_shipdate").alias("year")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("cost_cents").alias("cost_cents")
+    )
+
+
+@query("""
+WITH h AS (
+  SELECT user_id, event_type, ts AS valid_from, lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS valid_to
+  FROM events WHERE event_type IN ('signup', 'error'))
+SELECT e.event_id, e.user_id, h.user_id IS NOT NULL AS allowed
+FROM events e LEFT JOIN h ON e.user_id = h.user_id AND h.event_type = 'signup' AND e.ts >= h.valid_from AND (h.valid_to IS NULL OR e.ts < h.valid_to)
+WHERE e.event_type = 'purchase'
+""")
+def verified_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Accesses checked as they arrive, against the stored grant history."""
+    changed = table(spark, sf, "events").filter(F.col("event_type").isin("signup", "error"))
+    held = changes.apply_changes_scd2(
+        None, changed, ["user_id"], ["ts", "event_id"], F.col("event_type") == "error", ["event_type"], day_of("ts")
+    )
+    stream = table_stream(spark, sf, "events").filter("event_type = 'purchase'").select("event_id", "user_id", "ts")
+    checked = audit.verify_access(stream, write_through(held, "grants"), ["user_id"], "ts")
+    return runs.run_to_scratch(checked.select("event_id", "user_id", "allowed"), "verified")
+
+
+@query("SELECT event_type, true AS within_10_percent FROM events GROUP BY event_type")
+def distinct_users_stream(spark: SparkSession, sf: str) -> DataFrame:
+    near = audit.distinct_users(_event_stream(spark, sf), "user_id", ["event_type"], "approximate", 0.02)
+    exact = audit.distinct_users(table(spark, sf, "events"), "user_id", ["event_type"]).withColumnRenamed("users", "exact")
+    both = _complete(near, "reach").join(exact, "event_type")
+    ok = F.abs(F.col("users") - F.col("exact")) <= 0.1 * F.col("exact")
+    return both.select("event_type", ok.alias("within_10_percent"))

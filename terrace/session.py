@@ -53,6 +53,15 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 def write_through(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back: lineage ends there."""
-    path = scratch_path(df.sparkSession, label)
+    return write_table(df, scratch_path(df.sparkSession, label))
+
+
+def write_table(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a table of this run's own that a later round has replaced."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)

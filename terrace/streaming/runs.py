@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrace.operators.changes import live_rows, merge_changes
+from terrace.operators.changes import apply_changes_scd2, live_rows, merge_changes
 from terrace.operators.gold import partial_aggregate, refresh_aggregate
 from terrace.session import scratch_path
 
@@ -48,7 +48,7 @@ def read_batches(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).drop("batch_id")
 
 
-def scd1_writer(path: str, keys: list[str], seq: list[str], delete_when) -> Callable[[DataFrame, int], None]:
+def scd1_writer(path: str, keys: list[str], seq: list[str], delete_when: Column) -> Callable[[DataFrame, int], None]:
     """Handler that keeps, per micro-batch, the newest change of each key below ``path``.
 
     Nothing written earlier is rewritten; :func:`read_scd1` merges the batches.
@@ -66,7 +66,23 @@ def read_scd1(spark: SparkSession, path: str, keys: list[str], seq: list[str]) -
     return live_rows(merge_changes(None, changes, keys, seq, F.col("_deleted")))
 
 
-def aggregate_writer(path: str, keys: list[str], measure, member) -> Callable[[DataFrame, int], None]:
+def change_log_writer(path: str) -> Callable[[DataFrame, int], None]:
+    """Handler that appends the changes of each micro-batch to a log below ``path``."""
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        write_batch(batch, path, batch_id)
+
+    return handle
+
+
+def read_scd2(
+    spark: SparkSession, path: str, keys: list[str], seq: list[str], delete_when: Column, track: list[str], chunk: Column
+) -> DataFrame:
+    """History of a log kept by :func:`change_log_writer`; late changes fall into place."""
+    return apply_changes_scd2(None, read_batches(spark, path), keys, seq, delete_when, track, chunk)
+
+
+def aggregate_writer(path: str, keys: list[str], measure: Column, member: Column) -> Callable[[DataFrame, int], None]:
     """Handler that stores mergeable partials of each micro-batch below ``path``."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
