@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terrace.functions.patterns import SENSITIVE
+from terrace.functions.patterns import ALWAYS_THERE, SENSITIVE
 
 
 def _keyed(df: DataFrame, tenant: str, keyring: DataFrame, version: Column, prefix: str) -> DataFrame:
@@ -77,13 +77,19 @@ def pseudonymise(df: DataFrame, cols: list[str], salt: str) -> DataFrame:
     )
 
 
+def _may_match(text: Column, pattern: str) -> Column:
+    """False only where the pattern cannot match."""
+    needed = ALWAYS_THERE.get(pattern)
+    return F.lit(True) if needed is None else text.contains(needed)
+
+
 def scan_sensitive(df: DataFrame, cols: list[str], patterns: dict[str, str] = SENSITIVE, by: list[str] | None = None) -> DataFrame:
     """(by, column, tag, hits, n_rows) in one pass over the text."""
     by = by or []
     checks = [(c, tag, p) for c in cols for tag, p in patterns.items()]
     wide = df.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n_rows"),
-        *[F.count(F.when(F.col(c).rlike(p), 1)).alias(f"__h{i}") for i, (c, _, p) in enumerate(checks)],
+        *[F.count(F.when(_may_match(F.col(c), p) & F.col(c).rlike(p), 1)).alias(f"__h{i}") for i, (c, _, p) in enumerate(checks)],
     )
     found = F.array(
         *[
@@ -105,8 +111,9 @@ def redact_text(df: DataFrame, col: str, patterns: dict[str, str] = SENSITIVE) -
     """Replace each match by ``<TAG>``, patterns in the given order."""
     text = F.col(col)
     for tag, pattern in patterns.items():
-        text = F.regexp_replace(text, pattern, f"<{tag.upper()}>")
-    return df.withColumn(col, text)
+        replaced = F.regexp_replace(text, pattern, f"<{tag.upper()}>")
+        df = df.withColumn(col, F.when(_may_match(text, pattern), replaced).otherwise(text))
+    return df
 
 
 def ipv4_number(address: str | Column) -> Column:
