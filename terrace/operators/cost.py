@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from terrace.functions.times import day_of
 from terrace.operators.gold import gold_aggregate
-from terrace.plans.chunks import HOT_ROWS, running_total, tag_chunks, untag
+from terrace.plans.chunks import CHUNK, HOT_ROWS, running_total, tag_chunks, untag
 from terrace.plans.joins import all_of
 
 UNALLOCATED = "unallocated"
@@ -56,6 +56,12 @@ def attribute_cost(costs: DataFrame, tag_rules: DataFrame, workspace_owner: Data
     )
 
 
+def _exact(op: str) -> Column:
+    """``(__c * __v) op __w`` as a whole number; decimals only where the product outgrows 64 bits."""
+    wide = f"cast((cast(__c as decimal(19,0)) * cast(__v as decimal(19,0))) {op} cast(__w as decimal(19,0)) as bigint)"
+    return F.expr(f"if(try_multiply(__c, __v) is not null, try_multiply(__c, __v) {op} __w, {wide})")
+
+
 def allocate_shared(pools: DataFrame, drivers: DataFrame, slots: int = 1024, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Split ``pools`` (pool, cents) over ``drivers`` (pool, id, weight) to the cent.
 
@@ -69,20 +75,17 @@ def allocate_shared(pools: DataFrame, drivers: DataFrame, slots: int = 1024, hot
     """
     weights = drivers.groupBy("pool").agg(F.sum("weight").alias("__w"), F.count(F.lit(1)).alias("__n"))
     pool = pools.join(weights, "pool").select(
-        "pool", "cents", F.signum(F.col("cents").cast("double")).cast("bigint").alias("__sign"),
-        F.abs("cents").cast("decimal(38,0)").alias("__c"),
-        F.when(F.col("__w") > 0, F.col("__w")).otherwise(F.col("__n")).cast("decimal(38,0)").alias("__w"),
-        (F.col("__w") <= 0).alias("__even"),
+        "pool", "cents", F.signum(F.col("cents").cast("double")).cast("bigint").alias("__sign"), F.abs("cents").alias("__c"),
+        F.when(F.col("__w") > 0, F.col("__w")).otherwise(F.col("__n")).alias("__w"), (F.col("__w") <= 0).alias("__even"),
     )
     rows = drivers.join(pool, "pool")
-    weight = F.when(F.col("__even"), F.lit(1)).otherwise(F.col("weight"))
-    rows = rows.withColumn("__x", (F.col("__c") * weight).cast("decimal(38,0)"))
-    rows = rows.withColumn("__share", F.expr("__x div __w").cast("bigint")).withColumn(
-        "__rem", F.expr("__x % __w").cast("decimal(38,0)")
-    )
-    rows = rows.withColumn("__slot", F.expr(f"(__rem * {slots}) div __w").cast("int"))
+    rows = rows.withColumn("__v", F.when(F.col("__even"), F.lit(1)).otherwise(F.col("weight")).cast("bigint"))
+    rows = rows.withColumns({"__share": _exact("div"), "__rem": _exact("%")})
+    # the slot only has to grow with the remainder, so floating point will do
+    part = F.floor(F.col("__rem").cast("double") / F.col("__w").cast("double") * slots).cast("int")
+    rows = rows.withColumn("__slot", F.least(part, F.lit(slots - 1)))
     per_slot = rows.groupBy("pool", "__slot").agg(
-        F.count(F.lit(1)).alias("__k"), F.sum("__share").alias("__given"), F.max("__c").cast("bigint").alias("__all")
+        F.count(F.lit(1)).alias("__k"), F.sum("__share").alias("__given"), F.max("__c").alias("__all")
     )
     # at most ``slots`` rows per pool from here on
     whole_pool = Window.partitionBy("pool")
@@ -96,7 +99,7 @@ def allocate_shared(pools: DataFrame, drivers: DataFrame, slots: int = 1024, hot
     partly = placed.filter((F.col("__quota") > 0) & (F.col("__quota") < F.col("__k")))
     partly = partly.withColumn("__down", -F.col("__rem")).withColumn("__tie", F.md5(F.col("id").cast("string")))
     chunk = F.struct(F.col("__down"), F.substring("__tie", 1, 2))
-    partly = tag_chunks(partly, ["pool"], chunk, hot_rows)
+    partly = partly.withColumn(CHUNK, F.when(F.col("__k") > hot_rows, chunk))
     ranked = running_total(partly, ["pool"], ["__down", "__tie", "id"], F.lit(1).cast("bigint"), "__rank")
     ranked = ranked.withColumn("__extra", (F.col("__rank") <= F.col("__quota")).cast("bigint"))
     final = [*drivers.columns, (F.col("__sign") * (F.col("__share") + F.col("__extra"))).alias("cents")]

@@ -12,6 +12,8 @@ tagged frame share one shuffle and one count of the keys.
 ``chunk`` must never decrease along the order and may not be NULL. A key is hot when it has more
 than ``hot_rows`` rows, so at most ``rows / hot_rows`` keys are listed, which bounds the
 broadcast. ``hot_rows=0`` cuts every key. Rows with a NULL key are one group and are not cut.
+Input that is already hash-partitioned by its keys (a join or aggregate on them) would stay so:
+write it out first.
 """
 
 from __future__ import annotations

@@ -33,7 +33,8 @@ def transitive_closure(edges: DataFrame, child: str, parent: str, with_path: boo
     reach = 1
     while True:
         known = spark.read.schema(schema).parquet(*rounds)
-        frontier = known.filter(F.col("depth") == reach)
+        # pairs at exactly this distance were all found in the last round
+        frontier = spark.read.schema(schema).parquet(rounds[-1]).filter(F.col("depth") == reach)
         if frontier.isEmpty():
             return known
         onward = known.select(

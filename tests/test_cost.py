@@ -78,6 +78,13 @@ def test_allocation_of_a_large_pool(spark):
     assert out.agg(F.sum("cents"), F.min("cents"), F.max("cents"), F.count(F.lit(1))).first()[:] == (30_001, 1, 2, 20_000)
 
 
+def test_allocation_beyond_64_bits(spark):
+    weights = {i: 10**12 + i * 7 for i in range(30)}
+    money = spark.createDataFrame([("p", 10**12 + 1)], "pool string, cents bigint")
+    drivers = spark.createDataFrame([("p", i, w) for i, w in weights.items()], "pool string, id bigint, weight bigint")
+    assert {r["id"]: r["cents"] for r in cost.allocate_shared(money, drivers).collect()} == by_hand(10**12 + 1, weights)
+
+
 @pytest.mark.parametrize("hot", [0, 10**9])
 def test_budget(spark, hot):
     rows = [("a", D1, 1, 40), ("a", D2, 2, 60), ("a", D2, 3, 1), ("a", D3, 4, -50), ("b", D1, 5, 999), ("c", D1, 6, 7)]
