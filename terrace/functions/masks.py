@@ -37,9 +37,11 @@ def letters() -> Mask:
 
 
 def partial(keep: int = 4) -> Mask:
-    """Only the last ``keep`` characters stay; shorter values vanish altogether."""
+    """Only the last ``keep`` characters stay; shorter values vanish altogether. Text only, else redact."""
 
     def apply(c: Column, t: T.DataType) -> Column:
+        if not isinstance(t, T.StringType):
+            return redact()(c, t)
         hidden = F.greatest(F.length(c) - keep, F.lit(0))
         shown = F.when(F.length(c) > keep, F.substring(c, -keep, keep)).otherwise("")
         return F.concat(F.repeat(F.lit("*"), F.when(F.length(c) > keep, hidden).otherwise(F.length(c))), shown)
@@ -52,11 +54,14 @@ def hashed(salt: str = "") -> Mask:
 
 
 def bucket(width: int) -> Mask:
-    return lambda c, t: (F.floor(c / width) * width).cast(t)
+    """Numbers down to a multiple of ``width``; other types are redacted."""
+    return lambda c, t: (F.floor(c / width) * width).cast(t) if isinstance(t, T.NumericType) else redact()(c, t)
 
 
 def year_only() -> Mask:
-    return lambda c, t: F.trunc(c.cast("date"), "year").cast(t)
+    """Dates and times down to their year; other types are redacted."""
+    timed = (T.DateType, T.TimestampType, T.TimestampNTZType)
+    return lambda c, t: F.trunc(c.cast("date"), "year").cast(t) if isinstance(t, timed) else redact()(c, t)
 
 
 def by_name(name: str, **options) -> Mask:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from terrace.functions.times import day_of, micros, time_slot
+from terrace.functions.times import day_of, hour_slot, micros, time_slot
 from terrace.plans.chunks import HOT_ROWS, last_known, neighbour, running_total, tag_chunks, untag
 from terrace.plans.joins import all_of, null_safe_join
 
@@ -42,10 +42,10 @@ def sessionize(
 ) -> DataFrame:
     """Add ``session_no`` (1, 2, ... per key); a pause longer than the gap starts a new session.
 
-    A pause of exactly the gap does not. ``chunk`` (default: the day) splits keys with more than
+    A pause of exactly the gap does not. ``chunk`` (default: the hour) splits keys with more than
     ``hot_rows`` rows.
     """
-    slot = day_of(time) if chunk is None else chunk
+    slot = hour_slot(time) if chunk is None else chunk
     rows = neighbour(tag_chunks(df, keys, slot, hot_rows), keys, [time], {"__last": F.col(time)})
     pause = micros(time) - micros("__last")
     goes_on = F.col("__last").isNotNull() & (pause <= gap_seconds * 1_000_000)
@@ -211,7 +211,7 @@ def verify_access(
         *keys, F.col("valid_from").alias("__t"), F.lit(0).alias("__kind"),
         F.lit(None).cast(uses.schema["__row"].dataType).alias("__row"), grant.alias("__grant"),
     )
-    slot = day_of("__t") if chunk is None else chunk
+    slot = hour_slot("__t") if chunk is None else chunk
     both = tag_chunks(uses.unionByName(opens), keys, slot, hot_rows)
     merged = last_known(both, keys, ["__t", "__kind"], F.col("__grant"), "__g")
     valid = F.col("__g.valid_to").isNull() | (F.col("__t") < F.col("__g.valid_to"))

@@ -89,7 +89,7 @@ def apply_changes_scd2(
     untouched = null_safe_join(target, touched, keys, "left_anti")
     if log is not None:
         earlier = null_safe_join(log, touched, keys, "left_semi").select(*changes.columns)
-        replayed = earlier.unionByName(changes).distinct()
+        replayed = earlier.unionByName(changes)
         rebuilt = history_from_changes(replayed, keys, seq, delete_when, track, chunk, hot_rows)
         return untouched.unionByName(rebuilt)
     affected = null_safe_join(target, touched, keys, "left_semi")

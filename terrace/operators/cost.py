@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from terrace.functions.times import day_of
+from terrace.functions.times import hour_slot
 from terrace.operators.gold import gold_aggregate
 from terrace.plans.chunks import CHUNK, HOT_ROWS, running_total, tag_chunks, untag
 from terrace.plans.joins import all_of
@@ -116,7 +116,7 @@ def budget_burn(
     chunk: Column | None = None, hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Costs with the running ``spent_cents`` and ``breached`` against ``budgets(key, budget_cents)``."""
-    slot = day_of(order[0]) if chunk is None else chunk
+    slot = hour_slot(order[0]) if chunk is None else chunk
     spent = untag(running_total(tag_chunks(costs, [key], slot, hot_rows), [key], order, F.col(cents), "spent_cents"))
     return spent.join(budgets.select(key, "budget_cents"), key, "left").withColumn(
         "breached", F.coalesce(F.col("spent_cents") > F.col("budget_cents"), F.lit(False))

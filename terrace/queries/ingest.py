@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from terrace.functions.money import cents, discounted, from_units
-from terrace.functions.times import day_of
+from terrace.functions.times import hour_slot
 from terrace.operators import changes, gold, layout, refine, snapshots
 from terrace.queries.inputs import custom_of_year, custom_of_year_sql
 from terrace.queries.registry import query
@@ -56,17 +56,17 @@ def ingested_files(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _event_lines(spark: SparkSession, sf: str) -> DataFrame:
-    """Events as JSON lines; those of type error are cut off in the middle."""
+    """Events as JSON lines; those of type error have a stray character in front."""
     fields = F.struct("event_id", F.col("ts").cast("string").alias("ts"), "user_id", "event_type", "value", "props")
     line = F.to_json(fields)
     return table(spark, sf, "events").select(
-        F.when(F.col("event_type") == "error", F.substring(line, 1, 20)).otherwise(line).alias("value")
+        F.when(F.col("event_type") == "error", F.concat(F.lit("#"), line)).otherwise(line).alias("value")
     )
 
 
 @query("""
 SELECT 'good' AS status, count(*) AS n_rows, CAST(sum(round(value * 100)) AS BIGINT) AS measure FROM events WHERE event_type <> 'error'
-UNION ALL SELECT 'quarantined', count(*), 20 * count(*) FROM events WHERE event_type = 'error'
+UNION ALL SELECT 'quarantined', count(*), count(*) FROM events WHERE event_type = 'error'
 """)
 def split_corrupt(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "lines")
@@ -76,7 +76,7 @@ def split_corrupt(spark: SparkSession, sf: str) -> DataFrame:
     kept = good.agg(F.lit("good").alias("status"), F.count(F.lit(1)).alias("n_rows"), F.sum(cents("value")).alias("measure"))
     lost = bad.agg(
         F.lit("quarantined").alias("status"), F.count(F.lit(1)).alias("n_rows"),
-        F.sum(F.length("_corrupt_record")).alias("measure"),
+        F.count(F.when(F.col("_corrupt_record").startswith("#{"), 1)).alias("measure"),
     )
     return kept.unionByName(lost)
 
@@ -188,7 +188,7 @@ def history(spark: SparkSession, sf: str) -> DataFrame:
     """History rows of the tracked event type."""
     events = table(spark, sf, "events").select("user_id", "event_type", "ts", "event_id")
     return changes.apply_changes_scd2(
-        None, events, ["user_id"], ["ts", "event_id"], F.col("event_type") == "error", ["event_type"], day_of("ts")
+        None, events, ["user_id"], ["ts", "event_id"], F.col("event_type") == "error", ["event_type"], hour_slot("ts")
     )
 
 
@@ -198,7 +198,7 @@ def history_with_late_changes(spark: SparkSession, sf: str) -> DataFrame:
     events = table(spark, sf, "events").select("user_id", "event_type", "ts", "event_id")
     late = F.col("event_type") == "purchase"
     first, second = events.filter(~late), events.filter(late)
-    rule = (["user_id"], ["ts", "event_id"], F.col("event_type") == "error", ["event_type"], day_of("ts"))
+    rule = (["user_id"], ["ts", "event_id"], F.col("event_type") == "error", ["event_type"], hour_slot("ts"))
     target = changes.apply_changes_scd2(None, first, *rule)
     return changes.apply_changes_scd2(target, second, *rule, log=first)
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,24 +24,23 @@ class _Bursts(StatefulProcessor):
         self._handle = handle
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        times = sorted(int(t) for chunk in rows for t in chunk["us"])
+        times = np.sort(np.concatenate([chunk["us"].to_numpy() for chunk in rows])).tolist()
         recent, alerting = ([], False)
         if self._state.exists():
             held = self._state.get()
             recent, alerting = list(held[0]), bool(held[1])
         alerts = []
         for t in times:
-            recent = [r for r in recent if r >= t - self._span][-(self._n - 1):] if self._n > 1 else []
-            burst = len(recent) + 1 >= self._n
+            burst = sum(t - self._span <= r <= t for r in recent) + 1 >= self._n
             if burst and not alerting:
                 alerts.append(t)
             alerting = burst
-            recent.append(t)
-        self._state.update((recent[-max(self._n - 1, 1):], alerting))
+            recent = sorted([*recent, t])[1 - self._n:]
+        self._state.update((recent, alerting))
         for timer in self._handle.listTimers():
             self._handle.deleteTimer(timer)
         # once a whole span has passed in event time the key holds nothing worth keeping
-        self._handle.registerTimer((times[-1] + self._span) // 1000 + 1)
+        self._handle.registerTimer((recent[-1] + self._span) // 1000 + 1)
         if alerts:
             out = {name: [part] * len(alerts) for name, part in zip(self._key_names, key)}
             yield pd.DataFrame({**out, "us": alerts})
@@ -57,9 +57,12 @@ def alert_stream(df: DataFrame, time: str, cond: Column, n: int, span_seconds: i
     """(keys, alert_at): one alert when ``n`` matching events fall into the span; the next one only
     after the burst has ended. Events of a key count in event-time order within a micro-batch.
 
-    ``keys`` must be of type long or string. Only matching rows, cut to keys and time, reach
+    ``keys`` must be of type long or string. The state store of the session becomes RocksDB, which
+    the stateful operator needs. Only matching rows, cut to keys and time, reach
     Python; a key's state is at most ``n - 1`` instants.
     """
+    if n < 2:
+        raise ValueError("a burst needs at least two events")
     spark = df.sparkSession
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
     types = dict(df.dtypes)
