@@ -20,6 +20,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,7 +35,7 @@ BLOCK = 1 << 20
 BUCKET_BYTES = 16 << 20
 GRAM = 8
 EMPTY = hashlib.sha256(b"").digest()
-LINK = "tid binary, start int, end int"
+LINK = "tid long, start int, end int"
 
 
 def gram_hashes(data: np.ndarray) -> np.ndarray:
@@ -171,23 +173,31 @@ def solve_bucket(contexts: list[bytes], rel: np.ndarray, length: int = LENGTH) -
     return low, high, edges
 
 
+def encode_places(at: np.ndarray, first: np.ndarray, last: np.ndarray, half: int) -> np.ndarray:
+    """Anchor and the distances to its first and last start as one number."""
+    return (at * half + (at - first)) * half + (at - last)
+
+
+def decode_place(place: int, half: int) -> tuple[int, int, int]:
+    rest, to_last = divmod(place, half)
+    at, to_first = divmod(rest, half)
+    return at, at - to_first, at - to_last
+
+
 def marked(docs: DataFrame, key: str, text: str, length: int) -> DataFrame:
     """``key``, ``sha``, ``n_bytes`` and the anchors of each document, with a hash of the bytes that all its stretches share."""
-    least = length - length // 2 + 1
+    half = length // 2
+    least = length - half + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
-
         digest = xxhash.xxh3_64_intdigest
         for batch in slices(batches):
             texts = batch.column("text").fill_null("").cast(pa.large_binary()).to_pylist()
             found = [anchors(t, length) for t in texts]
             cores = [digest(t[a : a + least]) for t, (at, _, _) in zip(texts, found, strict=True) for a in at.tolist()]
             counts = np.cumsum([0] + [len(x[0]) for x in found])
-            columns = [np.concatenate([x[k] for x in found]).astype(np.int32) for k in range(3)]
-            inner = pa.StructArray.from_arrays(
-                [*map(pa.array, columns), pa.array(np.array(cores, dtype=np.uint64).view(np.int64))], ["pos", "lo", "hi", "core"]
-            )
+            places = np.concatenate([encode_places(*x, half) for x in found])
+            inner = pa.StructArray.from_arrays([pa.array(places), pa.array(np.array(cores, dtype=np.uint64).view(np.int64))], ["place", "core"])
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("key"),
@@ -200,58 +210,78 @@ def marked(docs: DataFrame, key: str, text: str, length: int) -> DataFrame:
 
     kind = docs.schema[key].dataType.simpleString()
     rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
-    return rows.mapInArrow(run, f"key {kind}, sha binary, n_bytes long, anchors array<struct<pos:int,lo:int,hi:int,core:long>>")
+    return rows.mapInArrow(run, f"key {kind}, sha binary, n_bytes long, anchors array<struct<place:long,core:long>>")
 
 
-def candidates(docs: DataFrame, places: DataFrame, key: str, text: str, length: int) -> DataFrame:
-    """``tid``, ``text`` and the anchors in question of every distinct text that may have a repeat."""
-    by_text = places.filter(F.col("n_bytes") >= length).groupBy("sha").agg(F.min("key").alias("key"), F.first("anchors").alias("anchors"))
-    rows = by_text.select("sha", "key", F.explode("anchors").alias("a")).select("sha", "key", "a.*")
+def packed(docs: DataFrame, key: str, text: str, length: int) -> DataFrame:
+    """``key``, ``sha`` and the compressed bytes of the texts that are long enough: they are moved once or twice."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=1).compress
+        for batch in slices(batches):
+            texts = batch.column("text").cast(pa.large_binary()).to_pylist()
+            shas = pa.array([hashlib.sha256(t).digest() for t in texts], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("key"), shas, pa.array([pack(t) for t in texts], pa.binary())], ["key", "sha", "packed"])
+
+    kind = docs.schema[key].dataType.simpleString()
+    rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text")).filter(F.octet_length("text") >= length)
+    return rows.mapInArrow(run, f"key {kind}, sha binary, packed binary")
+
+
+def distinct_texts(places: DataFrame, length: int) -> DataFrame:
+    """``tid``, ``sha``, ``key`` of one row and ``anchors`` of every distinct text that is long enough."""
+    once = places.filter(F.col("n_bytes") >= length).groupBy("sha").agg(F.min("key").alias("key"), F.first("anchors").alias("anchors"))
+    return once.select(F.monotonically_increasing_id().alias("tid"), "sha", "key", "anchors")
+
+
+def candidates(docs: DataFrame, distinct: DataFrame, key: str, text: str, length: int) -> DataFrame:
+    """``tid``, ``packed`` bytes and the anchors in question of every distinct text that may have a repeat."""
+    rows = distinct.select("tid", F.explode("anchors").alias("a")).select("tid", "a.place", "a.core")
     twice = rows.groupBy("core").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("core")
-    lists = rows.join(twice, "core").groupBy("key", "sha").agg(F.sort_array(F.collect_list(F.struct("pos", "lo", "hi"))).alias("anchors"))
-    body = F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary")
-    texts = docs.select(F.col(key).alias("key"), body.alias("text")).filter(F.octet_length("text") >= length)
-    texts = texts.withColumn("sha", F.unhex(F.sha2("text", 256)))
+    lists = rows.join(twice, "core").groupBy("tid").agg(F.sort_array(F.collect_list("place")).alias("places"))
+    wanted = distinct.select("tid", "sha", "key").join(lists, "tid")
     # repeated rows meet here; each task has sent one of them
-    once = texts.groupBy("key", "sha").agg(F.first("text").alias("text"))
-    return lists.join(once, (lists["sha"] == once["sha"]) & lists["key"].eqNullSafe(once["key"])).select(
-        lists["sha"].alias("tid"), "text", "anchors"
-    )
+    once = packed(docs, key, text, length).groupBy("key", "sha").agg(F.first("packed").alias("packed"))
+    return wanted.join(once, (wanted["sha"] == once["sha"]) & wanted["key"].eqNullSafe(once["key"])).select("tid", "packed", "places")
 
 
 def contexts(texts: DataFrame, length: int) -> DataFrame:
     """``tid``, ``pos`` of the anchor, ``rel`` (bytes ahead of it) and the bytes that its stretches span."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, limit=1 << 20):
+        unpack = zstandard.ZstdDecompressor().decompress
+        for batch in slices(batches, "packed", 1 << 18):
             tids, poss, rels, datas = [], [], [], []
-            for tid, text, found in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                for a in found:
+            for tid, body, places in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                text = unpack(body)
+                for place in places:
+                    at, first, last = decode_place(place, length // 2)
                     tids.append(tid)
-                    poss.append(a["pos"])
-                    rels.append(a["pos"] - a["lo"])
-                    datas.append(text[a["lo"] : a["hi"] + length])
+                    poss.append(at)
+                    rels.append(at - first)
+                    datas.append(text[first : last + length])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(tids, pa.binary()), pa.array(poss, pa.int32()), pa.array(rels, pa.int32()), pa.array(datas, pa.binary())],
+                [pa.array(tids, pa.int64()), pa.array(poss, pa.int32()), pa.array(rels, pa.int32()), pa.array(datas, pa.binary())],
                 ["tid", "pos", "rel", "data"],
             )
 
-    return texts.select("tid", "text", "anchors").mapInArrow(run, "tid binary, pos int, rel int, data binary")
+    return texts.select("tid", "packed", "places").mapInArrow(run, "tid long, pos int, rel int, data binary")
 
 
 def repeated_spans(texts: DataFrame, length: int = LENGTH, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """(``tid``, ``start``, ``end``) stretches of the candidate texts that also start elsewhere; they may overlap."""
     spark = texts.sparkSession
-    span = F.expr(f"aggregate(anchors, 0L, (s, a) -> s + a.hi - a.lo + {length})")
-    total = texts.agg(F.sum(span)).first()[0] or 0
+    # an anchor stands for about half of ``length // 2`` starts
+    total = (length + length // 4) * (texts.agg(F.sum(F.size("places"))).first()[0] or 0)
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // bucket_bytes))
     suffix = F.expr("substring(data, rel + 1, length(data) - rel)")
     buckets = contexts(texts, length).repartitionByRange(n, suffix, F.xxhash64("tid", "pos"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(list(batches))
-        if not table.num_rows:
+        got = [b for b in batches if b.num_rows]
+        if not got:
             return
+        table = pa.Table.from_batches(got)
         tid, pos, rel, data = (c.to_pylist() for c in table.columns)
         low, high, edges = solve_bucket(data, np.array(rel, dtype=np.int64), length)
         hit = np.flatnonzero(low <= high).tolist()
@@ -262,7 +292,7 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, bucket_bytes: int = B
             out.append((tid[i], pos[i] + back, pos[i] + back + length, name, twin))
         for at in range(0, len(out), 50_000):
             columns = list(zip(*out[at : at + 50_000], strict=True))
-            kinds = [pa.binary(), pa.int32(), pa.int32(), pa.binary(), pa.bool_()]
+            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.bool_()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["tid", "start", "end", "name", "twin"])
 
     solved = write_through(buckets.mapInArrow(run, LINK + ", name binary, twin boolean"), "suffix-spans")
@@ -278,9 +308,11 @@ def cut_texts(texts: DataFrame, spans: DataFrame) -> DataFrame:
     per_text = spans.groupBy("tid").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        unpack = zstandard.ZstdDecompressor().decompress
+        for batch in slices(batches, "packed", 1 << 20):
             rows = []
-            for tid, text, found in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for tid, body, found in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                text = unpack(body)
                 kept, at, removed, n = [], 0, 0, 0
                 for start, end in sorted((s["start"], s["end"]) for s in found):
                     if start > at or not n:
@@ -294,12 +326,12 @@ def cut_texts(texts: DataFrame, spans: DataFrame) -> DataFrame:
                 rows.append((tid, removed, n, b"".join(kept)))
             tids, removed, n, kept = zip(*rows, strict=True)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(tids, pa.binary()), pa.array(removed, pa.int64()), pa.array(n, pa.int64()), pa.array(kept, pa.binary())],
+                [pa.array(tids, pa.int64()), pa.array(removed, pa.int64()), pa.array(n, pa.int64()), pa.array(kept, pa.binary())],
                 ["tid", "n_removed", "n_spans", "kept"],
             )
 
-    joined = texts.select("tid", "text").join(per_text, "tid").select("tid", "text", "spans")
-    return joined.mapInArrow(run, "tid binary, n_removed long, n_spans long, kept binary")
+    joined = texts.select("tid", "packed").join(per_text, "tid").select("tid", "packed", "spans")
+    return joined.mapInArrow(run, "tid long, n_removed long, n_spans long, kept binary")
 
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
@@ -309,15 +341,17 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     as it is. A text that another row repeats in full is all removed, in both; texts below ``length``
     bytes never are. Null texts are empty, null keys and repeated rows are kept, extra columns left out.
     """
-    if length < 4 * GRAM:
-        raise ValueError(f"length must be {4 * GRAM} or more")
+    if not 4 * GRAM <= length < 1 << 16:
+        raise ValueError(f"length must be {4 * GRAM} or more, and below 65536")
     places = write_through(marked(docs, key, text, length), "suffix-anchors")
-    texts = write_through(candidates(docs, places, key, text, length), "suffix-texts")
+    distinct = write_through(distinct_texts(places, length), "suffix-distinct")
+    texts = write_through(candidates(docs, distinct, key, text, length), "suffix-texts")
     cuts = cut_texts(texts, repeated_spans(texts, length)).withColumn("kept_sha", F.sha2("kept", 256))
     copies = places.filter(F.col("n_bytes") >= length).groupBy("sha").agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1")
     # a text is cut in part or is a copy; both sides have a text once
-    changed = copies.join(cuts, F.col("sha") == F.col("tid"), "full_outer").select(
-        F.coalesce("sha", "tid").alias("__sha"), "copies", "n_removed", "n_spans", "kept", "kept_sha"
+    named = cuts.join(distinct.select("tid", F.col("sha").alias("cut_sha")), "tid")
+    changed = copies.join(named, F.col("sha") == F.col("cut_sha"), "full_outer").select(
+        F.coalesce("sha", "cut_sha").alias("__sha"), "copies", "n_removed", "n_spans", "kept", "kept_sha"
     )
     rows = places.select(F.col("key").alias(key), "sha", "n_bytes").join(changed, F.col("sha") == F.col("__sha"), "left")
     whole = F.col("copies").isNotNull()
