@@ -237,7 +237,8 @@ def distinct_texts(places: DataFrame, length: int) -> DataFrame:
 def candidates(docs: DataFrame, distinct: DataFrame, key: str, text: str, length: int) -> DataFrame:
     """``tid``, ``packed`` bytes and the anchors in question of every distinct text that may have a repeat."""
     rows = distinct.select("tid", F.explode("anchors").alias("a")).select("tid", "a.place", "a.core")
-    twice = rows.groupBy("core").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("core")
+    # as a table of its own, so that the join below can split a core that very many anchors share
+    twice = write_through(rows.groupBy("core").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("core"), "suffix-cores")
     lists = rows.join(twice, "core").groupBy("tid").agg(F.sort_array(F.collect_list("place")).alias("places"))
     wanted = distinct.select("tid", "sha", "key").join(lists, "tid")
     # repeated rows meet here; each task has sent one of them
