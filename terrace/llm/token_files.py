@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,9 +35,10 @@ LAYOUT = {
     "compression": "zstd",
 }
 #: Words a worker keeps the ids of; further words are encoded again when they come up.
-KEPT_WORDS = 400_000
-#: Words that are one run of letters, with or without one mark behind: one or two pieces for the tokenizer.
-PLAIN = r"^[A-Za-zÀ-ÖØ-öø-ÿ]+[.,]?$"
+KEPT_WORDS = 800_000
+#: Words that are one run of letters, with or without a run of marks behind: one or two pieces for the tokenizer.
+MARKS = r"[.,;:!?|*$%&#)]"
+PLAIN = rf"^[A-Za-zÀ-ÖØ-öø-ÿ]+{MARKS}*$"
 _LOADED: dict[str, WordIds] = {}
 
 
@@ -55,21 +57,21 @@ class WordIds:
 
     def plain(self, fresh: pa.Array) -> list[bytes]:
         """Ids of plain words, many to a call: pieces are told apart by the tokens that close them."""
-        marked = pc.match_substring_regex(fresh, r"[.,]$").to_numpy(zero_copy_only=False)
+        marked = pc.match_substring_regex(fresh, f"{MARKS}$").to_numpy(zero_copy_only=False)
         texts = fresh.to_pylist()
         found: list[bytes] = []
         for at in range(0, len(texts), 2000):
             ids = np.array(self.tokenizer.encode(" ".join(texts[at : at + 2000]), add_special_tokens=False).ids, dtype=np.uint32)
             last = np.cumsum(1 + marked[at : at + 2000].astype(np.int64)) - 1
             ends = np.flatnonzero(self.closes[ids])[last] + 1
-            raw = ids.tobytes()
-            found.extend(raw[4 * a : 4 * b] for a, b in zip(np.concatenate(([0], ends[:-1])).tolist(), ends.tolist(), strict=True))
+            raw, stops = ids.tobytes(), (4 * ends).tolist()
+            found.extend(map(raw.__getitem__, map(slice, [0, *stops[:-1]], stops)))
         return found
 
     def look_up(self, distinct: pa.Array) -> list[bytes]:
         """Ids of each word, as bytes of little-endian unsigned 32-bit integers."""
         names = distinct.to_pylist()
-        found = [self.kept.get(x) for x in names]
+        found = list(map(self.kept.get, names))
         fresh = [i for i, x in enumerate(found) if x is None]
         if fresh:
             new = distinct.take(pa.array(fresh))
@@ -82,10 +84,9 @@ class WordIds:
                 some = hard[at : at + 2000]
                 coded = self.tokenizer.encode_batch([names[i] for i in some], add_special_tokens=False)
                 for i, one in zip(some, coded, strict=True):
-                    found[i] = np.array(one.ids, dtype="<u4").tobytes()
-            room = KEPT_WORDS - len(self.kept)
-            for i in fresh[: max(room, 0)]:
-                self.kept[names[i]] = found[i]
+                    found[i] = array("I", one.ids).tobytes()
+            room = fresh[: max(KEPT_WORDS - len(self.kept), 0)]
+            self.kept.update(zip(map(names.__getitem__, room), map(found.__getitem__, room), strict=True))
         return found
 
     def encode(self, texts: pa.Array, end_id: int) -> pa.Array:
