@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terrace.functions.masks import RESTRICTIVENESS, Mask, by_name
+from terrace.functions.masks import RESTRICTIVENESS, Mask, by_name, null
 from terrace.operators.hierarchy import with_self
 from terrace.plans.closure import transitive_closure
 from terrace.plans.joins import any_of
-from terrace.session import write_through
 
 
 @dataclass(frozen=True)
@@ -31,27 +31,15 @@ class ColumnMask:
     exempt: frozenset[str] = frozenset()
 
 
-def row_filter(df: DataFrame, policies: list[RowPolicy], principal: str, max_values: int = 5_000) -> DataFrame:
+def row_filter(df: DataFrame, policies: list[RowPolicy], principal: str) -> DataFrame:
     """Rows allowed by at least one policy of the principal; no policy, no rows.
 
-    Mapping rows of this one principal (never data rows, at most ``max_values + 1``) are read to
-    the driver and become a literal predicate, because Spark moves a caller's own filter below a
-    semi join and could show it hidden rows. A longer list is joined, and the result is written
-    to the shared folder before it is handed out, which keeps later filters above the policy.
+    Lists of values are joined, however long they are, and nothing is written or read to the driver.
+    Spark moves a caller's own filter below a join and could show it hidden rows; a row count that is
+    observed above the policy keeps it there. That is how Spark plans today, so a test holds the plan.
     """
-    literal: list[Column] = []
-    joined: list[RowPolicy] = []
-    for policy in policies:
-        if policy.mapping is None:
-            if principal in policy.principals:
-                literal.append(policy.predicate)
-            continue
-        values = policy.mapping.filter((F.col("principal") == principal) & F.col("value").isNotNull())
-        listed = [r[0] for r in values.select("value").distinct().limit(max_values + 1).collect()]
-        if len(listed) > max_values:
-            joined.append(policy)
-        elif listed:
-            literal.append(F.col(policy.column).isin(listed))
+    literal = [p.predicate for p in policies if p.mapping is None and principal in p.principals]
+    joined = [p for p in policies if p.mapping is not None]
     if not joined:
         return df.filter(any_of(literal))
     seen = any_of(literal)
@@ -60,14 +48,20 @@ def row_filter(df: DataFrame, policies: list[RowPolicy], principal: str, max_val
         mine = policy.mapping.filter(F.col("principal") == principal).select(F.col("value").alias(f"__v{i}")).distinct()
         rows = rows.join(mine, F.col(policy.column) == F.col(f"__v{i}"), "left")
         seen = seen | F.col(f"__v{i}").isNotNull()
-    return write_through(rows.filter(seen).select(*df.columns), "secured")
+    counted = rows.filter(seen).select(*df.columns)
+    return counted.observe(f"policy-{uuid.uuid4().hex}", F.count(F.lit(1)).alias("rows"))
 
 
 def column_mask(df: DataFrame, masks: dict[str, ColumnMask], principal: str) -> DataFrame:
-    """Replace values of masked columns unless the principal is exempt; column order stays."""
+    """Replace values of masked columns unless the principal is exempt; column order stays.
+
+    Names are told apart as the session tells them (``spark.sql.caseSensitive``).
+    """
+    same = _name_rule(df)
+    rules = {same(name): rule for name, rule in masks.items()}
     out = []
     for field in df.schema.fields:
-        rule = masks.get(field.name)
+        rule = rules.get(same(field.name))
         if rule is None or principal in rule.exempt:
             out.append(F.col(field.name))
         else:
@@ -75,17 +69,24 @@ def column_mask(df: DataFrame, masks: dict[str, ColumnMask], principal: str) ->
     return df.select(*out)
 
 
+def _name_rule(df: DataFrame):
+    """How the session tells column names apart."""
+    return str if df.sparkSession.conf.get("spark.sql.caseSensitive") == "true" else str.lower
+
+
 def attribute_policies(tags: DataFrame, policies: DataFrame, principal_attrs: DataFrame) -> DataFrame:
     """(principal, object, column, effect, mask) for every tagged column a policy speaks about.
 
     ``tags`` (object, column, tag); ``policies`` (tag, attr, attr_value, effect, mask);
     ``principal_attrs`` (principal, attr, attr_value). Deny beats allow, then the most
-    restrictive mask wins. A NULL attribute matches nothing.
+    restrictive mask wins. A NULL attribute matches nothing. Only the effect ``allow`` allows, in any
+    case of letters; a NULL or other effect denies, and an allowed but unknown mask hides the value.
     """
     ranks = F.array(*[F.lit(m) for m in RESTRICTIVENESS])
     rules = policies.select(
-        "tag", "attr", "attr_value", (F.col("effect") == "deny").alias("deny"),
-        F.array_position(ranks, F.col("mask")).alias("rank"),
+        "tag", "attr", "attr_value", (~F.coalesce(F.lower("effect") == "allow", F.lit(False))).alias("deny"),
+        # position 0 is a name that is not known, NULL a rule without a mask: both rank with the mask null
+        F.greatest(F.coalesce(F.array_position(ranks, F.col("mask")), F.lit(1)), F.lit(1)).alias("rank"),
     )
     held = principal_attrs.select("principal", "attr", "attr_value").distinct()
     # settle policies per principal and tag before columns multiply them
@@ -137,8 +138,9 @@ def secure_view(
 
     ``privileges`` is the result of :func:`effective_privileges`, ``decisions`` that of
     :func:`attribute_policies`. Without SELECT there are no rows. Filters see raw values, the
-    caller sees masked ones; denied columns come back NULL. Only this principal's policy rows
-    (at most one per column) reach the driver.
+    caller sees masked ones; denied columns and those with an unknown mask come back NULL. Of the
+    decisions only this principal's for the table's real columns reach the driver, one per column;
+    where names differ in case only, the most restrictive holds.
     """
     may_read = not privileges.filter(
         (F.col("principal") == principal) & (F.col("object_id") == object_id) & (F.col("privilege") == "SELECT")
@@ -146,10 +148,17 @@ def secure_view(
     if not may_read:
         return df.filter(F.lit(False))
     mine = decisions.filter((F.col("principal") == principal) & (F.col("object") == object_id))
+    same = _name_rule(df)
+    column = F.col("column") if same is str else F.lower("column")
+    ranks = F.array(*[F.lit(m) for m in RESTRICTIVENESS])
+    position = F.greatest(F.coalesce(F.array_position(ranks, F.col("mask")), F.lit(1)), F.lit(1))
+    rank = F.when(F.coalesce(F.lower("effect") == "allow", F.lit(False)), position).otherwise(1)
+    real = mine.filter(column.isin([same(c) for c in df.columns])).groupBy(column.alias("column"))
+    options = {same(c): o for c, o in (mask_options or {}).items()}
     masks = {}
-    for row in mine.select("column", "effect", "mask").limit(len(df.columns)).collect():
-        name = "null" if row["effect"] == "deny" else row["mask"]
-        masks[row["column"]] = ColumnMask(by_name(name, **(mask_options or {}).get(row["column"], {})))
+    for row in real.agg(F.min(rank).alias("rank")).collect():
+        name = RESTRICTIVENESS[int(row["rank"]) - 1]
+        masks[row["column"]] = ColumnMask(null() if name == "null" else by_name(name, **options.get(row["column"], {})))
     return column_mask(row_filter(df, row_policies, principal), masks, principal)
 
 

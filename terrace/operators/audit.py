@@ -110,7 +110,8 @@ def top_k(df: DataFrame, group: list[str], by: list[Column | str], k: int, sprea
     small ``k`` only; for a larger one the group is first ranked in ``spread`` parts.
     """
     if k > PER_TASK_LIMIT:
-        part = F.pmod(F.xxhash64(*df.columns), F.lit(spread))
+        # any spread will do, since the order is total; a row number takes columns of every type
+        part = F.pmod(F.monotonically_increasing_id(), F.lit(spread))
         pieces = df.withColumn("__part", part)
         w = Window.partitionBy(*group, "__part").orderBy(*by)
         df = pieces.withColumn("__r", F.row_number().over(w)).filter(F.col("__r") <= k).drop("__part", "__r")
@@ -118,9 +119,17 @@ def top_k(df: DataFrame, group: list[str], by: list[Column | str], k: int, sprea
     return df.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
-def frequent_values(df: DataFrame, col: str, group: list[str], k: int, tracked: int = 10_000) -> DataFrame:
-    """(group, rank, value, n): most frequent values by a bounded sketch; counts are exact while a
-    group has at most ``tracked`` distinct values."""
+def frequent_values(df: DataFrame, col: str, group: list[str], k: int, method: str = "exact", tracked: int = 10_000) -> DataFrame:
+    """(group, rank, value, n): most frequent values, equal counts by the value.
+
+    ``method="sketch"`` trades exact counts for a bounded state: they are estimates where a group has
+    more than ``tracked`` distinct values, and the order of equals is open.
+    """
+    if method == "exact":
+        counted = df.groupBy(*group, F.col(col).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+        return top_k(counted, group, [F.desc("n"), F.asc_nulls_last("value")], k).select(*group, "rank", "value", "n")
+    if method != "sketch":
+        raise ValueError(f"unknown method {method}")
     found = df.groupBy(*group).agg(F.expr(f"approx_top_k({col}, {int(k)}, {int(tracked)})").alias("top"))
     listed = found.select(*group, F.posexplode("top").alias("pos", "t"))
     return listed.select(*group, (F.col("pos") + 1).alias("rank"), F.col("t.item").alias("value"), F.col("t.count").alias("n"))
@@ -191,7 +200,7 @@ def verify_access(
 
     Grants of a key must not overlap (a result of the history operator does not). Both sides are
     merged in time order and the latest grant is carried forward, so the work is linear even for
-    a key with very many accesses and grants. ``chunk`` is written over ``__t``. A stream of
+    a key with very many accesses and grants. A NULL key grants nothing. ``chunk`` is written over ``__t``. A stream of
     accesses is joined to the stored history instead.
     """
     if access_log.isStreaming:
@@ -215,7 +224,8 @@ def verify_access(
     both = tag_chunks(uses.unionByName(opens), keys, slot, hot_rows)
     merged = last_known(both, keys, ["__t", "__kind"], F.col("__grant"), "__g")
     valid = F.col("__g.valid_to").isNull() | (F.col("__t") < F.col("__g.valid_to"))
-    allowed = F.coalesce(F.col("__g").isNotNull() & valid, F.lit(False))
+    known = all_of([F.col(k).isNotNull() for k in keys])
+    allowed = F.coalesce(F.col("__g").isNotNull() & valid & known, F.lit(False))
     return merged.filter("__kind = 1").select(
         *keys, "__row.*", allowed.alias("allowed"), F.when(allowed, F.col("__g.valid_from")).alias("granted_at")
     )

@@ -46,9 +46,12 @@ def price_usage(usage: DataFrame, prices: DataFrame, keys: list[str], time: str,
 
 
 def attribute_cost(costs: DataFrame, tag_rules: DataFrame, workspace_owner: DataFrame, tag: str = "tag", workspace: str = "workspace") -> DataFrame:
-    """Add ``owner`` and ``owner_by``: by tag, else by workspace, else unallocated."""
-    rules = tag_rules.select(F.col("tag").alias("__tag"), F.col("owner").alias("__by_tag")).dropDuplicates(["__tag"])
-    owners = workspace_owner.select(F.col("workspace").alias("__ws"), F.col("owner").alias("__by_ws")).dropDuplicates(["__ws"])
+    """Add ``owner`` and ``owner_by``: by tag, else by workspace, else unallocated.
+
+    Of several owners for one tag or workspace the first by name is taken.
+    """
+    rules = tag_rules.groupBy(F.col("tag").alias("__tag")).agg(F.min("owner").alias("__by_tag"))
+    owners = workspace_owner.groupBy(F.col("workspace").alias("__ws")).agg(F.min("owner").alias("__by_ws"))
     out = costs.join(rules, F.col(tag) == F.col("__tag"), "left").join(owners, F.col(workspace) == F.col("__ws"), "left")
     how = F.when(F.col("__by_tag").isNotNull(), "tag").when(F.col("__by_ws").isNotNull(), "workspace").otherwise("none")
     return out.select(
@@ -67,19 +70,25 @@ def allocate_shared(pools: DataFrame, drivers: DataFrame, slots: int = 1024, hot
 
     Largest remainder: every driver gets the whole cents of its share, and the cents left go to
     the largest remainders; equal remainders are settled by the md5 of the id. Equal weights are
-    used where all weights of a pool are zero; negative pools split like positive ones.
+    used where all weights of a pool are zero; negative pools split like positive ones. A NULL weight
+    counts as zero. A pool without drivers stays whole, in a row of its own with NULL for the driver,
+    so that the parts of every pool add up to it.
 
     A pool may hold very many drivers, so they are never ranked in one task: remainders are
     counted in ``slots`` per pool, slots above the cut get a cent wholesale, and only the one
     slot in which the cents run out is ranked, itself in chunks.
     """
-    weights = drivers.groupBy("pool").agg(F.sum("weight").alias("__w"), F.count(F.lit(1)).alias("__n"))
+    lone = pools.join(drivers.select("pool").distinct(), "pool", "left_anti")
+    lone = lone.select(*[F.col(c) if c == "pool" else F.lit(None).cast(drivers.schema[c].dataType).alias(c) for c in drivers.columns], "cents")
+    given = drivers.columns
+    drivers = drivers.withColumn("__weight", F.coalesce("weight", F.lit(0)))
+    weights = drivers.groupBy("pool").agg(F.sum("__weight").alias("__w"), F.count(F.lit(1)).alias("__n"))
     pool = pools.join(weights, "pool").select(
         "pool", "cents", F.signum(F.col("cents").cast("double")).cast("bigint").alias("__sign"), F.abs("cents").alias("__c"),
         F.when(F.col("__w") > 0, F.col("__w")).otherwise(F.col("__n")).alias("__w"), (F.col("__w") <= 0).alias("__even"),
     )
     rows = drivers.join(pool, "pool")
-    rows = rows.withColumn("__v", F.when(F.col("__even"), F.lit(1)).otherwise(F.col("weight")).cast("bigint"))
+    rows = rows.withColumn("__v", F.when(F.col("__even"), F.lit(1)).otherwise(F.col("__weight")).cast("bigint"))
     rows = rows.withColumns({"__share": _exact("div"), "__rem": _exact("%")})
     # the slot only has to grow with the remainder, so floating point will do
     part = F.floor(F.col("__rem").cast("double") / F.col("__w").cast("double") * slots).cast("int")
@@ -102,8 +111,8 @@ def allocate_shared(pools: DataFrame, drivers: DataFrame, slots: int = 1024, hot
     partly = partly.withColumn(CHUNK, F.when(F.col("__k") > hot_rows, chunk))
     ranked = running_total(partly, ["pool"], ["__down", "__tie", "id"], F.lit(1).cast("bigint"), "__rank")
     ranked = ranked.withColumn("__extra", (F.col("__rank") <= F.col("__quota")).cast("bigint"))
-    final = [*drivers.columns, (F.col("__sign") * (F.col("__share") + F.col("__extra"))).alias("cents")]
-    return whole.select(*final).unionByName(ranked.select(*final))
+    final = [*given, (F.col("__sign") * (F.col("__share") + F.col("__extra"))).alias("cents")]
+    return whole.select(*final).unionByName(ranked.select(*final)).unionByName(lone)
 
 
 def cost_rollup(costs: DataFrame, levels: list[str], cents: str = "cost_cents") -> DataFrame:

@@ -26,17 +26,21 @@ def hierarchy_rollup(facts: DataFrame, node: str, edges: DataFrame, measures: di
     """Sums of ``measures`` at every node of the tree, own rows included.
 
     Facts are reduced to one row per node before they meet the tree, so the join multiplies
-    nodes by their depth and never rows.
+    nodes by their depth and never rows. A node outside the tree keeps its own level, and facts
+    without a node stay under NULL, so nothing is lost.
     """
     per_node = facts.groupBy(F.col(node).alias("__node")).agg(*[F.sum(c).alias(n) for n, c in measures.items()])
     closure = with_self(transitive_closure(edges, "child", "parent", with_path=False))
-    joined = per_node.join(closure, F.col("__node") == F.col("node"))
-    return joined.groupBy(F.col("ancestor").alias("node")).agg(*[F.sum(n).alias(n) for n in measures])
+    joined = per_node.join(closure, F.col("__node") == F.col("node"), "left")
+    return joined.groupBy(F.coalesce("ancestor", "__node").alias("node")).agg(*[F.sum(n).alias(n) for n in measures])
 
 
 def tag_workspace(df: DataFrame, on: str, mapping: DataFrame) -> DataFrame:
-    """Add ``workspace`` from ``mapping(on, workspace)``; NULL where there is no mapping."""
-    return df.join(mapping.select(on, "workspace").dropDuplicates([on]), on, "left")
+    """Add ``workspace`` from ``mapping(on, workspace)``; NULL where there is no mapping.
+
+    Of several workspaces for one value the first by name is taken.
+    """
+    return df.join(mapping.groupBy(on).agg(F.min("workspace").alias("workspace")), on, "left")
 
 
 def route_by_workspace(df: DataFrame, on: str, mapping: DataFrame, path: str, unmapped: str = "_unmapped") -> None:

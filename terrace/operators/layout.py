@@ -90,9 +90,9 @@ def cluster_layout(df: DataFrame, cols: list[str], method: str = "range", files:
 
 
 def file_stats(df: DataFrame, cols: list[str]) -> DataFrame:
-    """(file, column, n_rows, n_null, low, high) of a file-backed table; low and high are doubles."""
+    """(file, column, n_rows, n_null, low, high) of a file-backed table; low and high are doubles, file is its path."""
     numbers = [F.col(c).cast("double") for c in cols]
-    wide = df.select(F.col("_metadata.file_name").alias("file"), *[n.alias(c) for n, c in zip(numbers, cols)])
+    wide = df.select(F.col("_metadata.file_path").alias("file"), *[n.alias(c) for n, c in zip(numbers, cols)])
     wide = wide.groupBy("file").agg(
         F.count(F.lit(1)).alias("n_rows"),
         *[

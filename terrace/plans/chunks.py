@@ -41,7 +41,7 @@ def tag_chunks(df: DataFrame, keys: list[str], chunk: Column, hot_rows: int = HO
         return df.withColumn(CHUNK, F.when(known, chunk))
     counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
     hot = counted.filter(F.col("__n") > hot_rows).select(*keys, F.lit(True).alias("__hot"))
-    return _matched(df, F.broadcast(hot), keys).withColumn(CHUNK, F.when(F.col("__hot"), chunk)).drop("__hot")
+    return _matched(df, hot, keys).withColumn(CHUNK, F.when(F.col("__hot"), chunk)).drop("__hot")
 
 
 def untag(tagged: DataFrame) -> DataFrame:

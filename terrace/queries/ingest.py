@@ -352,7 +352,8 @@ SELECT 'orders.parquet' AS file, 'o_custkey' AS "column", count(*) AS n_rows, co
 UNION ALL SELECT 'orders.parquet', 'o_totalprice', count(*), count(*) - count(o_totalprice), min(o_totalprice), max(o_totalprice) FROM orders
 """)
 def file_stats(spark: SparkSession, sf: str) -> DataFrame:
-    return layout.file_stats(table(spark, sf, "orders"), ["o_custkey", "o_totalprice"])
+    stats = layout.file_stats(table(spark, sf, "orders"), ["o_custkey", "o_totalprice"])
+    return stats.withColumn("file", F.substring_index("file", "/", -1))
 
 
 @query("""

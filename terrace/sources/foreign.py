@@ -65,8 +65,12 @@ def union_sources(sources: dict[str, DataFrame]) -> DataFrame:
 
 
 def source_digest(df: DataFrame) -> DataFrame:
-    """Row count and an order-free checksum, one row, reduced map-side."""
-    checksum = F.sum(F.xxhash64(*sorted(df.columns)).cast("decimal(38,0)"))
+    """Row count and an order-free checksum, one row, reduced map-side.
+
+    A hash passes over NULLs, so that it also takes whether each column is NULL.
+    """
+    names = sorted(df.columns)
+    checksum = F.sum(F.xxhash64(*names, *[F.col(c).isNull() for c in names]).cast("decimal(38,0)"))
     return df.agg(F.count(F.lit(1)).alias("n_rows"), F.coalesce(checksum, F.lit(0)).alias("checksum"))
 
 

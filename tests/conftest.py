@@ -4,10 +4,11 @@ from terrace.session import build_session
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
+    shared = str(tmp_path_factory.mktemp("shared"))
     session = build_session(
         "tests", "local[8]",
-        **{"spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.driver.memory": "8g"},
+        **{"spark.checkpoint.dir": shared, "spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.driver.memory": "8g"},
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

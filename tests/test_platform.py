@@ -26,7 +26,7 @@ def test_partition_overwrite_touches_only_its_partitions(spark):
         layout.write_partitioned(spark.createDataFrame([(3, "b"), (4, "b")], "id int, p string"), path, ["p"], ["id"], 1)
     out = spark.read.parquet(path)
     assert bag(out, "id", "p") == {(1, "a"): 1, (3, "b"): 1, (4, "b"): 1}
-    assert out.filter("p = 'b'").select("_metadata.file_name").distinct().count() == 2
+    assert out.filter("p = 'b'").select("_metadata.file_path").distinct().count() == 2
     assert "PartitionFilters: [isnotnull(p" in executed_plan(out.filter("p = 'b'"))
 
 
@@ -49,7 +49,7 @@ def test_clustering_keeps_rows_and_skips_files(spark, line, method):
     assert skipped.count() >= 8
     if method == "zorder":
         assert layout.prunable_files(stats, "l_suppkey", 1, 1).count() >= 4
-    hit = {r[0] for r in stored.filter("l_partkey between 10 and 20").select("_metadata.file_name").distinct().collect()}
+    hit = {r[0] for r in stored.filter("l_partkey between 10 and 20").select("_metadata.file_path").distinct().collect()}
     assert not hit & {r[0] for r in skipped.collect()}
 
 
