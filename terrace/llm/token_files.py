@@ -35,7 +35,7 @@ LAYOUT = {
     "compression": "zstd",
 }
 #: Words a worker keeps the ids of; further words are encoded again when they come up.
-KEPT_WORDS = 800_000
+KEPT_WORDS = 600_000
 #: Words that are one run of letters, with or without a run of marks behind: one or two pieces for the tokenizer.
 MARKS = r"[.,;:!?|*$%&#)]"
 PLAIN = rf"^[A-Za-zÀ-ÖØ-öø-ÿ]+{MARKS}*$"
