@@ -138,11 +138,11 @@ class Parser:
                 ended = np.flatnonzero(onward == 0)
                 if len(ended):
                     # the phrase ends ahead of this byte; a byte that no text has is a phrase of its own
-                    count[ended] += 1
                     again = step[width + symbol[ended]]
+                    count[ended] += (state[ended] != 1).astype(np.int32) + (again == 0)
                     onward[ended] = np.where(again == 0, 1, again)
                 state[:n] = onward
-            found[:, j] = np.bincount(owner[order], weights=count + 1.0, minlength=len(lengths))
+            found[:, j] = np.bincount(owner[order], weights=count + (state != 1.0), minlength=len(lengths))
         return found
 
     def predict(self, texts: pa.Array) -> tuple[list[str], np.ndarray]:
