@@ -25,7 +25,7 @@ def test_query(spark, sf):
     check(rows, texts)
 
 
-@settings(max_examples=25, deadline=None)
+@settings(max_examples=8, deadline=None)
 @given(st.lists(st.text(alphabet="a9@.-+ ()1_%é😀:", max_size=50), min_size=1, max_size=8))
 def test_base_spans(spark, texts):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")

@@ -30,7 +30,7 @@ def test_query(spark, sf):
     assert mismatch(QUERIES["op2_quality_rules"](spark, sf), connect(sf), ORACLES["op2_quality_rules"]) is None
 
 
-@settings(max_examples=15, deadline=None)
+@settings(max_examples=5, deadline=None)
 @given(st.lists(st.text(alphabet="ab|\n\t !#é", max_size=60), max_size=6), st.sampled_from([0, 1, quality_rules.LOOKED_UP]))
 def test_counts(spark, texts, looked_up):
     before, quality_rules.LOOKED_UP = quality_rules.LOOKED_UP, looked_up

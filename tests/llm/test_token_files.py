@@ -44,7 +44,7 @@ def test_query(spark, sf, tokenizer):
     assert got == expected(tokenizer, rows)
 
 
-@settings(max_examples=60, deadline=None)
+@settings(max_examples=40, deadline=None)
 @given(st.lists(st.one_of(st.none(), st.text(max_size=30), st.text(alphabet="aB'ßİς.,1 \u00a0\n\u0301<|endoftext|>’sS", max_size=40)), max_size=8))
 def test_words_have_the_ids_of_the_text(tokenizer, texts):
     ids = token_files.word_ids(tokenizer_path()).encode(pa.array(texts, pa.string()), END_ID).to_pylist()
