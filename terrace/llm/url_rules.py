@@ -53,7 +53,9 @@ def tokens(url: str, host: str, path: str) -> Column:
         F.when(F.size(parts) > 1, F.sequence(F.lit(1), F.size(parts) - 1)).otherwise(F.array().cast("array<int>")),
         lambda i: F.concat(F.lit("h:"), F.array_join(F.slice(parts, i, F.size(parts)), ".")),
     )
-    labels = F.transform(F.flatten(F.transform(parts, lambda p: F.split(p, "-"))), lambda p: F.concat(F.lit("w:"), p))
+    # single labels are in the parents; only the words of compound ones are tokens of their own
+    compound = F.filter(parts, lambda p: F.contains(p, F.lit("-")))
+    labels = F.transform(F.flatten(F.transform(compound, lambda p: F.split(p, "-"))), lambda p: F.concat(F.lit("w:"), p))
     # a run of digits is an address of one page, which no rule should name
     segments = F.transform(
         F.filter(F.split(F.regexp_replace(F.lower(path), "[0-9]+", "0"), "[/._-]"), lambda p: p != ""), lambda p: F.concat(F.lit("p:"), p)
