@@ -3,7 +3,7 @@
 URLs become token sets. Spark's FP-growth mines the token sets that are frequent among blocked URLs;
 those found in enough labelled URLs, with a high enough share of blocked ones and no smaller set that
 does as well, become rules. A URL meets the rules through an inverted index from token to rule: a rule
-fits where as many tokens match as the rule has.
+is listed under its rarest token and fits where the row has its other tokens too.
 """
 
 from __future__ import annotations
@@ -18,6 +18,8 @@ from terrace.session import write_through
 MIN_PAGES, MIN_CONFIDENCE, MAX_TOKENS = 10, 0.6, 3
 #: Share of the blocked URLs that a token set must be in to be mined at all.
 MIN_SUPPORT = 0.004
+#: Blocked URLs that a partition of the mining should hold.
+MINED_ROWS = 50_000
 
 
 def host_of(url: str) -> Column:
@@ -77,9 +79,11 @@ def mine_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_pages:
     schema = "rule_id long, items array<string>, pages long, confidence double"
     rows = write_through(labelled.select("id", "items", "blocked"), "url-labelled")
     bad = rows.filter("blocked").select("items")
-    if bad.isEmpty():
+    n = bad.count()
+    if not n:
         return spark.createDataFrame([], schema)
-    sets = FPGrowth(itemsCol="items", minSupport=min_support).fit(bad).freqItemsets
+    # a basket goes to as many partitions as it has tokens, so no more of them than the baskets need
+    sets = FPGrowth(itemsCol="items", minSupport=min_support, numPartitions=1 + n // MINED_ROWS).fit(bad).freqItemsets
     sets = sets.filter(F.size("items") <= max_tokens).select(F.sort_array("items").alias("items")).distinct()
     ruled = write_through(sets.select(F.xxhash64("items").alias("rule_id"), "items"), "url-sets")
     # every labelled URL, blocked or not, counts for the confidence
@@ -97,13 +101,16 @@ def mine_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_pages:
 
 
 def matched(rows: DataFrame, rules: DataFrame, keep: list[str]) -> DataFrame:
-    """``keep`` and ``rule_id`` of every rule that fits a row: the tokens of both meet in an inverted index.
+    """``keep`` and ``rule_id`` of every rule that fits a row, found through an inverted index.
 
-    ``keep`` must name a key of the rows; tokens are distinct in a row and in a rule.
+    A rule is listed under the token of it that is rarest among the rows, so that common tokens have
+    short lists; its other tokens are then looked for in the row. Tokens are distinct in a row.
     """
-    index = rules.select("rule_id", F.size("items").alias("n"), F.explode("items").alias("token"))
-    met = rows.select(*keep, F.explode("items").alias("token")).join(index, "token")
-    return met.groupBy(*keep, "rule_id", "n").agg(F.count(F.lit(1)).alias("found")).filter("found = n").drop("found", "n")
+    common = rows.select(F.explode("items").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    listed = rules.select("rule_id", F.col("items").alias("wanted"), F.explode("items").alias("token")).join(common, "token")
+    index = listed.groupBy("rule_id", "wanted").agg(F.min(F.struct("n", "token")).alias("rarest")).select("rule_id", "wanted", "rarest.token")
+    met = rows.select(*keep, "items", F.explode("items").alias("token")).join(index, "token")
+    return met.filter(F.size(F.array_except("wanted", "items")) == 0).select(*keep, "rule_id")
 
 
 def judge_urls(pages: DataFrame, labels: DataFrame, fixed: dict[str, str], key: str = "page_id", url: str = "url",
