@@ -22,11 +22,6 @@ def time_slot(c: str | Column, width_seconds: int) -> Column:
     return F.floor(micros(c) / F.lit(width_seconds * 1_000_000)).cast("bigint")
 
 
-def hour_slot(c: str | Column) -> Column:
-    """The usual chunk of a hot key: one per hour."""
-    return time_slot(c, 3600)
-
-
 def day_of(c: str | Column) -> Column:
     """Midnight of the day as a wall-clock timestamp."""
     return _col(c).cast("date").cast("timestamp_ntz")

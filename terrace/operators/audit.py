@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from terrace.functions.times import day_of, hour_slot, micros, time_slot
+from terrace.functions.times import day_of, micros, time_slot
 from terrace.plans.chunks import HOT_ROWS, last_known, neighbour, running_total, tag_chunks, untag
 from terrace.plans.joins import all_of, null_safe_join
 
@@ -42,16 +42,15 @@ def sessionize(
 ) -> DataFrame:
     """Add ``session_no`` (1, 2, ... per key); a pause longer than the gap starts a new session.
 
-    A pause of exactly the gap does not. ``chunk`` (default: the hour) splits keys with more than
-    ``hot_rows`` rows.
+    A pause of exactly the gap does not. Rows without a time come first, each a session of its own.
+    ``chunk`` (default: quantiles) splits keys with more than ``hot_rows`` rows.
     """
-    slot = hour_slot(time) if chunk is None else chunk
-    rows = neighbour(tag_chunks(df, keys, slot, hot_rows), keys, [time], {"__last": F.col(time)})
+    rows = neighbour(tag_chunks(df, keys, time, chunk, hot_rows), [time], {"__last": F.col(time)})
     pause = micros(time) - micros("__last")
     goes_on = F.col("__last").isNotNull() & (pause <= gap_seconds * 1_000_000)
     # rows of one instant come in any order, so the one that starts the session is counted first
     rows = rows.withColumn("__on", F.when(goes_on, 1).otherwise(0).cast("bigint")).drop("__last")
-    return untag(running_total(rows, keys, [time, "__on"], 1 - F.col("__on"), "session_no")).drop("__on")
+    return untag(running_total(rows, [time, "__on"], 1 - F.col("__on"), "session_no")).drop("__on")
 
 
 def session_totals(sessions: DataFrame, time: str, keys: list[str]) -> DataFrame:
@@ -161,7 +160,7 @@ def distribution(
     """(keys, q, value): interpolated percentiles, or ``percentile_approx`` when not exact.
 
     The exact form counts equal values first, then walks the counts in value order; a key with
-    more than ``hot_rows`` distinct values is cut by ``chunk`` (default: whole numbers).
+    more than ``hot_rows`` distinct values is cut by ``chunk`` (default: quantiles). NaN is the largest value.
     """
     if not exact:
         marks = F.array(*[F.lit(q) for q in qs])
@@ -169,8 +168,7 @@ def distribution(
         pairs = F.arrays_zip(marks.alias("q"), F.col("v").alias("value"))
         return wide.select(*keys, F.explode(pairs).alias("p")).select(*keys, "p.q", "p.value")
     counts = df.filter(F.col(col).isNotNull()).groupBy(*keys, col).agg(F.count(F.lit(1)).alias("__n"))
-    slot = F.floor(F.col(col)) if chunk is None else chunk
-    walked = running_total(tag_chunks(counts, keys, slot, hot_rows), keys, [col], F.col("__n"), "__upto")
+    walked = running_total(tag_chunks(counts, keys, col, chunk, hot_rows), [col], F.col("__n"), "__upto")
     walked = untag(walked)
     totals = df.filter(F.col(col).isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("__total"))
     wanted = totals.withColumn("q", F.explode(F.array(*[F.lit(float(q)) for q in qs])))
@@ -200,8 +198,9 @@ def verify_access(
 
     Grants of a key must not overlap (a result of the history operator does not). Both sides are
     merged in time order and the latest grant is carried forward, so the work is linear even for
-    a key with very many accesses and grants. A NULL key grants nothing. ``chunk`` is written over ``__t``. A stream of
-    accesses is joined to the stored history instead.
+    a key with very many accesses and grants. A NULL key grants nothing, nor
+    does a NULL time or start. ``chunk`` is written over ``__t``. A stream of accesses is joined to the
+    stored history instead.
     """
     if access_log.isStreaming:
         held = grant_history.select(*[F.col(k).alias(f"__{k}") for k in keys], "valid_from", "valid_to")
@@ -220,11 +219,10 @@ def verify_access(
         *keys, F.col("valid_from").alias("__t"), F.lit(0).alias("__kind"),
         F.lit(None).cast(uses.schema["__row"].dataType).alias("__row"), grant.alias("__grant"),
     )
-    slot = hour_slot("__t") if chunk is None else chunk
-    both = tag_chunks(uses.unionByName(opens), keys, slot, hot_rows)
-    merged = last_known(both, keys, ["__t", "__kind"], F.col("__grant"), "__g")
+    both = tag_chunks(uses.unionByName(opens), keys, "__t", chunk, hot_rows)
+    merged = last_known(both, ["__t", "__kind"], F.col("__grant"), "__g")
     valid = F.col("__g.valid_to").isNull() | (F.col("__t") < F.col("__g.valid_to"))
-    known = all_of([F.col(k).isNotNull() for k in keys])
+    known = all_of([F.col(k).isNotNull() for k in [*keys, "__t", "__g.valid_from"]])
     allowed = F.coalesce(F.col("__g").isNotNull() & valid & known, F.lit(False))
     return merged.filter("__kind = 1").select(
         *keys, "__row.*", allowed.alias("allowed"), F.when(allowed, F.col("__g.valid_from")).alias("granted_at")

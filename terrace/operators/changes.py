@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrace.operators.refine import dedupe_latest
-from terrace.plans.chunks import CHUNK, HOT_ROWS, neighbour, tag_chunks
+from terrace.plans.chunks import CHUNK, HOT_ROWS, KEY, neighbour, tag_chunks
 from terrace.plans.joins import null_safe_join
 
 GONE = "_deleted"
@@ -36,29 +36,30 @@ def history_from_changes(
     seq: list[str],
     delete_when: Column,
     track: list[str],
-    chunk: Column,
+    chunk: Column | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Rows ``keys, track, seq[1:], valid_from, valid_to`` with half-open ranges, NULL = still open.
 
     ``seq[0]`` is the event time, the rest break ties: the last change of an instant wins. Runs of
-    equal tracked values collapse into one row; a delete closes the row and opens none.
-    ``chunk`` follows ``seq[0]`` (see ``terrace.plans.chunks``).
+    equal tracked values collapse into one row; a delete closes the row and opens none. A change
+    without a time comes before all others. ``chunk`` (default: quantiles) follows ``seq[0]``
+    (see ``terrace.plans.chunks``).
     """
     when = seq[0]
     rows = changes.select(*keys, *track, *seq, F.coalesce(delete_when, F.lit(False)).alias(GONE))
-    rows = tag_chunks(rows, keys, chunk, hot_rows)
+    rows = tag_chunks(rows, keys, when, chunk, hot_rows)
     # one row per instant: rows of an instant share a chunk, so its last row has another instant next
-    rank = Window.partitionBy(*keys, CHUNK).orderBy(when, *seq[1:], F.col(GONE).desc())
-    rows = rows.withColumn("__next", F.lead(when).over(rank))
-    rows = rows.filter(F.col("__next").isNull() | (F.col("__next") != F.col(when))).drop("__next")
+    rank = Window.partitionBy(KEY, CHUNK).orderBy(when, *seq[1:], F.col(GONE).desc())
+    rows = rows.withColumn("__next", F.lead(F.struct(F.col(when).alias("t"))).over(rank))
+    rows = rows.filter(F.col("__next").isNull() | ~F.col("__next.t").eqNullSafe(F.col(when))).drop("__next")
     was = {f"__p_{c}": F.col(c) for c in track}
-    rows = neighbour(rows, keys, [when], {**was, "__p_gone": F.col(GONE)})
+    rows = neighbour(rows, [when], {**was, "__p_gone": F.col(GONE)})
     same = F.col(GONE) == F.col("__p_gone")
     for c in track:
         same = same & (F.col(GONE) | F.col(c).eqNullSafe(F.col(f"__p_{c}")))
     starts = rows.filter(F.col("__p_gone").isNull() | ~same).drop(*was, "__p_gone")
-    closed = neighbour(starts, keys, [when], {"valid_to": F.col(when)}, forward=True)
+    closed = neighbour(starts, [when], {"valid_to": F.col(when)}, forward=True)
     return closed.filter(~F.col(GONE)).select(
         *keys, *track, *seq[1:], F.col(when).alias("valid_from"), "valid_to"
     )
@@ -71,7 +72,7 @@ def apply_changes_scd2(
     seq: list[str],
     delete_when: Column,
     track: list[str],
-    chunk: Column,
+    chunk: Column | None = None,
     hot_rows: int = HOT_ROWS,
     log: DataFrame | None = None,
 ) -> DataFrame:

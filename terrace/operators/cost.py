@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from terrace.functions.times import hour_slot
 from terrace.operators.gold import gold_aggregate
-from terrace.plans.chunks import CHUNK, HOT_ROWS, running_total, tag_chunks, untag
+from terrace.plans.chunks import HOT_ROWS, running_total, tag_chunks, untag, with_chunk
 from terrace.plans.joins import all_of
 
 UNALLOCATED = "unallocated"
@@ -108,8 +107,8 @@ def allocate_shared(pools: DataFrame, drivers: DataFrame, slots: int = 1024, hot
     partly = placed.filter((F.col("__quota") > 0) & (F.col("__quota") < F.col("__k")))
     partly = partly.withColumn("__down", -F.col("__rem")).withColumn("__tie", F.md5(F.col("id").cast("string")))
     chunk = F.struct(F.col("__down"), F.substring("__tie", 1, 2))
-    partly = partly.withColumn(CHUNK, F.when(F.col("__k") > hot_rows, chunk))
-    ranked = running_total(partly, ["pool"], ["__down", "__tie", "id"], F.lit(1).cast("bigint"), "__rank")
+    partly = with_chunk(partly, ["pool"], F.when(F.col("__k") > hot_rows, chunk))
+    ranked = running_total(partly, ["__down", "__tie", "id"], F.lit(1).cast("bigint"), "__rank")
     ranked = ranked.withColumn("__extra", (F.col("__rank") <= F.col("__quota")).cast("bigint"))
     final = [*given, (F.col("__sign") * (F.col("__share") + F.col("__extra"))).alias("cents")]
     return whole.select(*final).unionByName(ranked.select(*final)).unionByName(lone)
@@ -125,8 +124,8 @@ def budget_burn(
     chunk: Column | None = None, hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Costs with the running ``spent_cents`` and ``breached`` against ``budgets(key, budget_cents)``."""
-    slot = hour_slot(order[0]) if chunk is None else chunk
-    spent = untag(running_total(tag_chunks(costs, [key], slot, hot_rows), [key], order, F.col(cents), "spent_cents"))
+    tagged = tag_chunks(costs, [key], order[0], chunk, hot_rows)
+    spent = untag(running_total(tagged, order, F.col(cents), "spent_cents"))
     return spent.join(budgets.select(key, "budget_cents"), key, "left").withColumn(
         "breached", F.coalesce(F.col("spent_cents") > F.col("budget_cents"), F.lit(False))
     )
@@ -137,11 +136,24 @@ def first_breach(burn: DataFrame, key: str, time: str) -> DataFrame:
     return burn.filter("breached").groupBy(key).agg(F.min(time).alias("first_breach"))
 
 
-def cost_trend(costs: DataFrame, period: Column, keys: list[str], cents: str, moving: int = 3) -> DataFrame:
-    """Total per period with the change to the period before and the mean of the last ``moving``."""
+def cost_trend(
+    costs: DataFrame, period: Column, keys: list[str], cents: str, moving: int = 3, step: str = "1 month"
+) -> DataFrame:
+    """Total per period with the change to the period before and the mean of the last ``moving``.
+
+    ``period`` is the start of a ``step``. A silent period between the first and the last one of a
+    key is a row with no cents, so changes and means always meet neighbouring periods. Costs without
+    a period keep a row of their own, next to none.
+    """
     totals = costs.groupBy(*keys, period.alias("period")).agg(F.sum(cents).alias("cents"))
-    w = Window.partitionBy(*keys).orderBy("period")
-    return totals.select(
+    w = Window.partitionBy(*keys, F.col("period").isNull()).orderBy("period")
+    width = F.expr(f"INTERVAL {step}")
+    last_silent = F.greatest("period", F.lead("period").over(w) - width)
+    spaced = totals.withColumn("__until", F.coalesce(last_silent, "period"))
+    own = F.when(F.col("period").isNull(), F.array("period")).otherwise(F.sequence("period", "__until", width))
+    spent = F.when(F.col("__at").eqNullSafe(F.col("period")), F.col("cents")).otherwise(0)
+    filled = spaced.withColumn("__at", F.explode(own)).select(*keys, F.col("__at").alias("period"), spent.alias("cents"))
+    return filled.select(
         *keys, "period", "cents",
         (F.col("cents") - F.lag("cents").over(w)).alias("change_cents"),
         F.avg("cents").over(w.rowsBetween(-(moving - 1), 0)).alias("moving_mean"),

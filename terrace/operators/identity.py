@@ -59,33 +59,34 @@ def normal_text(c: str | Column) -> Column:
 
 
 def match_identities(records: DataFrame, rules: dict[str, Column]) -> DataFrame:
-    """(source, record_id, canonical_id, is_ambiguous): records linked by any shared rule value.
+    """(source, record_id, canonical_source, canonical_record_id, is_ambiguous): records linked by
+    any shared rule value.
 
     ``records`` has (source, record_id) and whatever the rules read; a rule may yield a string or
     an array of strings, NULL links nothing. A person with two records in one source is flagged
-    ambiguous. The canonical id is the smallest ``source/record_id`` of the person.
+    ambiguous. The canonical record is the smallest (source, record_id) of the person. Both keep
+    their types; a NULL source is a source of its own.
     """
-    item = F.concat_ws("/", "source", F.col("record_id").cast("string"))
-    tagged = []
-    for name, rule in rules.items():
+    found = []
+    for number, rule in enumerate(rules.values()):
         is_list = records.select(rule.alias("r")).schema["r"].dataType.typeName() == "array"
-        values = rule if is_list else F.array(rule)
-        prefix = F.lit(f"{name}:")
-        values = F.coalesce(values, F.array().cast("array<string>"))
-        tagged.append(F.transform(values, lambda v: F.concat(prefix, v)))  # noqa: B023
-    # every record also carries a key of its own, so that unlinked records keep a row
-    keys = F.concat(F.array(F.concat(F.lit("self:"), item)), *tagged)
-    links = records.select(item.alias("item"), F.explode(F.array_compact(keys)).alias("key"))
-    labels = components(links, "item", "key")
-    sourced = labels.withColumn("source", F.substring_index("item", "/", 1))
-    per_source = sourced.groupBy("label", "source").agg(F.count(F.lit(1)).alias("n"))
-    doubtful = per_source.filter("n > 1").select("label", F.lit(True).alias("twice")).distinct()
-    out = labels.join(doubtful, "label", "left")
+        values = F.array_compact(F.coalesce(rule if is_list else F.array(rule), F.array().cast("array<string>")))
+        found.append(F.transform(values, lambda v: F.struct(F.lit(number).alias("rule"), v.alias("value"))))  # noqa: B023
+    item = F.struct("source", "record_id").alias("item")
+    links = records.select(item, F.explode(F.concat(*found)).alias("key"))
+    # a value that one record holds links nothing, and most records hold no other: they skip the rounds
+    held = links.groupBy("key").agg(F.min("item").alias("low"), F.max("item").alias("high"))
+    shared = held.filter(F.col("low") != F.col("high")).select("key")
+    labels = components(links.join(shared, "key", "left_semi"), "item", "key")
+    linked = labels.select(F.col("item").alias("__item"), "label")
+    everyone = records.select(item).distinct().join(linked, F.col("item") == F.col("__item"), "left")
+    everyone = everyone.select("item", F.coalesce("label", "item").alias("label"))
+    per_source = labels.groupBy("label", F.col("item.source").alias("source")).agg(F.count(F.lit(1)).alias("n"))
+    doubtful = per_source.filter("n > 1").select(F.col("label").alias("__label")).distinct()
+    out = everyone.join(doubtful, F.col("label") == F.col("__label"), "left")
     return out.select(
-        F.substring_index("item", "/", 1).alias("source"),
-        F.regexp_replace("item", "^[^/]*/", "").alias("record_id"),
-        F.col("label").alias("canonical_id"),
-        F.coalesce("twice", F.lit(False)).alias("is_ambiguous"),
+        "item.*", F.col("label.source").alias("canonical_source"), F.col("label.record_id").alias("canonical_record_id"),
+        F.col("__label").isNotNull().alias("is_ambiguous"),
     )
 
 

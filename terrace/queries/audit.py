@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from terrace.functions.times import day_of, hour_slot
+from terrace.functions.times import day_of
 from terrace.operators import audit, changes
 from terrace.queries.registry import query
 from terrace.session import write_through
@@ -163,7 +163,7 @@ def verify_access(spark: SparkSession, sf: str) -> DataFrame:
     log = events(spark, sf)
     changed = log.filter(F.col("event_type").isin("signup", "error")).select("user_id", "event_type", "ts", "event_id")
     held = changes.apply_changes_scd2(
-        None, changed, ["user_id"], ["ts", "event_id"], F.col("event_type") == "error", ["event_type"], hour_slot("ts")
+        None, changed, ["user_id"], ["ts", "event_id"], F.col("event_type") == "error", ["event_type"]
     )
     held = write_through(held, "grants")  # the history is a stored table
     uses = log.filter("event_type = 'purchase'").select("event_id", "user_id", "ts")

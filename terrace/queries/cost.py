@@ -128,6 +128,26 @@ def cost_trend(spark: SparkSession, sf: str) -> DataFrame:
     return out.na.fill(0, ["change_cents"]).withColumn("moving_mean", F.round("moving_mean", 2))
 
 
+@query("""
+WITH t AS (SELECT c_nationkey, o_orderpriority, date_trunc('month', o_orderdate) AS period,
+                  CAST(sum(round(o_totalprice * 100)) AS BIGINT) AS cents
+           FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL),
+ends AS (SELECT c_nationkey, o_orderpriority, min(period) AS lo, max(period) AS hi FROM t GROUP BY ALL),
+months AS (SELECT c_nationkey, o_orderpriority, unnest(generate_series(lo, hi, INTERVAL 1 MONTH)) AS period FROM ends),
+filled AS (SELECT c_nationkey, o_orderpriority, period, coalesce(cents, 0) AS cents
+           FROM months LEFT JOIN t USING (c_nationkey, o_orderpriority, period))
+SELECT c_nationkey, o_orderpriority, period, cents, cents - lag(cents, 1, cents) OVER w AS change_cents,
+       round(avg(cents) OVER (PARTITION BY c_nationkey, o_orderpriority ORDER BY period ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), 2) AS moving_mean
+FROM filled WINDOW w AS (PARTITION BY c_nationkey, o_orderpriority ORDER BY period)
+""")
+def cost_trend_sparse(spark: SparkSession, sf: str) -> DataFrame:
+    """Keys so fine that some months are silent."""
+    costs = table(spark, sf, "orders").join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    costs = costs.select("c_nationkey", "o_orderpriority", "o_orderdate", cents("o_totalprice").alias("c"))
+    out = cost.cost_trend(costs, month_of("o_orderdate"), ["c_nationkey", "o_orderpriority"], "c")
+    return out.na.fill(0, ["change_cents"]).withColumn("moving_mean", F.round("moving_mean", 2))
+
+
 @query(f"""
 WITH b AS (SELECT date_trunc('month', used_at) AS month, sum(cost_cents) AS billed FROM ({priced_usage_sql()}) GROUP BY 1),
 a AS (SELECT date_trunc('month', used_at) AS month, sum(cost_cents) AS owned FROM ({ATTRIBUTED_SQL}) WHERE owner <> 'unallocated' GROUP BY 1)

@@ -75,14 +75,16 @@ def reconcile_sources(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""
-SELECT o_orderpriority, count(*) AS n, max(o_orderdate) AS newest FROM orders
-WHERE o_orderdate > (SELECT max(o_orderdate) FROM orders WHERE o_orderdate < TIMESTAMP '2000-01-01') GROUP BY ALL
+WITH m AS (SELECT max(o_orderdate) AS mark FROM orders WHERE o_orderdate < TIMESTAMP '2000-01-01')
+SELECT o_orderpriority, count(*) AS n, max(o_orderdate) AS newest FROM orders, m
+WHERE o_orderdate > mark OR (o_orderdate = mark AND o_orderkey % 2 = 1) GROUP BY ALL
 """)
 def pull_increment(spark: SparkSession, sf: str) -> DataFrame:
-    """What came after the high-water mark of an earlier pull."""
-    remote = table(spark, sf, "orders")
-    pulled = remote.filter(F.col("o_orderdate") < F.lit("2000-01-01").cast("timestamp_ntz"))
-    mark = foreign.high_water_mark(pulled, "o_orderdate")
-    return foreign.pull_increment(remote, "o_orderdate", mark).groupBy("o_orderpriority").agg(
-        F.count(F.lit(1)).alias("n"), F.max("o_orderdate").alias("newest")
-    )
+    """What came after the stored mark of an earlier pull, at which half of the mark's own day was still missing."""
+    remote, marks = table(spark, sf, "orders"), scratch_path(spark, "marks")
+    early = remote.filter(F.col("o_orderdate") < F.lit("2000-01-01").cast("timestamp_ntz"))
+    foreign.store_mark(early, "o_orderdate", marks)
+    mark = foreign.stored_mark(spark, marks)
+    pulled = early.filter((F.col("o_orderdate") < F.lit(mark).cast("timestamp_ntz")) | (F.col("o_orderkey") % 2 == 0))
+    fresh = foreign.pull_increment(remote, "o_orderdate", mark, pulled, ["o_orderkey"])
+    return fresh.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n"), F.max("o_orderdate").alias("newest"))

@@ -56,7 +56,7 @@ EMAIL, PHONE, TOKEN = SENSITIVE["email"], SENSITIVE["phone"], SENSITIVE["token"]
 
 
 @query(f"""
-WITH RECURSIVE rec AS (SELECT source || '/' || doc_id AS item, source, doc_id, text FROM documents),
+WITH RECURSIVE rec AS (SELECT {{'s': source, 'id': doc_id}} AS item, text FROM documents),
 link AS (
   SELECT item, unnest([lower(x) FOR x IN regexp_extract_all(text, '{EMAIL}')]) AS k FROM rec
   UNION SELECT item, unnest(regexp_extract_all(text, '{PHONE}')) FROM rec
@@ -64,9 +64,9 @@ link AS (
 near AS (SELECT DISTINCT a.item, b.item AS other FROM link a JOIN link b ON a.k = b.k),
 reach AS (SELECT item, item AS other FROM rec UNION SELECT r.item, n.other FROM reach r JOIN near n ON r.other = n.item),
 lab AS (SELECT item, min(other) AS label FROM reach GROUP BY item),
-src AS (SELECT label, split_part(item, '/', 1) AS source, count(*) AS n FROM lab GROUP BY ALL),
+src AS (SELECT label, item.s AS source, count(*) AS n FROM lab GROUP BY ALL),
 dup AS (SELECT DISTINCT label FROM src WHERE n > 1)
-SELECT split_part(item, '/', 1) AS source, split_part(item, '/', 2) AS record_id, lab.label AS canonical_id,
+SELECT item.s AS source, item.id AS record_id, lab.label.s AS canonical_source, lab.label.id AS canonical_record_id,
        dup.label IS NOT NULL AS is_ambiguous
 FROM lab LEFT JOIN dup ON lab.label = dup.label
 """)

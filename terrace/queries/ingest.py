@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from terrace.functions.money import cents, discounted, from_units
-from terrace.functions.times import hour_slot
 from terrace.operators import changes, gold, layout, refine, snapshots
 from terrace.queries.inputs import custom_of_year, custom_of_year_sql
 from terrace.queries.registry import query
@@ -188,7 +187,7 @@ def history(spark: SparkSession, sf: str) -> DataFrame:
     """History rows of the tracked event type."""
     events = table(spark, sf, "events").select("user_id", "event_type", "ts", "event_id")
     return changes.apply_changes_scd2(
-        None, events, ["user_id"], ["ts", "event_id"], F.col("event_type") == "error", ["event_type"], hour_slot("ts")
+        None, events, ["user_id"], ["ts", "event_id"], F.col("event_type") == "error", ["event_type"]
     )
 
 
@@ -198,7 +197,7 @@ def history_with_late_changes(spark: SparkSession, sf: str) -> DataFrame:
     events = table(spark, sf, "events").select("user_id", "event_type", "ts", "event_id")
     late = F.col("event_type") == "purchase"
     first, second = events.filter(~late), events.filter(late)
-    rule = (["user_id"], ["ts", "event_id"], F.col("event_type") == "error", ["event_type"], hour_slot("ts"))
+    rule = (["user_id"], ["ts", "event_id"], F.col("event_type") == "error", ["event_type"])
     target = changes.apply_changes_scd2(None, first, *rule)
     return changes.apply_changes_scd2(target, second, *rule, log=first)
 
@@ -332,6 +331,16 @@ def compact_partitions(spark: SparkSession, sf: str) -> DataFrame:
     return _line_sums(spark.read.parquet(packed))
 
 
+@query(LINE_SUMS_SQL)
+def compact_partitioned(spark: SparkSession, sf: str) -> DataFrame:
+    """Small files in partition folders, packed folder by folder."""
+    small, packed = scratch_path(spark, "small"), scratch_path(spark, "packed")
+    by = ["l_returnflag", "l_linestatus"]
+    table(spark, sf, "lineitem").repartition(16).write.partitionBy(*by).parquet(small)
+    layout.compact_partitions(spark, small, packed, by=by, sort=["l_shipdate"])
+    return _line_sums(spark.read.parquet(packed))
+
+
 @query(LINE_SUMS_SQL)
 def cluster_zorder(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "zorder")

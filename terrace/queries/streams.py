@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from terrace.functions import masks
 from terrace.functions.money import cents
-from terrace.functions.times import hour_slot, year_of
+from terrace.functions.times import year_of
 from terrace.operators import access, audit, changes, cost, gold, protection, refine
 from terrace.queries.access import redacted_sql
 from terrace.queries.ingest import HISTORY_SQL
@@ -190,7 +190,7 @@ def history_stream(spark: SparkSession, sf: str) -> DataFrame:
     stream = table_stream(spark, sf, "events").select("user_id", "event_type", "ts", "event_id")
     runs.run_batches(stream, runs.change_log_writer(path), progress)
     gone = F.col("event_type") == "error"
-    return runs.read_scd2(spark, path, ["user_id"], ["ts", "event_id"], gone, ["event_type"], hour_slot("ts"))
+    return runs.read_scd2(spark, path, ["user_id"], ["ts", "event_id"], gone, ["event_type"])
 
 
 @query("""
@@ -238,7 +238,7 @@ def verified_stream(spark: SparkSession, sf: str) -> DataFrame:
     """Accesses checked as they arrive, against the stored grant history."""
     changed = table(spark, sf, "events").filter(F.col("event_type").isin("signup", "error"))
     held = changes.apply_changes_scd2(
-        None, changed, ["user_id"], ["ts", "event_id"], F.col("event_type") == "error", ["event_type"], hour_slot("ts")
+        None, changed, ["user_id"], ["ts", "event_id"], F.col("event_type") == "error", ["event_type"]
     )
     stream = table_stream(spark, sf, "events").filter("event_type = 'purchase'").select("event_id", "user_id", "ts")
     checked = audit.verify_access(stream, write_through(held, "grants"), ["user_id"], "ts")

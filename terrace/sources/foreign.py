@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrace.operators.snapshots import diff_snapshots
+from terrace.plans.joins import null_safe_join
+from terrace.sources.tables import path_exists
 
 
 def register_jdbc_catalog(spark: SparkSession, catalog: str, url: str, driver: str, **options: str) -> None:
@@ -86,11 +88,42 @@ def reconcile_sources(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
     return diff_snapshots(a, b, keys, cols)
 
 
-def pull_increment(remote: DataFrame, cursor: str, since=None) -> DataFrame:
-    """Remote rows above the high-water mark; the comparison pushes down to the source."""
-    return remote if since is None else remote.filter(F.col(cursor) > F.lit(since))
+def pull_increment(
+    remote: DataFrame, cursor: str, since=None, pulled: DataFrame | None = None, keys: list[str] | None = None
+) -> DataFrame:
+    """Remote rows at or above the high-water mark, and those without a cursor; the comparison pushes down.
+
+    Rows that tie with the mark may have come after the last pull, and rows without a cursor have no
+    place at all, so both come again. With the ``pulled`` rows and their ``keys``, those already held
+    with the same cursor are left out; only the part of ``pulled`` at the mark or without a cursor is read.
+    """
+    if since is None:
+        return remote
+    at = F.col(cursor)
+    fresh = remote.filter((at >= F.lit(since)) | at.isNull())
+    if pulled is None:
+        return fresh
+    if not keys:
+        raise ValueError("name the keys by which pulled rows are known")
+    held = pulled.filter((at == F.lit(since)) | at.isNull()).select(*keys, cursor)
+    return null_safe_join(fresh, held, [*keys, cursor], "left_anti")
 
 
 def high_water_mark(df: DataFrame, cursor: str):
-    """Largest cursor value, to be stored by the caller for the next pull (one row)."""
+    """Largest cursor value (one row)."""
     return df.agg(F.max(cursor)).first()[0]
+
+
+def store_mark(pulled: DataFrame, cursor: str, path: str) -> None:
+    """Add the high-water mark of a pull to the control table at ``path``, one table per source.
+
+    Marks are only ever added and the largest one counts, so a repeated or late run does no harm.
+    """
+    pulled.agg(F.max(cursor).alias("mark")).filter(F.col("mark").isNotNull()).write.mode("append").parquet(path)
+
+
+def stored_mark(spark: SparkSession, path: str):
+    """The mark to pull from, None before the first pull."""
+    if not path_exists(spark, path):
+        return None
+    return high_water_mark(spark.read.parquet(path), "mark")

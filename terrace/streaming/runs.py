@@ -76,7 +76,7 @@ def change_log_writer(path: str) -> Callable[[DataFrame, int], None]:
 
 
 def read_scd2(
-    spark: SparkSession, path: str, keys: list[str], seq: list[str], delete_when: Column, track: list[str], chunk: Column
+    spark: SparkSession, path: str, keys: list[str], seq: list[str], delete_when: Column, track: list[str], chunk: Column | None = None
 ) -> DataFrame:
     """History of a log kept by :func:`change_log_writer`; late changes fall into place."""
     return apply_changes_scd2(None, read_batches(spark, path), keys, seq, delete_when, track, chunk)

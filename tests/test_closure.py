@@ -53,8 +53,21 @@ def test_identities(spark):
     ]
     df = spark.createDataFrame(rows, "source string, record_id string, mail string, phone string")
     out = match_identities(df, {"mail": normal_text("mail"), "phone": F.col("phone")})
-    got = {(r["source"], r["record_id"]): (r["canonical_id"], r["is_ambiguous"]) for r in out.collect()}
+    got = {(r["source"], r["record_id"]): (f"{r['canonical_source']}/{r['canonical_record_id']}", r["is_ambiguous"]) for r in out.collect()}
     assert got == {
         ("hr", "1"): ("crm/7", False), ("crm", "7"): ("crm/7", False), ("crm", "8"): ("crm/8", True),
         ("idp", "a"): ("crm/8", True), ("crm", "9"): ("crm/8", True), ("hr", "2"): ("hr/2", False),
     }
+
+
+def test_identities_keep_their_types(spark):
+    """A slash in a name moves no border, ids stay numbers, a NULL source is a source."""
+    rows = [("a/b", 1, "x"), ("a", 1, None), (None, 2, "x"), ("a", 10, "y"), ("a", 9, "y"), ("z", 3, "only one")]
+    df = spark.createDataFrame(rows, "source string, record_id bigint, mail string")
+    out = match_identities(df, {"a": F.col("mail"), "a:": F.when(F.col("record_id") == 3, ":y").otherwise(None)})
+    assert out.schema["canonical_record_id"].dataType.typeName() == "long"
+    assert bag(out) == {
+        ("a/b", 1, None, 2, False): 1, (None, 2, None, 2, False): 1, ("a", 1, "a", 1, False): 1,
+        ("a", 9, "a", 9, True): 1, ("a", 10, "a", 9, True): 1, ("z", 3, "z", 3, False): 1,
+    }
+    assert match_identities(df.limit(0), {"a": F.col("mail")}).count() == 0

@@ -104,6 +104,14 @@ def test_trend_and_reconciliation(spark):
     assert bag(trend, "period", "cents", "change_cents", "moving_mean") == {
         (D1, 10, None, 10.0): 1, (D2, 30, 20, 20.0): 1, (D3, 20, -10, 25.0): 1
     }
+    gap = spark.createDataFrame(
+        [("a", D1, 10), ("a", ts("2024-04-05T00:00:00"), 30), ("a", None, 5), ("b", D2, 1)], "k string, at timestamp_ntz, cents bigint"
+    )
+    trend = cost.cost_trend(gap, month_of("at"), ["k"], "cents", 2)
+    assert bag(trend, "k", "period", "cents", "change_cents", "moving_mean") == {
+        ("a", None, 5, None, 5.0): 1, ("a", D1, 10, None, 10.0): 1, ("a", D2, 0, -10, 5.0): 1, ("a", D3, 0, 0, 0.0): 1,
+        ("a", ts("2024-04-01T00:00:00"), 30, 30, 15.0): 1, ("b", D2, 1, None, 1.0): 1,
+    }
     billed = costs.select(month_of("at").alias("m"), "cents")
     assert cost.reconcile_cost(billed, billed, "m", "cents").count() == 0
     gaps = cost.reconcile_cost(billed, billed.filter(F.col("m") != D2), "m", "cents")

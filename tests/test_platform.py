@@ -35,6 +35,13 @@ def test_compaction_keeps_the_rows(spark, line):
     line.repartition(16).write.parquet(small)
     assert layout.compact_partitions(spark, small, packed, 100_000) < 16
     assert bag(spark.read.parquet(packed)) == bag(line)
+    by_flag, packed = scratch_path(spark, "small"), scratch_path(spark, "packed")
+    line.repartition(8).write.partitionBy("l_returnflag").parquet(by_flag)
+    before = len(spark.read.parquet(by_flag).inputFiles())
+    assert layout.compact_partitions(spark, by_flag, packed, by=["l_returnflag"]) < before
+    copy = spark.read.parquet(packed)
+    assert bag(copy, *line.columns) == bag(line)
+    assert all("l_returnflag=" in file for file in copy.inputFiles())
 
 
 @pytest.mark.parametrize("method", ["range", "zorder"])
@@ -113,7 +120,20 @@ def test_reconcile_sources(spark):
 def test_increments(spark):
     df = spark.createDataFrame([(1,), (2,), (3,)], "c int")
     assert foreign.pull_increment(df, "c").count() == 3
-    assert bag(foreign.pull_increment(df, "c", foreign.high_water_mark(df.filter("c < 3"), "c"))) == {(3,): 1}
+    assert bag(foreign.pull_increment(df, "c", foreign.high_water_mark(df.filter("c < 3"), "c"))) == {(2,): 1, (3,): 1}
+
+
+def test_increments_lose_no_tie_and_no_row_without_cursor(spark):
+    rows = [("old", 1), ("held", 2), ("late tie", 2), ("new", 3), ("blank held", None), ("blank new", None)]
+    remote = spark.createDataFrame(rows, "k string, c int")
+    marks = scratch_path(spark, "marks")
+    assert foreign.stored_mark(spark, marks) is None
+    pulled = remote.filter("k in ('old', 'held', 'blank held')")
+    foreign.store_mark(pulled, "c", marks)
+    foreign.store_mark(pulled.filter("k = 'old'"), "c", marks)
+    foreign.store_mark(pulled.limit(0), "c", marks)
+    fresh = foreign.pull_increment(remote, "c", foreign.stored_mark(spark, marks), pulled, ["k"])
+    assert {r["k"] for r in fresh.collect()} == {"late tie", "new", "blank new"}
 
 
 def test_parallel_read_options(monkeypatch, spark):
