@@ -11,6 +11,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 from terrace.queries import QUERIES
@@ -33,7 +34,7 @@ def main() -> None:
     names = sys.argv[1:] or HEADLINE
     spark = build_session(
         "bench", f"local[{cpus}]",
-        **{"spark.sql.shuffle.partitions": cpus, "spark.ui.enabled": "false", "spark.driver.memory": "16g"},
+        **{"spark.checkpoint.dir": tempfile.mkdtemp(prefix="bench-"), "spark.sql.shuffle.partitions": cpus, "spark.ui.enabled": "false", "spark.driver.memory": "16g"},
     )
     spark.sparkContext.setLogLevel("ERROR")
     seconds: dict[str, float] = {}

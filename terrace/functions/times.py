@@ -35,7 +35,6 @@ def year_of(c: str | Column) -> Column:
     return F.trunc(_col(c).cast("date"), "year").cast("timestamp_ntz")
 
 
-def in_year(c: str | Column, year: int) -> Column:
-    """Whether the timestamp lies in the year, as a range that reaches the file scan."""
-    first, after = (F.lit(f"{y}-01-01").cast("timestamp_ntz") for y in (year, year + 1))
-    return (_col(c) >= first) & (_col(c) < after)
+def before(c: str | Column, day: str) -> Column:
+    """Whether the timestamp lies ahead of the day, as a range that reaches the file scan."""
+    return _col(c) < F.lit(day).cast("timestamp_ntz")

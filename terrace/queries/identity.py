@@ -6,21 +6,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrace.functions.patterns import SENSITIVE
-from terrace.functions.times import in_year
+from terrace.functions.times import before
 from terrace.operators import identity
-from terrace.queries.inputs import MEMBERSHIPS_SQL, custom_of_year, custom_of_year_sql, memberships
+from terrace.queries.inputs import MEMBERSHIPS_SQL, NEWEST_ORDER_SQL, SECOND_DAY, custom, custom_sql, memberships
 from terrace.queries.registry import query
 from terrace.sources.tables import table
 
 
-def _directory(spark: SparkSession, sf: str, year: int) -> DataFrame:
-    """Customers of a year; those with a single order count as inactive."""
-    return custom_of_year(spark, sf, year).withColumn("active", F.col("n_orders") > 1)
+def _directory(spark: SparkSession, sf: str, until: str | None = None) -> DataFrame:
+    """Customers at a day; those with a single order count as inactive."""
+    return custom(spark, sf, until).withColumn("active", F.col("n_orders") > 1)
 
 
 @query(f"""
-WITH c AS (SELECT *, n_orders > 1 AS active FROM ({custom_of_year_sql(1998)})),
-d AS (SELECT *, n_orders > 1 AS active FROM ({custom_of_year_sql(1999)})),
+WITH c AS (SELECT *, n_orders > 1 AS active FROM ({custom_sql(SECOND_DAY)})),
+d AS (SELECT *, n_orders > 1 AS active FROM ({custom_sql()})),
 j AS (
   SELECT coalesce(d.custkey, c.custkey) AS custkey, c.custkey IS NOT NULL AS known, coalesce(c.active, false) AS was,
          coalesce(d.active, false) AS wanted, c.priority AS op, d.priority AS np
@@ -32,24 +32,32 @@ FROM j WHERE (was <> wanted) OR (was AND wanted AND op <> np)
 """)
 def provision_plan(spark: SparkSession, sf: str) -> DataFrame:
     return identity.provision_plan(
-        _directory(spark, sf, 1999), _directory(spark, sf, 1998), "custkey", ["priority"]
+        _directory(spark, sf), _directory(spark, sf, SECOND_DAY), "custkey", ["priority"]
     )
 
 
-@query("""
-WITH d AS (SELECT DISTINCT o_custkey AS member, o_orderpriority AS grp FROM orders WHERE year(o_orderdate) = 1999),
-c AS (SELECT DISTINCT o_custkey AS member, o_orderpriority AS grp FROM orders WHERE year(o_orderdate) = 1998)
+MEMBERS_SQL = f"""
+SELECT o_custkey AS member, o_orderpriority AS grp FROM orders WHERE o_orderdate < TIMESTAMP '{{until}}'
+GROUP BY ALL HAVING arg_max(o_orderstatus, {NEWEST_ORDER_SQL.replace("{", "{{").replace("}", "}}")}) <> 'F'
+"""
+LAST_DAY = "9999-01-01"
+
+
+@query(f"""
+WITH d AS ({MEMBERS_SQL.format(until=LAST_DAY)}), c AS ({MEMBERS_SQL.format(until=SECOND_DAY)})
 SELECT 'add' AS action, member, grp AS "group" FROM (FROM d EXCEPT FROM c)
 UNION ALL SELECT 'remove', member, grp FROM (FROM c EXCEPT FROM d)
 """)
 def membership_plan(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers belong to the priorities whose newest order of theirs is not finished; now against an earlier day."""
     orders = table(spark, sf, "orders")
+    newest = F.max(F.struct("o_orderdate", "o_orderkey", "o_orderstatus"))
 
-    def of(year: int) -> DataFrame:
-        rows = orders.filter(in_year("o_orderdate", year))
-        return rows.select(F.col("o_custkey").alias("member"), F.col("o_orderpriority").alias("group"))
+    def members(rows: DataFrame) -> DataFrame:
+        found = rows.groupBy(F.col("o_custkey").alias("member"), F.col("o_orderpriority").alias("group")).agg(newest.alias("newest"))
+        return found.filter("newest.o_orderstatus <> 'F'").drop("newest")
 
-    return identity.membership_plan(of(1999), of(1998))
+    return identity.membership_plan(members(orders), members(orders.filter(before("o_orderdate", SECOND_DAY))))
 
 
 EMAIL, PHONE, TOKEN = SENSITIVE["email"], SENSITIVE["phone"], SENSITIVE["token"]
@@ -93,27 +101,30 @@ def group_closure(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(f"""
-WITH u AS (SELECT custkey, n_orders > 1 AS active FROM ({custom_of_year_sql(1999)}))
+WITH u AS (SELECT custkey, n_orders > 1 AS active FROM ({custom_sql()}))
 SELECT DISTINCT o_custkey AS principal, o_orderpriority AS object_id, CASE WHEN custkey IS NULL THEN 'unknown' ELSE 'inactive' END AS reason
-FROM orders LEFT JOIN u ON o_custkey = custkey WHERE year(o_orderdate) = 1998 AND (custkey IS NULL OR NOT active)
+FROM orders LEFT JOIN u ON o_custkey = custkey WHERE custkey IS NULL OR NOT active
 """)
 def orphaned_access(spark: SparkSession, sf: str) -> DataFrame:
-    """Access granted in 1998 that users of 1999 no longer back."""
-    granted = table(spark, sf, "orders").filter(in_year("o_orderdate", 1998)).select(
+    """Access ever granted that the users of today no longer back."""
+    granted = table(spark, sf, "orders").select(
         F.col("o_custkey").alias("principal"), F.col("o_orderpriority").alias("object_id")
     )
-    users = _directory(spark, sf, 1999).select(F.col("custkey").alias("principal"), "active")
+    users = _directory(spark, sf).select(F.col("custkey").alias("principal"), "active")
     return identity.orphaned_access(granted.distinct(), users)
 
 
 SETTINGS_SQL = """
-SELECT p_type AS env, 's' || l_suppkey AS resource, p_brand AS key, CAST(max(p_size) AS VARCHAR) AS value
-FROM lineitem JOIN part ON l_partkey = p_partkey WHERE year(l_shipdate) = {year} GROUP BY ALL
+SELECT env, resource, key, CAST(newest.size AS VARCHAR) AS value FROM (
+  SELECT p_type AS env, 's' || l_suppkey AS resource, p_brand AS key,
+         max({{'day': l_shipdate, 'order': l_orderkey, 'line': l_linenumber, 'flag': l_returnflag, 'size': p_size}}) AS newest
+  FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_shipdate < TIMESTAMP '{until}' GROUP BY ALL)
+WHERE newest.flag <> 'R'
 """
 
 
 @query(f"""
-WITH d AS ({SETTINGS_SQL.format(year=1999)}), a AS ({SETTINGS_SQL.format(year=1998)})
+WITH d AS ({SETTINGS_SQL.format(until=LAST_DAY)}), a AS ({SETTINGS_SQL.format(until=SECOND_DAY)})
 SELECT coalesce(d.env, a.env) AS env, coalesce(d.resource, a.resource) AS resource, coalesce(d.key, a.key) AS key,
        CASE WHEN a.env IS NULL THEN 'missing' WHEN d.env IS NULL THEN 'extra' ELSE 'changed' END AS drift,
        d.value AS desired, a.value AS actual
@@ -121,13 +132,14 @@ FROM d FULL JOIN a ON d.env = a.env AND d.resource = a.resource AND d.key = a.ke
 WHERE d.env IS NULL OR a.env IS NULL OR d.value <> a.value
 """)
 def config_drift(spark: SparkSession, sf: str) -> DataFrame:
-    """Largest size per type, supplier and brand: 1999 as desired against 1998 as actual settings."""
+    """Newest size per type, supplier and brand, gone once returned: all shipments as desired, those to a day as actual settings."""
     line, part = table(spark, sf, "lineitem"), table(spark, sf, "part")
+    newest = F.max(F.struct("l_shipdate", "l_orderkey", "l_linenumber", "l_returnflag", "p_size"))
 
-    def settings(year: int) -> DataFrame:
-        rows = line.filter(in_year("l_shipdate", year)).join(part, F.col("l_partkey") == F.col("p_partkey"))
-        return rows.groupBy(
+    def settings(lines: DataFrame) -> DataFrame:
+        found = lines.join(part, F.col("l_partkey") == F.col("p_partkey")).groupBy(
             F.col("p_type").alias("env"), F.concat(F.lit("s"), "l_suppkey").alias("resource"), F.col("p_brand").alias("key")
-        ).agg(F.max("p_size").cast("string").alias("value"))
+        ).agg(newest.alias("newest"))
+        return found.filter("newest.l_returnflag <> 'R'").select("env", "resource", "key", F.col("newest.p_size").cast("string").alias("value"))
 
-    return identity.config_drift(settings(1999), settings(1998))
+    return identity.config_drift(settings(line), settings(line.filter(before("l_shipdate", SECOND_DAY))))

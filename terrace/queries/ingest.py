@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from terrace.functions.money import cents, discounted, from_units
 from terrace.operators import changes, gold, layout, refine, snapshots
-from terrace.queries.inputs import custom_of_year, custom_of_year_sql
+from terrace.queries.inputs import SECOND_DAY, custom, custom_sql
 from terrace.queries.registry import query
 from terrace.session import scratch_path, write_through
 from terrace.sources.files import ingest_files, split_corrupt as split
@@ -203,7 +203,7 @@ def history_with_late_changes(spark: SparkSession, sf: str) -> DataFrame:
 
 
 DIFF_SQL = f"""
-WITH o AS ({custom_of_year_sql(1998)}), n AS ({custom_of_year_sql(1999)})
+WITH o AS ({custom_sql(SECOND_DAY)}), n AS ({custom_sql()})
 SELECT CASE WHEN o.custkey IS NULL THEN 'insert' WHEN n.custkey IS NULL THEN 'delete' ELSE 'update' END AS change,
        coalesce(n.custkey, o.custkey) AS custkey, coalesce(o.n_orders, 0) AS old_n_orders, coalesce(n.n_orders, 0) AS new_n_orders,
        o.priority AS old_priority, n.priority AS new_priority
@@ -214,7 +214,7 @@ WHERE o.custkey IS NULL OR n.custkey IS NULL OR o.n_orders <> n.n_orders OR o.pr
 
 @query(DIFF_SQL)
 def diff_snapshots(spark: SparkSession, sf: str) -> DataFrame:
-    old, new = custom_of_year(spark, sf, 1998), custom_of_year(spark, sf, 1999)
+    old, new = custom(spark, sf, SECOND_DAY), custom(spark, sf)
     return snapshots.diff_snapshots(old, new, ["custkey"], ["n_orders", "priority"]).na.fill(0, ["old_n_orders", "new_n_orders"])
 
 

@@ -6,25 +6,40 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrace.functions.money import cents
-from terrace.functions.times import in_year
+from terrace.functions.times import before
 from terrace.sources.tables import table
 
 
-def custom_of_year(spark: SparkSession, sf: str, year: int) -> DataFrame:
-    """Snapshot of the customers of one year: number of orders and highest priority."""
-    orders = table(spark, sf, "orders").filter(in_year("o_orderdate", year))
-    return orders.groupBy(F.col("o_custkey").alias("custkey")).agg(
-        F.count(F.lit(1)).alias("n_orders"), F.min("o_orderpriority").alias("priority")
+#: Day on which the older of two snapshots was taken; the newer one is the whole table.
+FIRST_DAY, SECOND_DAY = "1999-01-01", "2000-01-01"
+
+
+def custom(spark: SparkSession, sf: str, until: str | None = None) -> DataFrame:
+    """Snapshot of the customers at a day: number of orders and highest priority over all orders so far.
+
+    A customer whose newest order is finished has left. Without a day the whole table counts.
+    """
+    orders = table(spark, sf, "orders")
+    if until:
+        orders = orders.filter(before("o_orderdate", until))
+    newest = F.max(F.struct("o_orderdate", "o_orderkey", "o_orderstatus"))
+    found = orders.groupBy(F.col("o_custkey").alias("custkey")).agg(
+        F.count(F.lit(1)).alias("n_orders"), F.min("o_orderpriority").alias("priority"), newest.alias("newest")
     )
+    return found.filter("newest.o_orderstatus <> 'F'").drop("newest")
 
 
-def custom_of_year_sql(year: int) -> str:
+def custom_sql(until: str | None = None) -> str:
+    seen = f"WHERE o_orderdate < TIMESTAMP '{until}' " if until else ""
     return (
         "SELECT o_custkey AS custkey, count(*) AS n_orders, min(o_orderpriority) AS priority "
-        f"FROM orders WHERE year(o_orderdate) = {year} GROUP BY o_custkey"
+        f"FROM orders {seen}GROUP BY o_custkey HAVING arg_max(o_orderstatus, {NEWEST_ORDER_SQL}) <> 'F'"
     )
 
 
+NEWEST_ORDER_SQL = "{'day': o_orderdate, 'key': o_orderkey, 'status': o_orderstatus}"
+
+
 def account_edges(spark: SparkSession, sf: str) -> DataFrame:
     """Users below workspaces (nations) below accounts (regions) below one root."""
     c, n, r = (table(spark, sf, t) for t in ("customer", "nation", "region"))

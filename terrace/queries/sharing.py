@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrace.operators import sharing, snapshots
-from terrace.queries.inputs import custom_of_year, custom_of_year_sql
+from terrace.queries.inputs import FIRST_DAY, SECOND_DAY, custom, custom_sql
 from terrace.queries.registry import query
 from terrace.session import scratch_path
 from terrace.sources.tables import table
@@ -46,7 +46,7 @@ def share_by_recipient(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(f"""
-WITH o AS ({custom_of_year_sql(1998)}), n AS ({custom_of_year_sql(1999)}),
+WITH o AS ({custom_sql(SECOND_DAY)}), n AS ({custom_sql()}),
 j AS (SELECT o.custkey AS ok, o.n_orders AS o_n, o.priority AS op, n.custkey AS nk, n.n_orders AS n_n, n.priority AS np
       FROM o FULL JOIN n ON o.custkey = n.custkey)
 SELECT nk AS custkey, n_n AS n_orders, np AS priority, 'insert' AS _change_type, CAST(7 AS BIGINT) AS _version FROM j WHERE ok IS NULL
@@ -55,26 +55,26 @@ UNION ALL SELECT ok, o_n, op, 'update_preimage', 7 FROM j WHERE ok = nk AND (o_n
 UNION ALL SELECT nk, n_n, np, 'update_postimage', 7 FROM j WHERE ok = nk AND (o_n <> n_n OR op <> np)
 """)
 def change_feed(spark: SparkSession, sf: str) -> DataFrame:
-    return snapshots.change_feed(custom_of_year(spark, sf, 1998), custom_of_year(spark, sf, 1999), ["custkey"], 7)
+    return snapshots.change_feed(custom(spark, sf, SECOND_DAY), custom(spark, sf), ["custkey"], 7)
 
 
-@query(custom_of_year_sql(2000))
+@query(custom_sql())
 def replay_feed(spark: SparkSession, sf: str) -> DataFrame:
-    """1998 plus the feeds to 1999 and to 2000 is 2000."""
-    years = [custom_of_year(spark, sf, y) for y in (1998, 1999, 2000)]
-    feeds = [snapshots.change_feed(years[i], years[i + 1], ["custkey"], i + 1) for i in (0, 1)]
-    return snapshots.replay_feed(years[0], feeds[0].unionByName(feeds[1]), ["custkey"])
+    """The first snapshot plus the feeds to the second and to the whole table is the whole table."""
+    taken = [custom(spark, sf, day) for day in (FIRST_DAY, SECOND_DAY, None)]
+    feeds = [snapshots.change_feed(taken[i], taken[i + 1], ["custkey"], i + 1) for i in (0, 1)]
+    return snapshots.replay_feed(taken[0], feeds[0].unionByName(feeds[1]), ["custkey"])
 
 
 @query("""
 WITH granted AS (SELECT DISTINCT l_suppkey, l_partkey FROM lineitem WHERE l_returnflag = 'N'),
-red AS (SELECT DISTINCT l_suppkey, l_partkey FROM lineitem WHERE l_returnflag = 'R')
+red AS (SELECT DISTINCT l_suppkey, l_partkey FROM lineitem WHERE l_returnflag IN ('R', 'A'))
 SELECT 'ungranted_read' AS finding, l_suppkey, l_partkey FROM (FROM red EXCEPT FROM granted)
 UNION ALL SELECT 'unused_grant', l_suppkey, l_partkey FROM (FROM granted EXCEPT FROM red)
 """)
 def share_usage(spark: SparkSession, sf: str) -> DataFrame:
-    """Parts a supplier delivered count as granted, parts returned to it as read."""
+    """Parts a supplier delivered count as granted, parts that came back or were accepted as read."""
     line = table(spark, sf, "lineitem")
     return sharing.share_usage(
-        line.filter("l_returnflag = 'N'"), line.filter("l_returnflag = 'R'"), ["l_suppkey", "l_partkey"]
+        line.filter("l_returnflag = 'N'"), line.filter("l_returnflag IN ('R', 'A')"), ["l_suppkey", "l_partkey"]
     )

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import math
 import sys
+import tempfile
 import time
 from collections import Counter
 
@@ -64,7 +65,7 @@ def main(argv: list[str]) -> int:
     sf = argv[0] if argv else "0.01"
     sf_dir = f"/root/testdata/sf{sf}"
     spark = build_session(
-        "compare", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "12g"}
+        "compare", "local[8]", **{"spark.checkpoint.dir": tempfile.mkdtemp(prefix="compare-"), "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "12g"}
     )
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)
