@@ -44,10 +44,21 @@ FOLD = fold_table()
 
 @dataclass
 class Automaton:
-    """``step[state, symbol]`` is the next state, or 0 where the stretch does not go on; state 1 is the root."""
+    """Moves of one language: from state and symbol, as one number, to a state. State 1 is the root, 0 is none."""
 
     language: str
-    step: np.ndarray
+    size: int
+    at: np.ndarray
+    to: np.ndarray
+
+    def table(self) -> np.ndarray:
+        """``table[state * width + symbol]`` is the next state, or 0 where the stretch does not go on.
+
+        Nearly all of it is 0, so it is made for each slice of texts and not kept for every language.
+        """
+        step = np.zeros(self.size, dtype=np.int32)
+        step[self.at] = self.to
+        return step
 
 
 def build_automaton(texts: list[bytes]) -> list[dict[int, int]]:
@@ -103,11 +114,9 @@ class Parser:
         self.automata = []
         for language, texts in folded.items():
             moves = build_automaton([names[np.frombuffer(t, dtype=np.uint8)].tobytes() for t in texts])
-            step = np.zeros((len(moves) + 1, self.width), dtype=np.int32)
-            for state, onward in enumerate(moves, 1):
-                for symbol, to in onward.items():
-                    step[state, symbol] = to + 1
-            self.automata.append(Automaton(language, step.ravel()))
+            at = [state * self.width + symbol for state, onward in enumerate(moves, 1) for symbol in onward]
+            to = [state + 1 for onward in moves for state in onward.values()]
+            self.automata.append(Automaton(language, (len(moves) + 1) * self.width, np.array(at, dtype=np.int64), np.array(to, dtype=np.int32)))
 
     def phrases(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Phrases of each text (row) in each language (column)."""
@@ -129,7 +138,7 @@ class Parser:
                 break
             columns.append(symbols[begin[:n] + t].astype(np.int32))
         for j, automaton in enumerate(self.automata):
-            step, width = automaton.step, self.width
+            step, width = automaton.table(), self.width
             state = np.ones(len(begin), dtype=np.int32)
             count = np.zeros(len(begin), dtype=np.int32)
             for symbol in columns:
