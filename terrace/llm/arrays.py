@@ -30,6 +30,8 @@ def slices(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int =
             stop = max(start + 1, int(np.searchsorted(ends, base + limit, side="right")))
             yield batch.slice(start, stop - start)
             start = stop
+    # a worker between tasks gives back what it does not use
+    pa.default_memory_pool().release_unused()
 
 
 def utf8(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -34,23 +34,24 @@ LAYOUT = {
     "parquet.page.row.count.limit": "1000",
     "compression": "zstd",
 }
-#: Words a worker keeps the ids of; further words are encoded again when they come up.
+#: Words a worker keeps the ids of by default; further words are encoded again when they come up.
 KEPT_WORDS = 600_000
 #: Words that are one run of letters, with or without a run of marks behind: one or two pieces for the tokenizer.
 MARKS = r"[.,;:!?|*$%&#)]"
 PLAIN = rf"^[A-Za-zÀ-ÖØ-öø-ÿ]+{MARKS}*$"
-_LOADED: dict[str, WordIds] = {}
+_LOADED: dict[tuple[str, int], WordIds] = {}
 
 
 class WordIds:
     """Ids by word. The tokenizer drops white space and no piece of it spans any, so ids of a text are those of its words."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, kept_words: int = KEPT_WORDS) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.kept: dict[str, bytes] = {}
+        self.kept_words = kept_words
         vocabulary = self.tokenizer.get_vocab()
         self.closes = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
@@ -85,7 +86,7 @@ class WordIds:
                 coded = self.tokenizer.encode_batch([names[i] for i in some], add_special_tokens=False)
                 for i, one in zip(some, coded, strict=True):
                     found[i] = array("I", one.ids).tobytes()
-            room = fresh[: max(KEPT_WORDS - len(self.kept), 0)]
+            room = fresh[: max(self.kept_words - len(self.kept), 0)]
             self.kept.update(zip(map(names.__getitem__, room), map(found.__getitem__, room), strict=True))
         return found
 
@@ -114,18 +115,19 @@ class WordIds:
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))
 
 
-def word_ids(path: str) -> WordIds:
-    """The tokenizer of this worker."""
-    if path not in _LOADED:
-        _LOADED[path] = WordIds(path)
-    return _LOADED[path]
+def word_ids(path: str, kept_words: int = KEPT_WORDS) -> WordIds:
+    """The tokenizer of this worker; one at a time."""
+    if (path, kept_words) not in _LOADED:
+        _LOADED.clear()
+        _LOADED[path, kept_words] = WordIds(path, kept_words)
+    return _LOADED[path, kept_words]
 
 
-def encoded(rows: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
+def encoded(rows: DataFrame, tokenizer: str, end_id: int, kept_words: int = KEPT_WORDS) -> DataFrame:
     """``key``, ``tie``, ``n_tokens`` and ``tokens`` of rows of ``key``, ``tie`` and ``text``, in their order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = word_ids(tokenizer)
+        ids = word_ids(tokenizer, kept_words)
         for batch in slices(batches):
             tokens = ids.encode(batch.column("text"), end_id)
             count = pc.list_value_length(tokens).cast(pa.int64())
@@ -135,16 +137,18 @@ def encoded(rows: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     return rows.mapInArrow(run, f"key {kind}, tie long, n_tokens long, tokens array<int>")
 
 
-def write_corpus(docs: DataFrame, path: str, tokenizer: str, end_id: int, key: str = "doc_id", text: str = "text") -> None:
+def write_corpus(docs: DataFrame, path: str, tokenizer: str, end_id: int, key: str = "doc_id", text: str = "text",
+                 kept_words: int = KEPT_WORDS) -> None:
     """Write the documents in ascending order of ``key`` (nulls first; equal keys by a hash of the text).
 
     The key and the hash are the ranges' bounds, so that a key that very many rows share is split too.
-    Extra columns are left out. An empty table gives a folder with no rows.
+    Extra columns are left out. An empty table gives a folder with no rows. ``kept_words`` bounds the
+    memory of a worker and changes no result.
     """
     rows = docs.select(F.col(key).alias("key"), F.xxhash64(text).alias("tie"), F.col(text).cast("string").alias("text"))
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = rows.repartitionByRange(n, "key", "tie").sortWithinPartitions("key", "tie")
-    tokens = encoded(ranged, tokenizer, end_id).select(
+    tokens = encoded(ranged, tokenizer, end_id, kept_words).select(
         F.col("key").alias("doc_id"), F.spark_partition_id().alias("part"), "tie", "n_tokens", "tokens"
     )
     tokens.write.options(**LAYOUT).parquet(f"{path}/data")
