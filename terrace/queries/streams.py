@@ -15,16 +15,34 @@ from terrace.queries.inputs import PRICES_SQL, prices
 from terrace.queries.registry import query
 from terrace.session import scratch_path, write_through
 from terrace.sources import files
-from terrace.sources.tables import is_folder, table, table_stream
+from terrace.sources.tables import folder_bytes, is_folder, table, table_stream
 from terrace.streaming import alerts, flows, runs
 
+#: Size of the files in which slices of a table arrive.
+SLICE_FILE_BYTES = 64 << 20
+
 
 def _ntz(df: DataFrame, *cols: str) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in cols})
 
 
+def _arriving_events(spark: SparkSession, sf: str) -> DataFrame:
+    """All events as a stream that takes four micro-batches: one slice of the time span after the other."""
+    log = table(spark, sf, "events")
+    parts = F.percentile_approx(F.unix_micros(F.col("ts").cast("timestamp")), [0.25, 0.5, 0.75])
+    cuts = log.agg(parts.alias("cuts")).first()["cuts"] or []
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    slot = sum((F.coalesce(at >= F.lit(c), F.lit(False)).cast("int") for c in cuts), F.lit(0))
+    source = scratch_path(spark, "arrivals")
+    # each slice is as many files as a micro-batch takes, and files are taken in the order in which they were written
+    files_of_slice = 1 + folder_bytes(spark, f"{sf}/events.parquet") // (4 * SLICE_FILE_BYTES)
+    for k in range(len(cuts) + 1):
+        log.filter(slot == k).repartition(files_of_slice).write.mode("append").parquet(source)
+    return spark.readStream.schema(log.schema).option("maxFilesPerTrigger", files_of_slice).parquet(source)
+
+
 def _event_stream(spark: SparkSession, sf: str) -> DataFrame:
-    return flows.event_time(table_stream(spark, sf, "events"), "ts")
+    return flows.event_time(_arriving_events(spark, sf), "ts")
 
 
 @query("SELECT event_id, ts, user_id, event_type, value, props, 'events.parquet' AS _src_file FROM events")
@@ -42,10 +60,9 @@ def ingest_files_stream(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("SELECT event_id, user_id, event_type, ts FROM events")
 def dedupe_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """Every event delivered twice."""
+    """Every event delivered twice, in four micro-batches."""
     stream = _event_stream(spark, sf).select("event_id", "user_id", "event_type", "ts")
-    again = _event_stream(spark, sf).select("event_id", "user_id", "event_type", "ts")
-    once = flows.dedupe_stream(stream.union(again), ["event_id"], "ts", "1 hour")
+    once = flows.dedupe_stream(stream.union(stream), ["event_id"], "ts", "1 hour")
     return _ntz(runs.run_to_scratch(once, "deduped"), "ts")
 
 
@@ -115,7 +132,7 @@ def current_state_stream(spark: SparkSession, sf: str) -> DataFrame:
     """Change application from micro-batches."""
     path, progress = scratch_path(spark, "state"), scratch_path(spark, "progress")
     keys, seq = ["user_id"], ["ts", "event_id"]
-    stream = table_stream(spark, sf, "events").select("user_id", "event_id", "ts", "event_type", "value")
+    stream = _arriving_events(spark, sf).select("user_id", "event_id", "ts", "event_type", "value")
     runs.run_batches(stream, runs.scd1_writer(path, keys, seq, F.col("event_type") == "error"), progress)
     return runs.read_scd1(spark, path, keys, seq)
 
@@ -127,7 +144,7 @@ SELECT event_type, count(*) AS n_rows, CAST(sum(round(value * 100)) AS BIGINT) A
 def refresh_aggregate_stream(spark: SparkSession, sf: str) -> DataFrame:
     path, progress = scratch_path(spark, "partials"), scratch_path(spark, "progress")
     writer = runs.aggregate_writer(path, ["event_type"], cents("value"), F.col("user_id"))
-    runs.run_batches(table_stream(spark, sf, "events"), writer, progress)
+    runs.run_batches(_arriving_events(spark, sf), writer, progress)
     return gold.serve_partials(runs.read_aggregate(spark, path, ["event_type"])).drop("reach")
 
 
@@ -187,7 +204,7 @@ def alert_stream(spark: SparkSession, sf: str) -> DataFrame:
 def history_stream(spark: SparkSession, sf: str) -> DataFrame:
     """History from a log of micro-batches."""
     path, progress = scratch_path(spark, "changes"), scratch_path(spark, "progress")
-    stream = table_stream(spark, sf, "events").select("user_id", "event_type", "ts", "event_id")
+    stream = _arriving_events(spark, sf).select("user_id", "event_type", "ts", "event_id")
     runs.run_batches(stream, runs.change_log_writer(path), progress)
     gone = F.col("event_type") == "error"
     return runs.read_scd2(spark, path, ["user_id"], ["ts", "event_id"], gone, ["event_type"])
