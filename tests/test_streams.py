@@ -137,3 +137,16 @@ def test_alerts_once_per_episode(spark):
     stream = spark.readStream.schema("id bigint, u string, t timestamp").option("maxFilesPerTrigger", 1).parquet(source)
     out = runs.run_to_scratch(alerts.alert_stream(stream, "t", F.lit(True), 3, 300, ["u"], "1 minute"), "alerts")
     assert bag(out.select("u", F.date_format("alert_at", "HH:mm").alias("at"))) == {("u", "00:02"): 1, ("u", "01:02"): 1}
+
+
+def test_events_arrive_in_four_batches_in_order(spark, sf, tmp_path):
+    from terrace.queries.streams import _arriving_events
+
+    seen = []
+
+    def note(batch, batch_id):
+        seen.append(batch.selectExpr("min(ts) AS low", "max(ts) AS high", "count(*) AS n").first())
+
+    runs.run_batches(_arriving_events(spark, sf), note, str(tmp_path / "progress"))
+    assert len(seen) == 4 and sum(r.n for r in seen) == 1000
+    assert all(a.high < b.low for a, b in zip(seen, seen[1:]))
