@@ -6,7 +6,8 @@ at a document. A binary tree then splits the exact quotas of block draws among o
 node draws its left half from its quotas by a multivariate hypergeometric distribution. A shard takes
 the next draws of each source's order, so no two shards share one, and shuffles its rows locally.
 
-The driver and the tree see one row a source, never documents or blocks.
+The driver and the tree see one row a source, never documents or blocks. What a document is counted
+with is read off the draws as they were dealt.
 """
 
 from __future__ import annotations
@@ -115,7 +116,7 @@ def sized_rows(docs: DataFrame, key: str, source: str, text: str, seed: int, blo
 
 def decide(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", weights: tuple[int, ...] = WEIGHTS,
            share: float = SHARE, most: float = MAX_PASSES, seed: int = SEED, blocks: int = BLOCKS) -> tuple[DataFrame, DataFrame, list[SourcePlan]]:
-    """Sizes of all documents; a row a block with what the mix takes of it; the sources' plans.
+    """Sizes of all documents, each row under a number ``row`` of its own; a row a block with what the mix takes of it; the sources' plans.
 
     A block is taken ``passes`` times in full, and once more those of its documents whose rank is at
     most ``cut`` (null: none). The document at the cut is taken where that brings the source nearer to
@@ -124,7 +125,7 @@ def decide(docs: DataFrame, key: str = "doc_id", source: str = "source", text: s
     spark = docs.sparkSession
     marked = sized_rows(docs.select(F.col(key).alias("key"), F.col(source).alias("source"), F.col(text).cast("string").alias("text")), "key", "source", "text", seed, blocks)
     sized = write_through(
-        marked.select("key", F.col("__size").alias("size"), F.col("__source").alias("source_key"), F.col("__rank").alias("rank"), F.col("__block").alias("block")),
+        marked.select("key", F.col("__size").alias("size"), F.col("__source").alias("source_key"), F.col("__rank").alias("rank"), F.col("__block").alias("block"), F.monotonically_increasing_id().alias("row")),
         "mix-sizes",
     )
     plans = plan_sources(sized, weights, share, most)
@@ -148,30 +149,12 @@ def decide(docs: DataFrame, key: str = "doc_id", source: str = "source", text: s
     return sized, taken.select("source_key", "block", "at", "words", "source_size", "target", "passes", "cut"), plans
 
 
-def copies() -> Column:
-    """How often a document of a block is taken."""
-    return F.col("passes") + F.when(F.col("rank") <= F.col("cut"), 1).otherwise(0)
+def deal(rows: DataFrame, taken: DataFrame, shards: int, seed: int) -> DataFrame:
+    """``rows`` (with the columns of ``sized_rows``) once for each time the mix draws them, dealt to shards and shuffled in them.
 
-
-def quotas_taken(docs: DataFrame, **settings) -> DataFrame:
-    """``key``, ``size``, ``source_size``, ``target``, ``taken`` (words, repeats counted) and ``copies`` of every document.
-
-    Null sources come last and are a source; a null text has size 0. Documents without words are never
-    taken more than the blocks they are in. An empty table gives no rows.
+    ``taken`` is the table of blocks that ``decide`` gives. The tree splits each source's draws of blocks among the shards.
     """
-    sized, taken, _ = decide(docs, **settings)
-    joined = sized.join(taken.drop("words", "at"), ["source_key", "block"])
-    return joined.select(
-        "key", "size", F.col("source_size").cast("long").alias("source_size"), "target",
-        (F.col("size") * copies()).cast("long").alias("taken"), copies().alias("copies"),
-    )
-
-
-def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", shards: int = SHARDS, seed: int = SEED, **settings) -> DataFrame:
-    """The rows of ``docs`` as often as the mix takes them, with their own columns, dealt to shards and shuffled in them."""
-    spark = docs.sparkSession
-    blocks = settings.get("blocks", BLOCKS)
-    _, taken, _ = decide(docs, key, source, text, seed=seed, **settings)
+    spark = rows.sparkSession
     taken = write_through(taken, "mix-taken")
     draws_of = F.col("passes") + F.when(F.col("cut").isNotNull(), 1).otherwise(0)
     own = taken.groupBy("source_key").agg(F.sum(draws_of).alias("draws"), F.count(F.lit(1)).alias("n_blocks")).orderBy("source_key").collect()
@@ -181,8 +164,7 @@ def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str
         [(r["source_key"], int(r["n_blocks"]), b) for r, b in zip(own, bounds, strict=True)], "source_key string, n_blocks long, bounds array<long>"
     )
     plan = taken.join(table, "source_key").drop("words", "source_size", "target").withColumnRenamed("source_key", "__source").withColumnRenamed("block", "__block")
-    rows = sized_rows(docs, key, source, text, seed, blocks)
-    names = [f"`{c}`" for c in docs.columns]
+    names = [F.col(f"`{c}`") for c in rows.columns]
     picked = rows.join(plan, ["__source", "__block"])
     times = F.col("passes") + F.when(F.col("__rank") <= F.col("cut"), 1).otherwise(0)
     drawn = picked.withColumn("__times", times).filter("__times > 0").withColumn("__pass", F.explode(F.sequence(F.lit(0), F.col("__times") - 1)))
@@ -190,4 +172,27 @@ def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str
     number = F.col("__pass") * F.col("n_blocks") + F.col("at")
     shard = F.size(F.filter("bounds", lambda b: b <= number))
     order = F.xxhash64(F.lit(seed + 3), "__rank", "__pass")
-    return drawn.select(*names, shard.alias("__shard"), order.alias("__order")).repartition(shards, "__shard", F.pmod("__order", F.lit(64))).sortWithinPartitions("__shard", "__order").select(*names)
+    return drawn.select(*names, shard.alias("__shard"), order.alias("__order")).repartition(shards, "__shard", F.pmod("__order", F.lit(64))).sortWithinPartitions("__shard", "__order")
+
+
+def quotas_taken(docs: DataFrame, shards: int = SHARDS, seed: int = SEED, **settings) -> DataFrame:
+    """``key``, ``size``, ``source_size``, ``target``, ``taken`` (words, repeats counted) and ``copies`` of every document.
+
+    ``copies`` counts the draws of a row that were dealt to shards. Null sources come last and are a source;
+    a null text has size 0. Documents without words are never taken more than the blocks they are in.
+    Repeated rows and null keys are counted each for itself. An empty table gives no rows.
+    """
+    sized, taken, plans = decide(docs, seed=seed, **settings)
+    goals = docs.sparkSession.createDataFrame([(p.source, p.size, p.target) for p in plans], "source_key string, source_size long, target double")
+    marked = sized.select("row", F.col("source_key").alias("__source"), F.col("rank").alias("__rank"), F.col("block").alias("__block"))
+    dealt = write_through(deal(marked, taken, shards, seed).select("row", "__shard"), "mix-dealt")
+    counted = dealt.groupBy("row").agg(F.count(F.lit(1)).cast("int").alias("copies"))
+    joined = sized.join(counted, "row", "left").join(goals, "source_key").withColumn("copies", F.coalesce("copies", F.lit(0)))
+    return joined.select("key", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies")
+
+
+def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", shards: int = SHARDS, seed: int = SEED, **settings) -> DataFrame:
+    """The rows of ``docs`` as often as the mix takes them, with their own columns, dealt to shards and shuffled in them."""
+    _, taken, _ = decide(docs, key, source, text, seed=seed, **settings)
+    rows = sized_rows(docs, key, source, text, seed, settings.get("blocks", BLOCKS))
+    return deal(rows, taken, shards, seed).select(*[f"`{c}`" for c in docs.columns])

@@ -162,6 +162,22 @@ def test_mixture(spark):
     assert got == {k: n for k, n in copies.items() if n}
 
 
+def test_taken_is_counted_from_dealt_draws(spark, monkeypatch):
+    """op9_mixture deals its draws by the tree; repeated rows and null keys are counted each for itself."""
+    seen = []
+    split = mixture.split_quotas
+    monkeypatch.setattr(mixture, "split_quotas", lambda quotas, *a: seen.append(quotas) or split(quotas, *a))
+    QUERIES["op9_mixture"](spark, SF).collect()
+    assert len(seen) == 1 and seen[0].sum() > 0
+    rows = [(7, "a b c", "x"), (7, "a b c", "x"), (7, "d e", "x"), (None, "a b c", "x"), (None, "f", "y"), (8, "", "y"), (9, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = mixture.quotas_taken(docs).collect()
+    assert len(found) == len(rows) and len({r["copies"] for r in found if r["key"] == 7 and r["size"] == 3}) == 1
+    words = lambda k, n: sum(r["copies"] for r in found if r["key"] == k and r["size"] == n)
+    mixed = Counter((r["doc_id"], len((r["text"] or "").split())) for r in mixture.mix(docs).collect())
+    assert mixed == Counter({(r["key"], r["size"]): words(r["key"], r["size"]) for r in found if words(r["key"], r["size"])})
+
+
 def test_mixture_awkward(spark):
     docs = awkward(spark)
     rows = mixture.quotas_taken(docs).collect()
