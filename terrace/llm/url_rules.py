@@ -8,16 +8,16 @@ is listed under its rarest token and fits where the row has its other tokens too
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrace.session import write_through
 
-#: Labelled URLs that a rule must hold for, share of them that must be blocked, tokens of a rule at most.
-MIN_PAGES, MIN_CONFIDENCE, MAX_TOKENS = 10, 0.6, 3
-#: Share of the blocked URLs that a token set must be in to be mined at all.
-MIN_SUPPORT = 0.004
+#: Labelled URLs that a rule must hold for, and share of them that must be blocked.
+MIN_PAGES, MIN_CONFIDENCE = 10, 0.6
 #: Blocked URLs that a partition of the mining should hold.
 MINED_ROWS = 50_000
 
@@ -55,9 +55,8 @@ def tokens(url: str, host: str, path: str) -> Column:
         F.when(F.size(parts) > 1, F.sequence(F.lit(1), F.size(parts) - 1)).otherwise(F.array().cast("array<int>")),
         lambda i: F.concat(F.lit("h:"), F.array_join(F.slice(parts, i, F.size(parts)), ".")),
     )
-    # single labels are in the parents; only the words of compound ones are tokens of their own
-    compound = F.filter(parts, lambda p: F.contains(p, F.lit("-")))
-    labels = F.transform(F.flatten(F.transform(compound, lambda p: F.split(p, "-"))), lambda p: F.concat(F.lit("w:"), p))
+    # a label stands on many domains, which no host or parent names
+    labels = F.transform(F.flatten(F.transform(parts, lambda p: F.split(p, "-"))), lambda p: F.concat(F.lit("w:"), p))
     # a run of digits is an address of one page, which no rule should name
     segments = F.transform(
         F.filter(F.split(F.regexp_replace(F.lower(path), "[0-9]+", "0"), "[/._-]"), lambda p: p != ""), lambda p: F.concat(F.lit("p:"), p)
@@ -68,12 +67,25 @@ def tokens(url: str, host: str, path: str) -> Column:
     return F.array_distinct(F.concat(scheme, parents, labels, segments, names))
 
 
-def mine_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_pages: int = MIN_PAGES,
-               min_confidence: float = MIN_CONFIDENCE, max_tokens: int = MAX_TOKENS) -> DataFrame:
+def repeats_host(items: str) -> Column:
+    """Whether a host of the set has a parent or a label in it too; such a set fits the same URLs without them."""
+
+    def held(host: Column, other: Column) -> Column:
+        name = F.substring(other, 3, 1 << 20)
+        parent = F.startswith(other, F.lit("h:")) & F.endswith(host, F.concat(F.lit("."), name))
+        label = F.startswith(other, F.lit("w:")) & F.array_contains(F.split(F.substring(host, 3, 1 << 20), "[.-]"), name)
+        return parent | label
+
+    return F.exists(items, lambda a: F.startswith(a, F.lit("h:")) & F.exists(items, lambda b: held(a, b)))
+
+
+def mine_rules(labelled: DataFrame, min_support: float | None = None, min_pages: int = MIN_PAGES,
+               min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
     """(``rule_id``, ``items``, ``pages``, ``confidence``) from rows of ``id``, ``items`` (tokens) and ``blocked``.
 
-    Rules of more than ``max_tokens`` tokens are not sought. A rule goes if a part of it has the same or a
-    higher confidence. Without blocked rows there are none.
+    Without ``min_support`` (a share of the blocked rows) a token set is mined if it is in as many blocked rows
+    as a rule of ``min_pages`` rows must have, however many rows there are. A rule goes if a part of it has the
+    same or a higher confidence. Without blocked rows there are none.
     """
     spark = labelled.sparkSession
     schema = "rule_id long, items array<string>, pages long, confidence double"
@@ -82,9 +94,12 @@ def mine_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_pages:
     n = bad.count()
     if not n:
         return spark.createDataFrame([], schema)
+    if min_support is None:
+        # half a row less, so that rounding asks for no row more
+        min_support = min(1.0, (math.ceil(min_pages * min_confidence) - 0.5) / n)
     # a basket goes to as many partitions as it has tokens, so no more of them than the baskets need
     sets = FPGrowth(itemsCol="items", minSupport=min_support, numPartitions=1 + n // MINED_ROWS).fit(bad).freqItemsets
-    sets = sets.filter(F.size("items") <= max_tokens).select(F.sort_array("items").alias("items")).distinct()
+    sets = sets.filter(~repeats_host("items")).select(F.sort_array("items").alias("items")).distinct()
     ruled = write_through(sets.select(F.xxhash64("items").alias("rule_id"), "items"), "url-sets")
     # every labelled URL, blocked or not, counts for the confidence
     hits = matched(rows.select("id", "items", "blocked"), ruled, ["id", "blocked"])

@@ -69,3 +69,22 @@ def test_mined_rules_are_exact(spark):
     for r in got:
         fit = [b for _, items, b in rows if set(r["items"]) <= set(items)]
         assert (r["pages"], r["confidence"]) == (len(fit), sum(fit) / len(fit))
+
+
+def test_labels_and_small_hosts_are_mined(spark):
+    """A label on many domains, a top-level domain, and a host of ten pages among thousands of blocked ones."""
+    bad = [f"https://casino.site{i}.com/" for i in range(20)] + [f"https://shop{i}.bad/" for i in range(20)] + ["https://x.small.org/" for i in range(10)]
+    bulk = [f"http://www.bulk.net/u/{i}" for i in range(3000)]
+    good = [f"https://site{i}.com/" for i in range(60)] + ["https://y.small.org/" for i in range(60)]
+    urls = bad + bulk + good + ["https://casino.unseen.org/", "https://new.bad/", "https://x.small.org/"]
+    labels = spark.createDataFrame([(i, int(i >= len(bad) + len(bulk)), None) for i in range(len(urls) - 3)], "doc_id long, quality int, toxic int")
+    rows = {r["page_id"]: r for r in url_rules.judge_urls(pages_of(spark, urls), labels, {}).collect()}
+    assert [rows[len(urls) - k]["verdict"] for k in (3, 2, 1)] == ["block"] * 3
+    assert rows[len(urls) - 3]["mined_rule"] == "w:casino" and rows[len(urls) - 2]["mined_rule"] == "w:bad"
+    assert all(rows[i]["verdict"] == "allow" for i in range(len(bad) + len(bulk), len(urls) - 3))
+
+
+def test_rules_of_four_tokens(spark):
+    rows = [(i, [t for k, t in enumerate("abcd") if (i >> k) & 1], i % 16 == 15) for i in range(320)]
+    got = url_rules.mine_rules(spark.createDataFrame(rows, "id long, items array<string>, blocked boolean")).collect()
+    assert [(sorted(r["items"]), r["pages"], r["confidence"]) for r in got] == [(["a", "b", "c", "d"], 20, 1.0)]
