@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrace.llm import decontaminate, language, mixture, neighbours, pii, quality_rules, simhash, suffixes, token_files, url_rules
+from terrace.llm import (
+    alignment, decontaminate, language, mixture, neighbours, pii, quality_rules, simhash, substrings, suffixes, token_files, url_rules, whitening,
+)
 from terrace.llm.arrays import crc_mod
 from terrace.session import scratch_path
 from terrace.sources.tables import table
@@ -126,6 +128,25 @@ def op10_suffixes(spark: SparkSession, folder: str) -> DataFrame:
     return suffixes.remove_repeats(table(spark, folder, "documents")).drop("kept")
 
 
+@query()
+def op11_substrings(spark: SparkSession, folder: str) -> DataFrame:
+    """Words in 13 that also stand in an earlier document, removed from every document."""
+    found = substrings.remove_repeats(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256", F.coalesce(F.size("repeats"), F.lit(0)).alias("n_repeats"))
+
+
+@query()
+def op12_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """Tokens of the byte-level and the piece vocabulary aligned in every document."""
+    return alignment.align_texts(table(spark, folder, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+
+@query()
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """The first 16 whitened components of every vector."""
+    return whitening.whiten(table(spark, folder, "embeddings"))
+
+
 def tokenizer_path(name: str = TOKENIZER) -> str:
     """Where the installed vocabulary file is."""
     import public_tokenizers
