@@ -21,6 +21,10 @@ DEFAULTS = {
 }
 
 
+#: Spark's switch that removes the shuffle files of a job at its end.
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def build_session(app: str = "terrace", master: str | None = None, **extra: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
@@ -57,7 +61,14 @@ def write_through(df: DataFrame, label: str) -> DataFrame:
 
 
 def write_table(df: DataFrame, path: str) -> DataFrame:
-    df.write.parquet(path)
+    """Write ``df`` and read it back; the shuffle files of its job go as soon as the table stands."""
+    conf = df.sparkSession.conf
+    before = conf.get(CLEAN_UP)
+    conf.set(CLEAN_UP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.set(CLEAN_UP, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
