@@ -116,10 +116,12 @@ def first_breach(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("""
 WITH t AS (SELECT c_mktsegment, date_trunc('month', o_orderdate) AS period, CAST(sum(round(o_totalprice * 100)) AS BIGINT) AS cents
-           FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL)
+           FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL),
+months AS (SELECT c_mktsegment, unnest(generate_series(min(period), max(period), INTERVAL 1 MONTH)) AS period FROM t GROUP BY 1),
+filled AS (SELECT c_mktsegment, period, coalesce(cents, 0) AS cents FROM months LEFT JOIN t USING (c_mktsegment, period))
 SELECT c_mktsegment, period, cents, cents - lag(cents, 1, cents) OVER w AS change_cents,
        round(avg(cents) OVER (PARTITION BY c_mktsegment ORDER BY period ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), 2) AS moving_mean
-FROM t WINDOW w AS (PARTITION BY c_mktsegment ORDER BY period)
+FROM filled WINDOW w AS (PARTITION BY c_mktsegment ORDER BY period)
 """)
 def cost_trend(spark: SparkSession, sf: str) -> DataFrame:
     costs = table(spark, sf, "orders").join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
