@@ -15,8 +15,9 @@ import hashlib
 import json
 import os
 import re
-from bisect import bisect_left, bisect_right
 from collections.abc import Iterator, Sequence
+from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -29,49 +30,65 @@ from terrace.session import scratch_path, write_table
 #: Where both tokenizers end a token: ahead of a space that follows anything but white space. A last space
 #: stays with what is ahead of it, since the piece tokenizer has no token for an empty text.
 CUT = re.compile(r"(?<=\S)(?= .)", re.DOTALL)
-#: Pieces that a worker keeps aligned, and their largest length in characters.
-KEPT_PIECES, KEPT_CHARS = 100_000, 64
+#: Pieces that a worker keeps aligned (the first ones, among which the usual are), and their largest length in characters.
+KEPT_PIECES, KEPT_CHARS = 250_000, 64
 ENCODE_AT_ONCE = 2_000
+#: Ends that start their search from the same place.
+STRIDE = 64
 LINK_BITS = 32
 
 
-def common_ends(a: Sequence[int], b: Sequence[int]) -> list[tuple[int, int]]:
-    """Places (in ``a``, in ``b``) of the ends that both rising lists hold."""
-    short, long, swapped = (a, b, False) if len(a) <= len(b) else (b, a, True)
-    found, at, n = [], 0, len(long)
-    for place, end in enumerate(short):
+def gallop(short: np.ndarray, long: np.ndarray) -> np.ndarray:
+    """For each end of ``short``, how many ends of ``long`` lie ahead of it; both rise.
+
+    Every ``STRIDE``-th end goes on from where the one before it was found; the ends between start there
+    and take their steps side by side.
+    """
+    n, begin, at = len(long), [], 0
+    for end in short[::STRIDE].tolist():
         step, low, high = 1, at, at
         while high < n and long[high] < end:
             low, high = high + 1, high + step
             step *= 2
-        at = bisect_left(long, end, low, min(high, n))
-        if at == n:
-            break
-        if long[at] == end:
-            found.append((at, place) if swapped else (place, at))
-            at += 1
-    return found
-
-
-def align(a: Sequence[int], b: Sequence[int]) -> tuple[list[tuple[int, int, int, int]], list[tuple[int, int]]]:
-    """Groups (first and last place behind, in ``a`` and in ``b``) and the overlapping pairs of places.
-
-    Both lists end at the same offset; two empty ones have no groups.
+        at = low + int(np.searchsorted(long[low : min(high, n)], end))
+        begin.append(at)
+    low = np.repeat(np.array(begin, dtype=np.int64), STRIDE)[: len(short)]
+    high, going, step = low.copy(), np.arange(len(short)), 1
+    while len(going):
+        going = going[high[going] < n]
+        going = going[long[high[going]] < short[going]]
+        low[going] = high[going] + 1
+        high[going] += step
+        step *= 2
+    high = np.minimum(high, n)
+    going = np.flatnonzero(low < high)
+    while len(going):
+        middle = (low[going] + high[going]) // 2
+        ahead = long[middle] < short[going]
+        low[going[ahead]] = middle[ahead] + 1
+        high[going[~ahead]] = middle[~ahead]
+        going = going[low[going] < high[going]]
+    return low
+
+
+def align(a: Sequence[int], b: Sequence[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Where the groups end (places behind, in ``a`` and in ``b``), and the overlapping pairs of places in order.
+
+    Both lists rise and end at the same offset; two empty ones have no groups.
     """
-    groups, links = [], []
-    a_low = b_low = 0
-    for i, j in common_ends(a, b):
-        a_high, b_high = i + 1, j + 1
-        groups.append((a_low, a_high, b_low, b_high))
-        start = a[a_low - 1] if a_low else 0
-        for k in range(a_low, a_high):
-            # the first token of b that ends behind this start, the last one that begins ahead of this end
-            first = bisect_right(b, start, b_low, b_high)
-            last = bisect_left(b, a[k], b_low, b_high)
-            links += [(k, x) for x in range(first, last + 1)]
-            start = a[k]
-        a_low, b_low = a_high, b_high
-    return groups, links
+    a, b = np.asarray(a, dtype=np.int64), np.asarray(b, dtype=np.int64)
+    short, long = (a, b) if len(a) <= len(b) else (b, a)
+    if not len(short):
+        return np.zeros((0, 2), dtype=np.int64), np.zeros((0, 2), dtype=np.int64)
+    rank = gallop(short, long)
+    common = long[rank] == short
+    ends = np.stack((np.flatnonzero(common), rank[common]), axis=1) + 1
+    # a token reaches from the one that its start lies in to the one that its end lies in
+    first = np.concatenate(([0], rank[:-1] + common[:-1]))
+    count = rank - first + 1
+    behind = np.cumsum(count)
+    pairs = np.stack((np.repeat(np.arange(len(short)), count), np.arange(behind[-1]) - np.repeat(behind - count - first, count)), axis=1)
+    return (ends, pairs) if short is a else (ends[:, ::-1], pairs[:, ::-1])
 
 
 class Tokens:
@@ -89,11 +106,16 @@ class Tokens:
         letters = byte_letters()
         with open(byte_level, encoding="utf-8") as f:
             read = json.load(f)
-        self.a_bytes = {i: bytes(letters[c] for c in t) for t, i in read["model"]["vocab"].items() if all(c in letters for c in t)}
+        self.a_bytes = [b""] * self.a.get_vocab_size()
+        for token, i in read["model"]["vocab"].items():
+            self.a_bytes[i] = bytes(letters.get(c, 0) for c in token)
         self.b_bytes = [
             bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
             for i, p in enumerate(self.b.id_to_piece(k) for k in range(self.b.get_piece_size()))
         ]
+        self.a_sizes, self.b_sizes = (np.array([len(t) for t in x], dtype=np.int64) for x in (self.a_bytes, self.b_bytes))
+        count = range(max(len(self.a_bytes), len(self.b_bytes)))
+        self.names, self.names_bar, self.names_end = (np.array([f"{i}{sign}" for i in count], dtype=object) for sign in ",|;")
         # a piece that goes on behind a space would join what CUT parts
         self.whole = any("▁" in p.lstrip("▁") for p in (self.b.id_to_piece(k) for k in range(self.b.get_piece_size())))
         self.kept: dict[str, tuple] = {}
@@ -105,31 +127,64 @@ class Tokens:
         return [f" {text}"] if self.whole else CUT.split(f" {text}")
 
     def aligned(self, pieces: list[str]) -> list[tuple]:
-        """For each piece: numbers of tokens of both, groups as written, links as pairs of ids; ``None`` where bytes differ."""
-        out: dict[str, tuple] = {p: self.kept[p] for p in pieces if p in self.kept}
-        new = [p for p in pieces if p not in out]
-        for at in range(0, len(new), ENCODE_AT_ONCE):
-            some = new[at : at + ENCODE_AT_ONCE]
-            encoded = self.a.encode_batch(some, add_special_tokens=False)
-            # the tokenizer puts the first space itself
-            for piece, a, b_ids in zip(some, encoded, self.b.encode([p[1:] for p in some], num_threads=1), strict=True):
-                out[piece] = self.one(piece.encode(), a.ids, b_ids)
-        if len(self.kept) > KEPT_PIECES:
-            self.kept.clear()
-        self.kept.update((p, out[p]) for p in new if len(p) <= KEPT_CHARS)
-        return [out[p] for p in pieces]
-
-    def one(self, body: bytes, a_ids: list[int], b_ids: list[int]) -> tuple | None:
-        a, b = [self.a_bytes.get(i, b"") for i in a_ids], [self.b_bytes[i] for i in b_ids]
-        if b"".join(a) != body or b"".join(b) != body:
-            return None
-        groups, links = align(ends_of(a), ends_of(b))
-        written = ";".join(f"{','.join(map(str, a_ids[p:q]))}|{','.join(map(str, b_ids[r:s]))}" for p, q, r, s in groups)
-        return len(a_ids), len(b_ids), len(groups), written, [a_ids[i] << LINK_BITS | b_ids[j] for i, j in links]
-
-
-def ends_of(tokens: list[bytes]) -> list[int]:
-    return np.cumsum([len(t) for t in tokens]).tolist() if tokens else []
+        """For each piece: numbers of tokens of both, groups as written, links as 64-bit pairs of ids; ``None`` where bytes differ."""
+        found = list(map(self.kept.get, pieces, repeat(0)))
+        new = [p for p, k in zip(pieces, found, strict=True) if k == 0]
+        # pieces in a row are a text of their own, as long as none of them ends in white space
+        chained = [p for p in new if not p[-1].isspace()]
+        out: dict[str, tuple | None] = {}
+        for at in range(0, len(chained), ENCODE_AT_ONCE):
+            self.encode(chained[at : at + ENCODE_AT_ONCE], out)
+        for piece in new:
+            if piece[-1].isspace():
+                self.encode([piece], out)
+        room = [p for p in new if len(p) <= KEPT_CHARS][: max(KEPT_PIECES - len(self.kept), 0)]
+        self.kept.update((p, out[p]) for p in room)
+        return [out[p] if k == 0 else k for p, k in zip(pieces, found, strict=True)]
+
+    def encode(self, pieces: list[str], out: dict[str, tuple | None]) -> None:
+        """Adds each of the pieces, taken as one text, to ``out``."""
+        text = "".join(pieces)
+        # the piece tokenizer puts the first space itself
+        a_ids, b_ids = self.a.encode(text, add_special_tokens=False).ids, self.b.encode(text[1:])
+        same = b"".join([self.a_bytes[i] for i in a_ids]) == b"".join([self.b_bytes[i] for i in b_ids]) == text.encode()
+        sizes = np.cumsum([len(p.encode()) for p in pieces])
+        if same:
+            a, b = np.array(a_ids, dtype=np.int64), np.array(b_ids, dtype=np.int64)
+            a_ends, b_ends = np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b])
+            a_at, b_at = np.searchsorted(a_ends, sizes), np.searchsorted(b_ends, sizes)
+            same = bool((a_ends[a_at] == sizes).all() and (b_ends[b_at] == sizes).all())
+        if not same:
+            # some piece does not give back its bytes: each is looked at alone
+            if len(pieces) == 1:
+                out[text] = None
+            for piece in pieces if len(pieces) > 1 else ():
+                self.encode([piece], out)
+            return
+        ends, pairs = align(a_ends, b_ends)
+        codes = a[pairs[:, 0]] << LINK_BITS | b[pairs[:, 1]]
+        # ids in the order written, each with the sign behind it: those of a in a group, then those of b
+        names = np.empty(len(a) + len(b), dtype=object)
+        group_a, group_b = np.searchsorted(ends[:, 0], np.arange(len(a)), "right"), np.searchsorted(ends[:, 1], np.arange(len(b)), "right")
+        before = np.concatenate(([0], ends[:-1, 1]))
+        place_a, place_b = np.arange(len(a)) + before[group_a], np.arange(len(b)) + ends[group_b, 0]
+        names[place_a], names[place_b] = self.names[a], self.names[b]
+        names[place_a[ends[:, 0] - 1]] = self.names_bar[a[ends[:, 0] - 1]]
+        names[place_b[ends[:, 1] - 1]] = self.names_end[b[ends[:, 1] - 1]]
+        a_at, b_at = a_at + 1, b_at + 1
+        links = 8 * np.searchsorted(pairs[:, 0], a_at)
+        bounds = np.stack((a_at, b_at, np.searchsorted(ends[:, 0], a_at) + 1, links), axis=1).tolist()
+        words, raw = names.tolist(), codes.tobytes()
+        p = q = g = n = 0
+        for piece, (p_, q_, g_, n_) in zip(pieces, bounds, strict=True):
+            out[piece] = p_ - p, q_ - q, g_ - g, "".join(words[p + q : p_ + q_])[:-1], raw[n:n_]
+            p, q, g, n = p_, q_, g_, n_
+
+
+@lru_cache(1)
+def tokens_of(byte_level: str, pieces: str) -> Tokens:
+    """The tokenizers of this worker, kept from task to task."""
+    return Tokens(byte_level, pieces)
 
 
 def byte_letters() -> dict[str, int]:
@@ -144,9 +199,8 @@ def per_text(docs: DataFrame, key: str, text: str, byte_level: str, pieces: str)
     """Counts and groups of every text, and its distinct pairs of linked ids with how often each occurs in it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = None
+        tokens = tokens_of(byte_level, pieces)
         for batch in slices(batches):
-            tokens = tokens or Tokens(byte_level, pieces)
             texts = [tokens.cut(t or "") for t in batch.column("text").to_pylist()]
             number: dict[str, int] = {}
             at = [[number.setdefault(p, len(number)) for p in t] for t in texts]
@@ -155,7 +209,7 @@ def per_text(docs: DataFrame, key: str, text: str, byte_level: str, pieces: str)
             # a text with a piece whose bytes differ has no tokens at all
             at = [[] if len(t) and lost[t].any() else t for t in at]
             owner, flat = np.repeat(np.arange(len(at)), [len(t) for t in at]), np.array([p for t in at for p in t], dtype=np.int64)
-            sizes = np.array([(k[0], k[1], k[2], len(k[4])) if k else (0, 0, 0, 0) for k in known], dtype=np.int64).reshape(-1, 4)
+            sizes = np.array([(k[0], k[1], k[2], len(k[4]) // 8) if k else (0, 0, 0, 0) for k in known], dtype=np.int64).reshape(-1, 4)
             sums = [np.bincount(owner, weights=sizes[flat, c], minlength=len(at)).astype(np.int64) for c in range(4)]
             groups = [hashlib.sha256(";".join([known[p][3] for p in t]).encode()).digest() if t else None for t in at]
             offset, links = number_of_links(known, flat, owner, sizes[:, 3], len(at))
@@ -173,7 +227,7 @@ def per_text(docs: DataFrame, key: str, text: str, byte_level: str, pieces: str)
 
 def number_of_links(known: list, flat: np.ndarray, owner: np.ndarray, sizes: np.ndarray, n: int) -> tuple[pa.Array, tuple[np.ndarray, np.ndarray]]:
     """Offsets of the texts, and their distinct pairs with how often each occurs."""
-    codes, index = np.unique(np.array([c for k in known if k for c in k[4]], dtype=np.int64), return_inverse=True)
+    codes, index = np.unique(np.frombuffer(b"".join([k[4] for k in known if k]), dtype=np.int64), return_inverse=True)
     per = sizes[flat]
     ends = np.cumsum(per)
     total = int(ends[-1]) if len(ends) else 0
