@@ -27,6 +27,8 @@ SHARE, MAX_PASSES = 1.5, 2.0
 #: Blocks of a source; the block at the cut is the most that one task ranks.
 BLOCKS = 256
 SHARDS = 16
+#: Parts that a shard may be written in; each is shuffled as a whole.
+SHARD_PARTS = 1024
 SEED = 7
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -165,6 +167,8 @@ def deal(rows: DataFrame, taken: DataFrame, shards: int, seed: int) -> DataFrame
     )
     plan = taken.join(table, "source_key").drop("words", "source_size", "target").withColumnRenamed("source_key", "__source").withColumnRenamed("block", "__block")
     names = [F.col(f"`{c}`") for c in rows.columns]
+    # shards are split further, so that one is as many tasks as the session's shuffles have
+    parts = max(shards, int(spark.conf.get("spark.sql.shuffle.partitions")))
     picked = rows.join(plan, ["__source", "__block"])
     times = F.col("passes") + F.when(F.col("__rank") <= F.col("cut"), 1).otherwise(0)
     drawn = picked.withColumn("__times", times).filter("__times > 0").withColumn("__pass", F.explode(F.sequence(F.lit(0), F.col("__times") - 1)))
@@ -172,7 +176,7 @@ def deal(rows: DataFrame, taken: DataFrame, shards: int, seed: int) -> DataFrame
     number = F.col("__pass") * F.col("n_blocks") + F.col("at")
     shard = F.size(F.filter("bounds", lambda b: b <= number))
     order = F.xxhash64(F.lit(seed + 3), "__rank", "__pass")
-    return drawn.select(*names, shard.alias("__shard"), order.alias("__order")).repartition(shards, "__shard", F.pmod("__order", F.lit(64))).sortWithinPartitions("__shard", "__order")
+    return drawn.select(*names, shard.alias("__shard"), order.alias("__order")).repartition(parts, "__shard", F.pmod("__order", F.lit(SHARD_PARTS))).sortWithinPartitions("__shard", "__order")
 
 
 def quotas_taken(docs: DataFrame, shards: int = SHARDS, seed: int = SEED, **settings) -> DataFrame:
@@ -192,7 +196,15 @@ def quotas_taken(docs: DataFrame, shards: int = SHARDS, seed: int = SEED, **sett
 
 
 def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", shards: int = SHARDS, seed: int = SEED, **settings) -> DataFrame:
-    """The rows of ``docs`` as often as the mix takes them, with their own columns, dealt to shards and shuffled in them."""
+    """The rows of ``docs`` as often as the mix takes them, with their own columns, dealt to shards and shuffled in them.
+
+    Null sources come last and are a source; a null text has size 0. Rows alike in key and text, null keys
+    too, have one place in the order and go together. Ties of the order stand for such rows only. Columns
+    may have any names; an empty table gives no rows.
+    """
     _, taken, _ = decide(docs, key, source, text, seed=seed, **settings)
-    rows = sized_rows(docs, key, source, text, seed, settings.get("blocks", BLOCKS))
-    return deal(rows, taken, shards, seed).select(*[f"`{c}`" for c in docs.columns])
+    nested = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__doc"), F.col(key).alias("__key"), F.col(source).alias("__name"), F.col(text).cast("string").alias("__text")
+    )
+    rows = sized_rows(nested, "__key", "__name", "__text", seed, settings.get("blocks", BLOCKS)).drop("__key", "__name", "__text")
+    return deal(rows, taken, shards, seed).select("__doc.*")
