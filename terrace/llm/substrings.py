@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from terrace.llm.arrays import slices, words
 from terrace.llm.suffixes import sliding_min
-from terrace.session import scratch_path, write_table
+from terrace.session import discard, scratch_path, write_table
 
 LEAST, SEED_WORDS, HASH_SEED = 13, 5, 42
 #: Words whose anchors are sought at once.
@@ -83,9 +83,10 @@ def lists(values: np.ndarray, owner: np.ndarray, n: int) -> pa.ListArray:
 
 
 def anchored(docs: DataFrame, key: str, text: str, least: int) -> DataFrame:
-    """``key``, ``sha`` of the words joined by one space, ``n_words`` and the distinct anchors of every document."""
+    """``key``, ``sha`` and compressed bytes of the words joined by one space, ``n_words`` and the distinct anchors of every document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=1).compress
         for batch in slices(batches):
             texts = batch.column("text")
             flat, counts = words(texts)
@@ -98,30 +99,16 @@ def anchored(docs: DataFrame, key: str, text: str, least: int) -> DataFrame:
                 [
                     batch.column("key"),
                     pa.array([hashlib.sha256(t).digest() for t in joined], pa.binary()),
+                    pa.array([pack(t) if n >= least else None for t, n in zip(joined, counts.tolist(), strict=True)], pa.binary()),
                     pa.array(counts.astype(np.int64)),
                     lists(hashes[new].view(np.int64), owner[new], len(texts)),
                 ],
-                ["key", "sha", "n_words", "anchors"],
+                ["key", "sha", "packed", "n_words", "anchors"],
             )
 
     kind = docs.schema[key].dataType.simpleString()
     rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
-    return rows.mapInArrow(run, f"key {kind}, sha binary, n_words long, anchors array<long>")
-
-
-def packed(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """``key``, ``sha`` and the words, joined and compressed, of every document with a key."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pack = zstandard.ZstdCompressor(level=1).compress
-        for batch in slices(batches):
-            joined = [b" ".join(t.encode().split()) for t in batch.column("text").to_pylist()]
-            shas = pa.array([hashlib.sha256(t).digest() for t in joined], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column("key"), shas, pa.array([pack(t) for t in joined], pa.binary())], ["key", "sha", "packed"])
-
-    kind = docs.schema[key].dataType.simpleString()
-    rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text")).filter("key IS NOT NULL AND text IS NOT NULL")
-    return rows.mapInArrow(run, f"key {kind}, sha binary, packed binary")
+    return rows.mapInArrow(run, f"key {kind}, sha binary, packed binary, n_words long, anchors array<long>")
 
 
 def seeded(texts: DataFrame, least: int) -> DataFrame:
@@ -161,18 +148,27 @@ def seeded(texts: DataFrame, least: int) -> DataFrame:
     return texts.select("tid", "key", "packed", "seeds").mapInArrow(run, f"tid long, key {kind}, seed long, start int, around long, windows array<long>")
 
 
-def repeats(seen: DataFrame, least: int) -> DataFrame:
+def classes(seen: DataFrame) -> DataFrame:
+    """``seed``, ``around``, ``first`` (the smallest key) and ``ways`` (classes of the seed)."""
+    named = seen.groupBy("seed", "around").agg(F.min("key").alias("first"))
+    return named.join(named.groupBy("seed").agg(F.count(F.lit(1)).alias("ways")), "seed")
+
+
+def extended(seen: DataFrame, told: DataFrame) -> DataFrame:
+    """The occurrences of seeds that a smaller key covers as a whole (``windows`` is null), and those that speak for
+    their class where a seed has several."""
+    met = seen.join(told.hint("shuffle_hash"), ["seed", "around"])
+    later = F.col("key") > F.col("first")
+    rest = F.when(~later, F.col("windows")).alias("windows")
+    return met.filter(later | (F.col("ways") > 1)).select("tid", "key", "seed", "start", F.size("windows").alias("n"), rest)
+
+
+def repeats(met: DataFrame, least: int) -> DataFrame:
     """(``tid``, ``start``, ``end``) stretches of words that also start in a text of a smaller key; they may overlap."""
-    classes = seen.groupBy("seed", "around").agg(F.min("key").alias("first"))
-    several = classes.groupBy("seed").agg(F.count(F.lit(1)).alias("ways"))
-    classes = classes.join(several, "seed")
-    met = seen.join(classes, ["seed", "around"])
-    whole = met.filter(F.col("key") > F.col("first")).select("tid", "start", (F.col("start") + F.size("windows") + least - 1).alias("end"))
-    # the smallest text of each class speaks for it
-    rest = met.filter((F.col("key") == F.col("first")) & (F.col("ways") > 1))
-    single = rest.select("tid", "key", "seed", "start", F.posexplode("windows").alias("step", "window"))
-    earliest = single.groupBy("seed", "window").agg(F.min("key").alias("first"), F.max("key").alias("last")).filter("first < last")
-    later = single.join(earliest, ["seed", "window"]).filter(F.col("key") > F.col("first"))
+    whole = met.filter(F.col("windows").isNull()).select("tid", "start", (F.col("start") + F.col("n") + least - 1).alias("end"))
+    single = met.filter(F.col("windows").isNotNull()).select("tid", "key", "seed", "start", F.posexplode("windows").alias("step", "window"))
+    earliest = single.groupBy("seed", "window").agg(F.min("key").alias("first"), F.max("key").alias("last")).filter("first < last").drop("last")
+    later = single.join(earliest.hint("shuffle_hash"), ["seed", "window"]).filter(F.col("key") > F.col("first"))
     return whole.unionByName(later.select("tid", (F.col("start") + F.col("step")).alias("start"), (F.col("start") + F.col("step") + least).alias("end")))
 
 
@@ -218,21 +214,31 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", lea
     if not SEED_WORDS < least <= len(WINDOW_STEPS):
         raise ValueError(f"least must be above {SEED_WORDS}, and {len(WINDOW_STEPS)} at most")
     spark = docs.sparkSession
-    paths = {name: scratch_path(spark, f"substring-{name}") for name in ("anchors", "distinct", "texts", "seen")}
-    rows = write_table(anchored(docs, key, text, least), paths["anchors"])
-    once = rows.filter((F.col("n_words") >= least) & F.col("key").isNotNull()).groupBy("sha")
-    first = once.agg(F.min("key").alias("key"), F.first("anchors").alias("anchors"), F.count(F.lit(1)).alias("copies"))
-    distinct = write_table(first.withColumn("tid", F.monotonically_increasing_id()), paths["distinct"])
-    seeds = distinct.select("tid", "key", F.explode("anchors").alias("seed"))
-    shared = seeds.groupBy("seed").agg(F.min("key").alias("low"), F.max("key").alias("high")).filter("low < high").select("seed")
-    hits = seeds.select("tid", "seed").join(shared, "seed").groupBy("tid").agg(F.collect_list("seed").alias("seeds"))
-    wanted = distinct.select("tid", "sha", "key").join(hits, "tid")
-    # repeated rows meet here; each task has sent one of them
-    bodies = packed(docs, key, text).groupBy("sha", "key").agg(F.first("packed").alias("packed"))
-    texts = write_table(wanted.join(bodies, ["sha", "key"]).select("tid", "key", "sha", "packed", "seeds"), paths["texts"])
+    paths = {name: scratch_path(spark, f"substring-{name}") for name in ("read", "rows", "distinct", "shared", "hits", "texts", "seen", "classes", "met", "spans")}
+    read = write_table(anchored(docs, key, text, least).withColumn("tid", F.monotonically_increasing_id()), paths["read"])
+    rows = write_table(read.select("key", "sha", "n_words"), paths["rows"])
+    once = read.filter((F.col("n_words") >= least) & F.col("key").isNotNull()).groupBy("sha")
+    one = once.agg(F.min(F.struct("key", "tid")).alias("one"), F.count(F.lit(1)).alias("copies"))
+    distinct = write_table(one.select("sha", F.col("one.key").alias("first"), "one.tid", "copies"), paths["distinct"])
+    seeds = read.join(distinct.select("tid"), "tid", "left_semi").select("tid", F.explode("anchors").alias("seed"))
+    # a text names each of its anchors once
+    shared = seeds.groupBy("seed").agg(F.count(F.lit(1)).alias("texts")).filter("texts > 1").select("seed")
+    shared = write_table(shared, paths["shared"])
+    hits = seeds.join(shared.hint("shuffle_hash"), "seed").groupBy("tid").agg(F.collect_list("seed").alias("seeds"))
+    hits = write_table(hits, paths["hits"])
+    texts = write_table(read.select("tid", "key", "sha", "packed").join(hits, "tid"), paths["texts"])
+    discard(spark, paths["read"])
+    for name in ("shared", "hits"):
+        discard(spark, paths[name])
     seen = write_table(seeded(texts, least), paths["seen"])
-    cuts = cut_texts(texts, repeats(seen, least)).withColumn("kept_sha", F.unhex(F.sha2("kept", 256)))
-    named = distinct.select("sha", F.col("key").alias("__first"), "copies").join(cuts, "sha", "left").filter("copies > 1 OR n_removed > 0")
+    told = write_table(classes(seen), paths["classes"])
+    met = write_table(extended(seen, told), paths["met"])
+    for name in ("seen", "classes"):
+        discard(spark, paths[name])
+    spans = write_table(repeats(met, least), paths["spans"])
+    discard(spark, paths["met"])
+    cuts = cut_texts(texts, spans).withColumn("kept_sha", F.unhex(F.sha2("kept", 256)))
+    named = distinct.select("sha", F.col("first").alias("__first"), "copies").join(cuts, "sha", "left").filter("copies > 1 OR n_removed > 0")
     out = rows.select("key", "sha", "n_words").join(named, "sha", "left")
     copy = F.coalesce(F.col("key") > F.col("__first"), F.lit(False))
     cut = F.col("n_removed").isNotNull() & F.col("key").isNotNull()
