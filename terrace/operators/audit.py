@@ -242,16 +242,43 @@ def anomalies(daily: DataFrame, time: str, value: str, keys: list[str], n: int)
 
 
 def fill_gaps(df: DataFrame, time: str, keys: list[str], start: Column | None = None, end: Column | None = None) -> DataFrame:
-    """(keys, day, n) with zero rows for silent days between ``start`` and ``end`` (default: the log's)."""
+    """(keys, day, n) with zero rows for silent days between ``start`` and ``end`` (default: the log's).
+
+    There is a row for each key and day, so this is for few keys: :func:`silent_ranges` has one for each gap.
+    """
     counted = df.groupBy(*keys, day_of(time).alias("day")).agg(F.count(F.lit(1)).alias("n"))
-    low = counted.agg(F.min("day")).scalar() if start is None else start
-    high = counted.agg(F.max("day")).scalar() if end is None else end
+    ends = counted.agg(F.struct(F.min("day").alias("low"), F.max("day").alias("high"))).scalar()
+    low = ends["low"] if start is None else start
+    high = ends["high"] if end is None else end
     days = F.sequence(low.cast("date"), high.cast("date"))
     calendar = counted.select(*keys).distinct().select(*keys, F.explode(days).alias("day"))
     calendar = calendar.withColumn("day", F.col("day").cast("timestamp_ntz"))
     return null_safe_join(calendar, counted, [*keys, "day"], "left").na.fill(0, ["n"])
 
 
+def silent_ranges(df: DataFrame, time: str, keys: list[str], start: Column | None = None, end: Column | None = None) -> DataFrame:
+    """(keys, first_day, last_day, days): the runs of days without a row between ``start`` and ``end`` (default: the log's).
+
+    A key has a run at most for each day that it has rows, and one ahead, so the result grows with the log
+    and not with keys times days. NULL keys are a key; rows without a time count for no day.
+    """
+    present = df.filter(F.col(time).isNotNull()).select(*keys, day_of(time).cast("date").alias("__day")).distinct()
+    ends = present.agg(F.struct(F.min("__day").alias("low"), F.max("__day").alias("high"))).scalar()
+    low = ends["low"] if start is None else start.cast("date")
+    high = ends["high"] if end is None else end.cast("date")
+    dated = present.select(*keys, "__day", low.alias("__low"), high.alias("__high"))
+    inside = dated.filter(F.col("__day").between(F.col("__low"), F.col("__high")))
+    w = Window.partitionBy(*keys).orderBy("__day")
+    around = inside.withColumns({"__next": F.coalesce(F.lead("__day").over(w), F.date_add("__high", 1)), "__at": F.row_number().over(w)})
+    ahead = F.when(F.col("__at") == 1, F.struct(F.col("__low").alias("first_day"), F.date_sub("__day", 1).alias("last_day")))
+    behind = F.struct(F.date_add("__day", 1).alias("first_day"), F.date_sub("__next", 1).alias("last_day"))
+    runs = around.select(*keys, F.explode(F.array_compact(F.array(ahead, behind))).alias("run")).select(*keys, "run.*")
+    # a key whose days all lie outside is silent throughout
+    outside = dated.select(*keys, F.col("__low").alias("first_day"), F.col("__high").alias("last_day")).distinct()
+    outside = null_safe_join(outside, inside.select(*keys).distinct(), keys, "left_anti")
+    return runs.unionByName(outside).filter("first_day <= last_day").withColumn("days", F.datediff("last_day", "first_day") + 1)
+
+
 def freshness(df: DataFrame, keys: list[str], time: str, now: Column) -> DataFrame:
     """(keys, last_seen, silent_seconds)."""
     last = df.groupBy(*keys).agg(F.max(time).alias("last_seen"))

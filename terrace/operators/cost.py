@@ -44,6 +44,12 @@ def price_usage(usage: DataFrame, prices: DataFrame, keys: list[str], time: str,
     )
 
 
+def unpriced_usage(priced: DataFrame, keys: list[str], quantity: str) -> DataFrame:
+    """(keys, n_unpriced, unpriced_quantity): usage that no price covers, which sums of cost pass over."""
+    missing = priced.filter(F.col("cost_cents").isNull())
+    return missing.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_unpriced"), F.sum(quantity).alias("unpriced_quantity"))
+
+
 def attribute_cost(costs: DataFrame, tag_rules: DataFrame, workspace_owner: DataFrame, tag: str = "tag", workspace: str = "workspace") -> DataFrame:
     """Add ``owner`` and ``owner_by``: by tag, else by workspace, else unallocated.
 
@@ -71,7 +77,7 @@ def allocate_shared(pools: DataFrame, drivers: DataFrame, slots: int = 1024, hot
     the largest remainders; equal remainders are settled by the md5 of the id. Equal weights are
     used where all weights of a pool are zero; negative pools split like positive ones. A NULL weight
     counts as zero. A pool without drivers stays whole, in a row of its own with NULL for the driver,
-    so that the parts of every pool add up to it.
+    so that the parts of every pool add up to it. A pool of NULL cents gives each of its drivers NULL.
 
     A pool may hold very many drivers, so they are never ranked in one task: remainders are
     counted in ``slots`` per pool, slots above the cut get a cent wholesale, and only the one
@@ -80,6 +86,8 @@ def allocate_shared(pools: DataFrame, drivers: DataFrame, slots: int = 1024, hot
     lone = pools.join(drivers.select("pool").distinct(), "pool", "left_anti")
     lone = lone.select(*[F.col(c) if c == "pool" else F.lit(None).cast(drivers.schema[c].dataType).alias(c) for c in drivers.columns], "cents")
     given = drivers.columns
+    unknown = drivers.join(pools.filter(F.col("cents").isNull()), "pool").select(*given, "cents")
+    pools = pools.filter(F.col("cents").isNotNull())
     drivers = drivers.withColumn("__weight", F.coalesce("weight", F.lit(0)))
     weights = drivers.groupBy("pool").agg(F.sum("__weight").alias("__w"), F.count(F.lit(1)).alias("__n"))
     pool = pools.join(weights, "pool").select(
@@ -111,7 +119,7 @@ def allocate_shared(pools: DataFrame, drivers: DataFrame, slots: int = 1024, hot
     ranked = running_total(partly, ["__down", "__tie", "id"], F.lit(1).cast("bigint"), "__rank")
     ranked = ranked.withColumn("__extra", (F.col("__rank") <= F.col("__quota")).cast("bigint"))
     final = [*given, (F.col("__sign") * (F.col("__share") + F.col("__extra"))).alias("cents")]
-    return whole.select(*final).unionByName(ranked.select(*final)).unionByName(lone)
+    return whole.select(*final).unionByName(ranked.select(*final)).unionByName(lone).unionByName(unknown)
 
 
 def cost_rollup(costs: DataFrame, levels: list[str], cents: str = "cost_cents") -> DataFrame:

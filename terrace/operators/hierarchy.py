@@ -52,20 +52,36 @@ def route_by_workspace(df: DataFrame, on: str, mapping: DataFrame, path: str, un
 def resolve_bindings(workspaces: DataFrame, catalogs: DataFrame, bindings: DataFrame) -> DataFrame:
     """(workspace, catalog) pairs in force: explicit bindings, and open catalogs for every workspace.
 
-    ``catalogs`` has (catalog, is_open); an open catalog is visible everywhere.
+    ``catalogs`` has (catalog, is_open); an open catalog is visible everywhere. The list has a row for
+    each workspace and open catalog: to check accesses take :func:`binding_violations`, which writes none.
     """
+    bound, open_ = binding_rules(workspaces, catalogs, bindings)
+    # all rows of both sides meet under one key, which AQE may split
+    everywhere = workspaces.select("workspace", F.lit(True).alias("__all")).join(open_.withColumn("__all", F.lit(True)), "__all")
+    return bound.unionByName(everywhere.select("workspace", "catalog")).distinct()
+
+
+def binding_rules(workspaces: DataFrame, catalogs: DataFrame, bindings: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Bound (workspace, catalog) pairs of known names, and the open catalogs."""
     bound = bindings.select("workspace", "catalog").distinct()
     bound = bound.join(workspaces.select("workspace"), "workspace", "left_semi")
-    bound = bound.join(catalogs.select("catalog"), "catalog", "left_semi")
-    names = catalogs.filter("is_open").agg(F.array_sort(F.collect_set("catalog"))).scalar()
-    everywhere = workspaces.select("workspace", F.explode(names).alias("catalog"))
-    return bound.select("workspace", "catalog").unionByName(everywhere).distinct()
+    bound = bound.join(catalogs.select("catalog"), "catalog", "left_semi").select("workspace", "catalog")
+    return bound, catalogs.filter("is_open").select("catalog").distinct()
 
 
-def binding_violations(visible: DataFrame, access_log: DataFrame) -> DataFrame:
-    """(workspace, catalog, n_accesses) for accesses outside ``visible``; the log is reduced first."""
+def binding_violations(workspaces: DataFrame, catalogs: DataFrame, bindings: DataFrame, access_log: DataFrame) -> DataFrame:
+    """(workspace, catalog, n_accesses) for accesses by neither a binding nor an open catalog.
+
+    The log is reduced first; what is left meets the bound pairs and, for known workspaces, the open
+    catalogs, so pairs that nobody used are never written. Accesses without a name are violations.
+    """
+    bound, open_ = binding_rules(workspaces, catalogs, bindings)
     seen = access_log.groupBy("workspace", "catalog").agg(F.count(F.lit(1)).alias("n_accesses"))
-    return seen.join(visible, ["workspace", "catalog"], "left_anti")
+    unbound = seen.join(bound, ["workspace", "catalog"], "left_anti")
+    known = workspaces.select("workspace").distinct().withColumn("__known", F.lit(True))
+    free = open_.withColumn("__open", F.lit(True))
+    flagged = unbound.join(known, "workspace", "left").join(free, "catalog", "left")
+    return flagged.filter(F.col("__known").isNull() | F.col("__open").isNull()).select("workspace", "catalog", "n_accesses")
 
 
 def catalog_report(securables: DataFrame, access_log: DataFrame, as_of: Column, stale_days: int, exact: bool = False) -> DataFrame:

@@ -6,7 +6,9 @@ from math import ceil
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from terrace.functions.times import micros
 from terrace.sources.foreign import source_digest
 from terrace.sources.tables import folder_bytes
 
@@ -63,6 +65,37 @@ def _with_rank(df: DataFrame, value: Column, cuts: list[float], bits: int, name:
     return df
 
 
+def order_key(value: Column, kind: T.DataType) -> Column:
+    """A number that grows with the value: days of dates, microseconds of times, the first six bytes of texts.
+
+    Two values may share a number, never swap: a bound on the number is a bound on the value.
+    """
+    if isinstance(kind, T.DateType):
+        return F.unix_date(value).cast("double")
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return micros(value).cast("double")
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        head = F.substring(value.cast("binary"), 1, 6)
+        return F.conv(F.rpad(F.hex(head), 12, "0"), 16, 10).cast("double")
+    return value.cast("double")
+
+
+def _hilbert(df: DataFrame, names: list[str], bits: int, out: str) -> DataFrame:
+    """Add the place on a Hilbert curve of two ranks below ``2**bits``; each turn is a projection of its own."""
+    last = 2**bits - 1
+    x, y = (f"{out}_{n}" for n in "xy")
+    df = df.withColumns({x: F.col(names[0]).cast("bigint"), y: F.col(names[1]).cast("bigint"), out: F.lit(0).cast("bigint")})
+    for bit in reversed(range(bits)):
+        right, up = (F.shiftright(F.col(c), bit).bitwiseAND(F.lit(1)) for c in (x, y))
+        df = df.withColumns({f"{out}_r": right, f"{out}_u": up})
+        right, up = F.col(f"{out}_r"), F.col(f"{out}_u")
+        df = df.withColumn(out, F.col(out) + (right * 3).bitwiseXOR(up) * 4**bit)
+        # the lower half is turned: mirrored on the right, and its axes swapped
+        mirrored = [F.when(right == 1, last - F.col(c)).otherwise(F.col(c)) for c in (x, y)]
+        df = df.withColumns({x: F.when(up == 0, mirrored[1]).otherwise(F.col(x)), y: F.when(up == 0, mirrored[0]).otherwise(F.col(y))})
+    return df
+
+
 def _interleave(ranks: list[Column], bits: int) -> Column:
     key = F.lit(0).cast("bigint")
     for bit in range(bits):
@@ -76,20 +109,27 @@ def cluster_layout(df: DataFrame, cols: list[str], method: str = "range", files:
     """Order rows so that files cover narrow value ranges.
 
     ``range`` sorts by the columns in turn; ``zorder`` interleaves the bits of each column's
-    quantile rank, so that a filter on any of them skips files. Quantile cuts (at most
-    ``2**bits`` numbers per column) are the only values that reach the driver.
+    quantile rank, so that a filter on any of them skips files. ``hilbert`` walks the ranks of two
+    columns so that neighbours on the way are neighbours in both, which leaves fewer files for a range
+    on both. Numbers, dates, times and texts may be clustered. Quantile cuts (at most ``2**bits``
+    numbers per column) are the only values that reach the driver.
     """
     if method == "range":
         by: list[Column] = [F.col(c) for c in cols]
-    elif method == "zorder":
+    elif method in ("zorder", "hilbert"):
         if bits * len(cols) > 62:
             raise ValueError("bits * columns must stay below 63")
+        if method == "hilbert" and len(cols) != 2:
+            raise ValueError("a Hilbert order is of two columns")
         steps = [i / 2**bits for i in range(1, 2**bits)]
-        numbers = [F.col(c).cast("double") for c in cols]
+        numbers = [order_key(F.col(c), df.schema[c].dataType) for c in cols]
         found = df.agg(*[F.percentile_approx(n, steps, 4 * 2**bits).alias(f"q{i}") for i, n in enumerate(numbers)]).first()
         for i, (n, cuts) in enumerate(zip(numbers, found)):
             df = _with_rank(df, n, cuts or [0.0] * len(steps), bits, f"__z{i}")
-        df = df.withColumn("__z", _interleave([F.col(f"__z{i}") for i in range(len(cols))], bits))
+        if method == "zorder":
+            df = df.withColumn("__z", _interleave([F.col(f"__z{i}") for i in range(len(cols))], bits))
+        else:
+            df = _hilbert(df, ["__z0", "__z1"], bits, "__z")
         by = [F.col("__z")]
     else:
         raise ValueError(f"unknown method {method!r}")
@@ -99,8 +139,11 @@ def cluster_layout(df: DataFrame, cols: list[str], method: str = "range", files:
 
 
 def file_stats(df: DataFrame, cols: list[str]) -> DataFrame:
-    """(file, column, n_rows, n_null, low, high) of a file-backed table; low and high are doubles, file is its path."""
-    numbers = [F.col(c).cast("double") for c in cols]
+    """(file, column, n_rows, n_null, low, high) of a file-backed table; file is its path.
+
+    low and high are doubles: of dates, times and texts the numbers that :func:`order_key` gives them.
+    """
+    numbers = [order_key(F.col(c), df.schema[c].dataType) for c in cols]
     wide = df.select(F.col("_metadata.file_path").alias("file"), *[n.alias(c) for n, c in zip(numbers, cols)])
     wide = wide.groupBy("file").agg(
         F.count(F.lit(1)).alias("n_rows"),
@@ -118,11 +161,47 @@ def file_stats(df: DataFrame, cols: list[str]) -> DataFrame:
     return long.select("file", "s.column", "n_rows", "s.n_null", "s.low", "s.high")
 
 
-def prunable_files(stats: DataFrame, column: str, lower: float, upper: float) -> DataFrame:
-    """Files that cannot hold a row with ``lower <= column <= upper``."""
+def prunable_files(stats: DataFrame, column: str, lower, upper, kind: T.DataType | None = None) -> DataFrame:
+    """Files that cannot hold a row with ``lower <= column <= upper``.
+
+    The bounds are of the column's own ``kind`` (default: numbers); what is known of texts are their
+    first bytes, so a file is left out only if these alone rule it out.
+    """
+    low, high = (order_key(F.lit(v) if kind is None else F.lit(v).cast(kind), kind or T.DoubleType()) for v in (lower, upper))
     s = stats.filter(F.col("column") == column)
     empty = F.col("low").isNull()
-    return s.filter(empty | (F.col("high") < F.lit(lower)) | (F.col("low") > F.lit(upper))).select("file")
+    return s.filter(empty | (F.col("high") < low) | (F.col("low") > high)).select("file")
+
+
+def _bloom_bits(value: Column, bits: int, probes: int) -> Column:
+    """The places of a value in a bit set; they depend on the value's text only."""
+    text = value.cast("string")
+    return F.array(*[F.pmod(F.xxhash64(text, F.lit(k)), F.lit(bits)) for k in range(probes)])
+
+
+def file_filters(df: DataFrame, column: str, bits: int = 1 << 16, probes: int = 4) -> DataFrame:
+    """(file, word, bits): a Bloom bit set of ``column`` for each file, ``bits / 64`` rows a file at most.
+
+    Bits are set by hash and joined by OR in the tasks before anything is moved. ``bits`` should be
+    about ten times the distinct values of a file; NULL is not entered.
+    """
+    places = df.filter(F.col(column).isNotNull()).select(
+        F.col("_metadata.file_path").alias("file"), F.explode(_bloom_bits(F.col(column), bits, probes)).alias("place")
+    )
+    one = F.expr("shiftleft(1L, cast(place & 63 as int))")
+    return places.groupBy("file", F.shiftright("place", 6).alias("word")).agg(F.bit_or(one).alias("bits"))
+
+
+def files_without(filters: DataFrame, files: DataFrame, value: Column, bits: int = 1 << 16, probes: int = 4) -> DataFrame:
+    """The ``files`` (file) that hold no row equal to ``value``; a file that holds one is never among them.
+
+    ``value`` has the column's type, ``bits`` and ``probes`` are those of the filters.
+    """
+    asked = files.select("file").distinct().select("file", F.explode(F.array_distinct(_bloom_bits(value, bits, probes))).alias("place"))
+    asked = asked.withColumn("word", F.shiftright("place", 6))
+    met = asked.join(filters, ["file", "word"], "left")
+    is_set = F.coalesce(F.expr("(shiftright(bits, cast(place & 63 as int)) & 1) = 1"), F.lit(False))
+    return met.groupBy("file").agg(F.bool_and(is_set).alias("maybe")).filter(~F.col("maybe")).select("file")
 
 
 def bucket_table(df: DataFrame, name: str, keys: list[str], n: int, path: str | None = None) -> None:

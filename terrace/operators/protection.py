@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from terrace.functions.patterns import ALWAYS_THERE, SENSITIVE
 
 
-def _keyed(df: DataFrame, tenant: str, keyring: DataFrame, version: Column, prefix: str) -> DataFrame:
-    """Add ``__<prefix>_key`` for (tenant, version); a missing key stops the job when it is used."""
+def _keyed(df: DataFrame, tenant: str, keyring: DataFrame, version: Column, prefix: str, needed: Column | None = None) -> DataFrame:
+    """Add ``__<prefix>_key`` for (tenant, version); a missing key stops the job when it is used, where it is ``needed``."""
     ring = keyring.select(
         F.col("tenant").alias(f"__{prefix}_t"), F.col("key_version").alias(f"__{prefix}_v"),
         F.col("key").alias(f"__{prefix}_key"),
@@ -18,7 +18,7 @@ def _keyed(df: DataFrame, tenant: str, keyring: DataFrame, version: Column, pref
     joined = df.join(ring, on, "left").drop(f"__{prefix}_t", f"__{prefix}_v")
     missing = F.concat(F.lit("no key for version "), F.coalesce(version.cast("string"), F.lit("NULL")))
     key = F.coalesce(F.col(f"__{prefix}_key"), F.raise_error(missing).cast("binary"))
-    return joined.withColumn(f"__{prefix}_key", key)
+    return joined.withColumn(f"__{prefix}_key", key if needed is None else F.when(needed, key))
 
 
 def _seal(value: Column, key: Column) -> Column:
@@ -54,17 +54,15 @@ def decrypt_columns(df: DataFrame, cols: dict[str, str], keyring: DataFrame, ten
 
 def rotate_keys(df: DataFrame, cols: list[str], keyring: DataFrame, tenant: str, new_version: int) -> DataFrame:
     """Re-encrypt rows below ``new_version``; newer rows keep their bytes."""
-    stale = df.filter(F.col("key_version") < new_version)
-    current = df.filter(F.coalesce(F.col("key_version") >= new_version, F.lit(True)))
-    keyed = _keyed(_keyed(stale, tenant, keyring, F.col("key_version"), "old"), tenant, keyring, F.lit(new_version), "new")
-    moved = keyed.select(
-        *[
-            _seal(_open(F.col(c), F.col("__old_key")), F.col("__new_key")).alias(c) if c in cols
-            else F.lit(new_version).alias(c) if c == "key_version" else F.col(c)
-            for c in df.columns
-        ]
-    )
-    return current.unionByName(moved)
+    stale = F.coalesce(F.col("key_version") < new_version, F.lit(False))
+    keyed = _keyed(df, tenant, keyring, F.col("key_version"), "old", stale)
+    keyed = _keyed(keyed, tenant, keyring, F.lit(new_version), "new", stale)
+    out = [
+        F.when(stale, _seal(_open(F.col(c), F.col("__old_key")), F.col("__new_key"))).otherwise(F.col(c)).alias(c) if c in cols
+        else F.when(stale, F.lit(new_version)).otherwise(F.col(c)).cast(df.schema[c].dataType).alias(c) if c == "key_version" else F.col(c)
+        for c in df.columns
+    ]
+    return keyed.select(*out)
 
 
 def pseudonymise(df: DataFrame, cols: list[str], salt: str) -> DataFrame:

@@ -62,6 +62,29 @@ def transitive_closure(edges: DataFrame, child: str, parent: str, with_path: boo
         reach *= 2
 
 
+def reach_from(starts: DataFrame, edges: DataFrame, child: str, parent: str) -> DataFrame:
+    """All ``(start, ancestor)`` pairs of the given ``start`` values only, each start its own ancestor.
+
+    Each round follows the edges of the nodes reached last, so the rest of a large graph is never closed;
+    there is a round for each level above the starts. NULL starts and edges with a NULL end lead nowhere;
+    cycles end.
+    """
+    spark = starts.sparkSession
+    links = edges.select(F.col(child).alias("__child"), F.col(parent).alias("__parent")).filter(F.col("__parent").isNotNull())
+    frontier = starts.select("start").filter(F.col("start").isNotNull()).distinct()
+    frontier = frontier.withColumn("ancestor", F.col("start"))
+    schema, rounds = frontier.schema, []
+    while True:
+        path = scratch_path(spark, "reach")
+        frontier = write_table(frontier, path)
+        rounds.append(path)
+        known = spark.read.schema(schema).parquet(*rounds)
+        if frontier.isEmpty():
+            return known
+        step = frontier.join(links, F.col("ancestor") == F.col("__child")).select("start", F.col("__parent").alias("ancestor")).distinct()
+        frontier = step.join(known, ["start", "ancestor"], "left_anti")
+
+
 def components(links: DataFrame, item: str, key: str) -> DataFrame:
     """Smallest item id of the connected component of each item, for a long ``(item, key)`` table.
 

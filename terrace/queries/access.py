@@ -12,6 +12,7 @@ from terrace.operators import access, gold, protection
 from terrace.queries.inputs import ACCESS_LOG_SQL, MEMBERSHIPS_SQL, access_log, memberships
 from terrace.queries.ingest import order_revenue
 from terrace.queries.registry import query
+from terrace.session import write_through
 from terrace.sources.tables import table
 
 
@@ -189,6 +190,21 @@ def effective_privileges(spark: SparkSession, sf: str) -> DataFrame:
     return access.effective_privileges(_grants(spark, sf), memberships(spark, sf), _securables(spark, sf))
 
 
+@query(f"""
+WITH a AS (SELECT DISTINCT 'u' || o_custkey AS principal, 'SELECT' AS privilege, p_brand || '/' || p_type AS object_id
+           FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey),
+p AS ({PRIVILEGES_SQL})
+SELECT a.*, (a.principal, a.privilege, a.object_id) IN (SELECT (p.principal, p.privilege, p.object_id) FROM p) AS allowed FROM a
+""")
+def check_access(spark: SparkSession, sf: str) -> DataFrame:
+    """Every purchase of a part taken for a read of its kind by the customer."""
+    parts = table(spark, sf, "part").select("p_partkey", F.concat_ws("/", "p_brand", "p_type").alias("object_id"))
+    bought = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey").join(parts, F.col("l_partkey") == F.col("p_partkey"))
+    log = bought.join(table(spark, sf, "orders").select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
+    asked = log.select(F.concat(F.lit("u"), "o_custkey").alias("principal"), F.lit("SELECT").alias("privilege"), "object_id")
+    return access.check_access(asked, access.Privileges(_grants(spark, sf), memberships(spark, sf), _securables(spark, sf)))
+
+
 def secured_customers(spark: SparkSession, sf: str) -> DataFrame:
     """Customers as the analysts of ASIA may see them."""
     me, object_id = "analyst ASIA", "customer"
@@ -197,7 +213,7 @@ def secured_customers(spark: SparkSession, sf: str) -> DataFrame:
     grants = regions.select(F.lit("analysts").alias("principal"), F.lit("SELECT").alias("privilege"), F.lit("sales").alias("object_id"))
     groups = regions.select(F.col("principal").alias("member"), F.lit("analysts").alias("group"))
     tree = regions.select(F.lit(object_id).alias("object_id"), F.lit("sales").alias("parent_id")).distinct()
-    privileges = access.effective_privileges(grants, groups, tree)
+    privileges = access.Privileges(grants, groups, tree)
     spark_rows = [("customer", "c_acctbal", "money"), ("customer", "c_name", "person")]
     tags = spark.createDataFrame(spark_rows, "object string, column string, tag string")
     rules = spark.createDataFrame(
@@ -273,16 +289,18 @@ def encrypt_columns(spark: SparkSession, sf: str) -> DataFrame:
 SELECT c_custkey, c_name, c_acctbal, 2 AS key_version, c_acctbal < 5000 AS reencrypted FROM customer
 """)
 def rotate_keys(spark: SparkSession, sf: str) -> DataFrame:
-    """Poor customers still have key 1, the others key 2; all read back alike after rotation to 2."""
+    """Poor customers still have key 1, the others key 2. After rotation to 2 the bytes of the former alone have changed, and all read back alike."""
     ring = _keyring(spark, sf, 2)
-    c = table(spark, sf, "customer").withColumn("was_old", F.col("c_acctbal") < 5000)
+    c = table(spark, sf, "customer")
     cols = ["c_name"]
-    old = protection.encrypt_columns(c.filter("was_old"), cols, ring, "c_nationkey", 1)
-    new = protection.encrypt_columns(c.filter("not was_old"), cols, ring, "c_nationkey", 2)
-    rotated = protection.rotate_keys(old.unionByName(new), cols, ring, "c_nationkey", 2)
-    version = rotated.withColumn("version_now", F.col("key_version"))
-    plain = protection.decrypt_columns(version, {"c_name": "string"}, ring, "c_nationkey")
-    return plain.select("c_custkey", "c_name", "c_acctbal", F.col("version_now").alias("key_version"), F.col("was_old").alias("reencrypted"))
+    old = protection.encrypt_columns(c.filter("c_acctbal < 5000"), cols, ring, "c_nationkey", 1)
+    new = protection.encrypt_columns(c.filter("c_acctbal >= 5000"), cols, ring, "c_nationkey", 2)
+    # ciphertext is random: stored once, so that bytes before and after can be told apart
+    sealed = write_through(old.unionByName(new).withColumn("before", F.col("c_name")), "sealed")
+    rotated = protection.rotate_keys(sealed, cols, ring, "c_nationkey", 2)
+    changed = rotated.withColumns({"version_now": F.col("key_version"), "reencrypted": F.col("before") != F.col("c_name")})
+    plain = protection.decrypt_columns(changed, {"c_name": "string"}, ring, "c_nationkey")
+    return plain.select("c_custkey", "c_name", "c_acctbal", F.col("version_now").alias("key_version"), "reencrypted")
 
 
 @query("SELECT c_custkey, sha256('s1:' || c_name) AS c_name, sha256('s1:' || c_nationkey) AS c_nationkey FROM customer")

@@ -18,10 +18,13 @@ def events(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""
-SELECT event_id, user_id, event_type, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, CAST(NULL AS VARCHAR) AS _bad_payload FROM events
+SELECT event_id, user_id, event_type, CASE WHEN event_id % 97 <> 0 THEN CAST(json_extract_string(props, '$.k') AS INTEGER) END AS k,
+       CASE WHEN event_id % 97 = 0 THEN '{' || props END AS _bad_payload FROM events
 """)
 def parse_audit(spark: SparkSession, sf: str) -> DataFrame:
-    log = events(spark, sf).select("event_id", "user_id", "event_type", "props")
+    """Every 97th payload is broken and kept as it came."""
+    broken = F.when(F.col("event_id") % 97 == 0, F.concat(F.lit("{"), "props")).otherwise(F.col("props"))
+    log = events(spark, sf).select("event_id", "user_id", "event_type", broken.alias("props"))
     return audit.parse_audit(log, "props", T.StructType.fromDDL("k int"))
 
 
@@ -180,6 +183,19 @@ def fill_gaps(spark: SparkSession, sf: str) -> DataFrame:
     return audit.fill_gaps(events(spark, sf), "ts", ["user_id"])
 
 
+@query("""
+WITH d AS (SELECT DISTINCT user_id, CAST(ts AS DATE) AS day FROM events),
+e AS (SELECT min(day) AS low, max(day) AS high FROM d),
+n AS (SELECT user_id, day, lead(day) OVER (PARTITION BY user_id ORDER BY day) AS later, row_number() OVER (PARTITION BY user_id ORDER BY day) AS place FROM d),
+g AS (SELECT user_id, CAST(day + 1 AS DATE) AS first_day, CAST(coalesce(later, high + 1) - 1 AS DATE) AS last_day FROM n, e
+      UNION ALL SELECT user_id, low, CAST(day - 1 AS DATE) FROM n, e WHERE place = 1)
+SELECT user_id, first_day, last_day, CAST(last_day - first_day + 1 AS INTEGER) AS days FROM g WHERE first_day <= last_day
+""")
+def silent_ranges(spark: SparkSession, sf: str) -> DataFrame:
+    """Users' runs of silent days, a row for each."""
+    return audit.silent_ranges(events(spark, sf), "ts", ["user_id"])
+
+
 @query("""
 WITH c AS (SELECT event_type, date_trunc('day', ts) AS day, count(*) AS n FROM events GROUP BY ALL),
 w AS (SELECT *, avg(n) OVER (PARTITION BY event_type ORDER BY day ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS mean,

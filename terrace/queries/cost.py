@@ -27,6 +27,19 @@ def price_usage(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query(f"""
+SELECT workspace, count(*) AS n_unpriced, CAST(sum(quantity) AS DOUBLE) AS unpriced_quantity
+FROM (SELECT u.*, CASE WHEN used_at >= TIMESTAMP '1998-01-01' THEN cost_cents END AS known FROM ({priced_usage_sql()}) u)
+WHERE known IS NULL GROUP BY ALL
+""")
+def unpriced_usage(spark: SparkSession, sf: str) -> DataFrame:
+    """Prices listed from 1998 on only: usage before that has none."""
+    late = prices(spark, sf).filter(F.col("valid_to").isNull() | (F.col("valid_to") > F.lit("1998-01-01").cast("timestamp_ntz")))
+    from_1998 = F.greatest("valid_from", F.lit("1998-01-01").cast("timestamp_ntz"))
+    found = cost.price_usage(usage(spark, sf), late.withColumn("valid_from", from_1998), ["partkey"], "used_at", "quantity")
+    return cost.unpriced_usage(found, ["workspace"], "quantity")
+
+
 def attributed(spark: SparkSession, sf: str) -> DataFrame:
     """Urgent and high orders are owned by tag, workspaces outside AFRICA by their nation."""
     priorities = table(spark, sf, "orders").select(F.col("o_orderpriority").alias("tag")).distinct()
@@ -64,18 +77,18 @@ def untagged_cost(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("""
 WITH d AS (SELECT event_type AS pool, user_id AS id, count(*) AS weight FROM events GROUP BY ALL),
-p AS (SELECT pool, CAST(sum(weight) AS BIGINT) AS w, 10001 AS cents FROM d GROUP BY pool),
+p AS (SELECT pool, CAST(sum(weight) AS BIGINT) AS w, CASE WHEN pool <> 'error' THEN 10001 END AS cents FROM d GROUP BY pool),
 s AS (SELECT d.pool, id, weight, (cents * weight - (cents * weight) % w) // w AS share, (cents * weight) % w AS rem FROM d JOIN p ON d.pool = p.pool),
 r AS (SELECT *, row_number() OVER (PARTITION BY pool ORDER BY rem DESC, md5(CAST(id AS VARCHAR)), id) AS rn,
              10001 - sum(share) OVER (PARTITION BY pool) AS spare FROM s)
 SELECT pool, id, weight, CAST(share + CASE WHEN rn <= spare THEN 1 ELSE 0 END AS BIGINT) AS cents FROM r
 """)
 def allocate_shared(spark: SparkSession, sf: str) -> DataFrame:
-    """100.01 per kind of event, split over its users by their events."""
+    """100.01 per kind of event, split over its users by their events; what errors cost is not known."""
     drivers = table(spark, sf, "events").groupBy(F.col("event_type").alias("pool"), F.col("user_id").alias("id")).agg(
         F.count(F.lit(1)).alias("weight")
     )
-    pools = drivers.select("pool").distinct().withColumn("cents", F.lit(10_001).cast("bigint"))
+    pools = drivers.select("pool").distinct().withColumn("cents", F.when(F.col("pool") != "error", F.lit(10_001)).cast("bigint"))
     return cost.allocate_shared(pools, drivers)
 
 

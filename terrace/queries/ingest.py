@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -116,8 +116,7 @@ SELECT l_returnflag, l_linestatus, count(*) AS n, CAST(sum(round(l_extendedprice
 FROM lineitem WHERE l_quantity >= 10 AND l_discount <= 0.05 AND l_shipdate >= TIMESTAMP '1996-01-01' GROUP BY ALL
 """)
 def expect_drop(spark: SparkSession, sf: str) -> DataFrame:
-    counts = Observation()
-    kept = refine.expect(table(spark, sf, "lineitem"), _rules(), "drop", counts)
+    kept = refine.expect(table(spark, sf, "lineitem"), _rules(), "drop")
     return kept.groupBy("l_returnflag", "l_linestatus").agg(
         F.count(F.lit(1)).alias("n"), F.sum(cents("l_extendedprice")).alias("price_cents")
     )
@@ -383,6 +382,39 @@ def prunable_files(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query("""
+SELECT count(*) AS n_lines, true AS fewer_than_half FROM lineitem
+WHERE l_shipdate >= TIMESTAMP '1998-01-01' AND l_shipdate < TIMESTAMP '1998-07-01' AND l_returnflag = 'R'
+""")
+def cluster_hilbert(spark: SparkSession, sf: str) -> DataFrame:
+    """Clustered by a time and a text: rows of half a year and one flag, and whether most files can be left out to find them."""
+    path = scratch_path(spark, "hilbert")
+    layout.cluster_layout(table(spark, sf, "lineitem"), ["l_shipdate", "l_returnflag"], "hilbert", files=16).write.parquet(path)
+    stored = spark.read.parquet(path)
+    stats = layout.file_stats(stored, ["l_shipdate", "l_returnflag"])
+    by_time = layout.prunable_files(stats, "l_shipdate", "1998-01-01", "1998-06-30 23:59:59.999999", stored.schema["l_shipdate"].dataType)
+    by_flag = layout.prunable_files(stats, "l_returnflag", "R", "R", stored.schema["l_returnflag"].dataType)
+    skipped = by_time.unionByName(by_flag).distinct().agg(F.count(F.lit(1)) * 2).scalar()
+    share = stats.agg(F.count_distinct("file")).scalar()
+    wanted = stored.filter("l_shipdate >= TIMESTAMP_NTZ '1998-01-01' AND l_shipdate < TIMESTAMP_NTZ '1998-07-01' AND l_returnflag = 'R'")
+    return wanted.agg(F.count(F.lit(1)).alias("n_lines")).select("n_lines", (skipped > share).alias("fewer_than_half"))
+
+
+@query("""
+SELECT o_custkey, count(*) AS n_orders, true AS skips_files FROM orders WHERE o_custkey = 7 GROUP BY 1
+""")
+def file_filters(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders of one customer, from a table that is not sorted by customers, and whether files could be left out by their bit sets."""
+    path = scratch_path(spark, "filtered")
+    table(spark, sf, "orders").repartition(32, F.xxhash64("o_orderkey")).write.parquet(path)
+    stored = spark.read.parquet(path)
+    files = stored.select(F.col("_metadata.file_path").alias("file")).distinct()
+    absent = layout.files_without(layout.file_filters(stored, "o_custkey"), files, F.lit(7).cast("bigint"))
+    found = stored.withColumn("file", F.col("_metadata.file_path")).join(absent, "file", "left_anti").filter("o_custkey = 7")
+    skips = absent.agg(F.count(F.lit(1)) > 0).scalar()
+    return found.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n_orders")).select("o_custkey", "n_orders", skips.alias("skips_files"))
+
+
 @query("""
 SELECT o_orderpriority, count(*) AS n, CAST(sum(l_quantity) AS BIGINT) AS quantity
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY ALL

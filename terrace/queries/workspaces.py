@@ -108,7 +108,7 @@ def binding_violations(spark: SparkSession, sf: str) -> DataFrame:
         .join(table(spark, sf, "orders").select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(buyers, F.col("o_custkey") == F.col("c_custkey"))
     )
-    return hierarchy.binding_violations(hierarchy.resolve_bindings(*_bindings(spark, sf)), log)
+    return hierarchy.binding_violations(*_bindings(spark, sf), log)
 
 
 @query("""

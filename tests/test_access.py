@@ -140,3 +140,43 @@ def test_secured_view(spark, people):
     assert view("bob").count() == 0  # attributes and row policy, but no privilege
     assert view("cyd").count() == 0  # privilege, but no row policy
     assert view("nobody").count() == 0
+
+
+def test_access_on_demand_equals_all_privileges(spark):
+    """Requests are answered as by the full list, through groups, cycles and trees; a NULL is never allowed."""
+    grants = spark.createDataFrame([("g3", "SELECT", "top"), ("g1", "MODIFY", "t2"), ("u9", "SELECT", "t1"), (None, "SELECT", "t1")], "principal string, privilege string, object_id string")
+    members = spark.createDataFrame([("u1", "g1"), ("g1", "g2"), ("g2", "g3"), ("g3", "g1"), ("u2", "g2"), ("u3", None)], "member string, group string")
+    tree = spark.createDataFrame([("t1", "s"), ("t2", "s"), ("s", "top"), ("t3", None)], "object_id string, parent_id string")
+    names, objects = ["u1", "u2", "u3", "u9", "g1", None], ["t1", "t2", "t3", "s", "top", None]
+    asked = spark.createDataFrame([(n, p, o) for n in names for p in ("SELECT", "MODIFY") for o in objects] * 2, "principal string, privilege string, object_id string")
+    full = {(r["principal"], r["privilege"], r["object_id"]) for r in access.effective_privileges(grants, members, tree).collect()}
+    found = access.check_access(asked, access.Privileges(grants, members, tree)).collect()
+    assert len(found) == 72
+    for r in found:
+        key = (r["principal"], r["privilege"], r["object_id"])
+        assert r["allowed"] == (None not in key and key in full), key
+    assert sum(r["allowed"] for r in found) > 10
+
+
+def test_view_of_a_group_member_builds_no_closure(spark, people, monkeypatch):
+    """Privilege, row policy and exemption are the group's; nobody else's groups are followed."""
+    monkeypatch.setattr(access, "transitive_closure", lambda *a, **k: pytest.fail("closure"))
+    grants = spark.createDataFrame([("staff", "SELECT", "db")], "principal string, privilege string, object_id string")
+    members = spark.createDataFrame([("ann", "hr"), ("hr", "staff"), ("bob", "ops")], "member string, group string")
+    tree = spark.createDataFrame([("people", "db")], "object_id string, parent_id string")
+    rights = access.Privileges(grants, members, tree)
+    none = spark.createDataFrame([], "principal string, object string, column string, effect string, mask string")
+    rules = [RowPolicy(frozenset({"hr"}), predicate=F.col("nation") == 3), RowPolicy(frozenset(), column="nation", mapping=mapping(spark, [("staff", 4), ("ops", 3)]))]
+    assert bag(access.secure_view(people, "people", "ann", rights, rules, none), "id") == {(1,): 1, (2,): 1, (3,): 1}
+    assert access.secure_view(people, "people", "bob", rights, rules, none).count() == 0
+    names = access.names_of("ann", members)
+    assert names == {"ann", "hr", "staff"}
+    hidden = access.column_mask(people, {"pay": ColumnMask(masks.null(), frozenset({"staff"}))}, names)
+    assert bag(hidden, "pay") == bag(people, "pay")
+
+
+def test_coverage_reads_policies_as_they_are_applied(spark):
+    tags = spark.createDataFrame([("t", c, c) for c in "abcdefg"], "object string, column string, tag string")
+    rules = [("a", "DENY", "none"), ("b", None, "none"), ("c", "allow", None), ("d", "Allow", "none"), ("e", "allow", "hash"), ("f", "allow", "what")]
+    policies = spark.createDataFrame([(t, "x", "y", e, m) for t, e, m in rules], "tag string, attr string, attr_value string, effect string, mask string")
+    assert bag(access.policy_coverage(tags, policies), "column") == {("d",): 1, ("g",): 1}

@@ -149,3 +149,19 @@ def test_reach(log):
 def test_matrix(spark):
     df = spark.createDataFrame([("a", "x"), ("a", "x"), ("b", "z")], "r string, c string")
     assert bag(audit.access_matrix(df, ["r"], "c", ["x", "y"])) == {("a", 2, 0): 1, ("b", 0, 0): 1}
+
+
+def test_silent_ranges(spark):
+    """Gaps ahead, between and behind; together with the days present they are every day once."""
+    rows = [("a", "2024-01-03"), ("a", "2024-01-03"), ("a", "2024-01-06"), ("b", "2024-01-01"), (None, "2024-01-10"), ("c", None)]
+    log = spark.createDataFrame(rows, "u string, d string").withColumn("ts", F.col("d").cast("timestamp_ntz"))
+    found = {(r["u"], str(r["first_day"]), str(r["last_day"]), r["days"]) for r in audit.silent_ranges(log, "ts", ["u"]).collect()}
+    day = "2024-01-{:02d}".format
+    assert found == {
+        ("a", day(1), day(2), 2), ("a", day(4), day(5), 2), ("a", day(7), day(10), 4), ("b", day(2), day(10), 9), (None, day(1), day(9), 9),
+    }
+    part = audit.silent_ranges(log, "ts", ["u"], F.lit("2024-01-02").cast("date"), F.lit("2024-01-05").cast("date"))
+    assert {(r["u"], r["days"]) for r in part.collect()} == {("a", 1), ("a", 2), ("b", 4), (None, 4)}
+    filled = audit.fill_gaps(log, "ts", ["u"]).filter("n = 0 AND u = 'a'").count()
+    assert filled == 2 + 2 + 4
+    assert audit.silent_ranges(log.limit(0), "ts", ["u"]).count() == 0

@@ -116,3 +116,15 @@ def test_trend_and_reconciliation(spark):
     assert cost.reconcile_cost(billed, billed, "m", "cents").count() == 0
     gaps = cost.reconcile_cost(billed, billed.filter(F.col("m") != D2), "m", "cents")
     assert bag(gaps) == {(D2, 30, 0, 30): 1}
+
+
+def test_a_pool_of_unknown_cents_keeps_its_drivers(spark):
+    pools = spark.createDataFrame([("a", 10), ("b", None), ("c", None)], "pool string, cents long")
+    drivers = spark.createDataFrame([("a", 1, 1), ("a", 2, 1), ("b", 3, 1), ("b", 4, None)], "pool string, id int, weight int")
+    found = bag(cost.allocate_shared(pools, drivers), "pool", "id", "weight", "cents")
+    assert found == {("a", 1, 1, 5): 1, ("a", 2, 1, 5): 1, ("b", 3, 1, None): 1, ("b", 4, None, None): 1, ("c", None, None, None): 1}
+
+
+def test_usage_without_a_price_is_counted(spark):
+    priced = spark.createDataFrame([("w", 2.0, 4), ("w", 3.0, None), ("w", None, None), ("v", 1.0, 1)], "ws string, q double, cost_cents long")
+    assert bag(cost.unpriced_usage(priced, ["ws"], "q")) == {("w", 2, 3.0): 1}

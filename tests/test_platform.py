@@ -179,7 +179,8 @@ def test_bindings(spark):
     visible = hierarchy.resolve_bindings(spaces, catalogs, bound)
     assert bag(visible) == {("w1", "c1"): 1, ("w1", "open"): 1, ("w2", "open"): 1}
     log = spark.createDataFrame([("w1", "c1"), ("w2", "c1"), ("w2", "c1"), ("w2", "open")], "workspace string, catalog string")
-    assert bag(hierarchy.binding_violations(visible, log)) == {("w2", "c1", 2): 1}
+    assert visible.count() > 0
+    assert bag(hierarchy.binding_violations(spaces, catalogs, bound, log)) == {("w2", "c1", 2): 1}
     closed = catalogs.filter("not is_open")
     assert bag(hierarchy.resolve_bindings(spaces, closed, bound)) == {("w1", "c1"): 1}
 
@@ -246,3 +247,62 @@ def test_the_shared_folder_is_the_one_the_session_names(spark):
     named = spark.conf.get("spark.checkpoint.dir", None)
     assert named is None or scratch_path(spark, "x").startswith(named.rstrip("/"))
     assert shared_dir(spark) == shared_dir(spark)
+
+
+def test_violations_write_no_pairs(spark):
+    """Open catalogs are a flag: unknown workspaces and accesses without a name are violations, and nothing is multiplied."""
+    spaces = spark.createDataFrame([(f"w{k}",) for k in range(300)], "workspace string")
+    catalogs = spark.createDataFrame([(f"c{k}", k % 2 == 0) for k in range(300)], "catalog string, is_open boolean")
+    bound = spark.createDataFrame([("w1", "c1"), ("w1", "c1"), ("x", "c3")], "workspace string, catalog string")
+    log = spark.createDataFrame([("w1", "c1"), ("w2", "c1"), ("w2", "c2"), ("x", "c2"), ("x", "c3"), ("w3", None), (None, "c2"), ("w4", "z")], "workspace string, catalog string")
+    found = hierarchy.binding_violations(spaces, catalogs, bound, log)
+    assert bag(found, "workspace", "catalog") == {("w2", "c1"): 1, ("x", "c2"): 1, ("x", "c3"): 1, ("w3", None): 1, (None, "c2"): 1, ("w4", "z"): 1}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_set" not in plan and "Generate" not in plan
+
+
+@pytest.mark.parametrize("method", ["zorder", "hilbert"])
+def test_times_and_texts_are_clustered(spark, line, tmp_path, method):
+    path = str(tmp_path / method)
+    layout.cluster_layout(line, ["l_shipdate", "l_returnflag"], method, files=16).write.parquet(path)
+    stored = spark.read.parquet(path)
+    assert stored.columns == line.columns and bag(stored, "l_orderkey", "l_linenumber") == bag(line, "l_orderkey", "l_linenumber")
+    stats = layout.file_stats(stored, ["l_shipdate", "l_returnflag"])
+    gone = {r["file"] for r in layout.prunable_files(stats, "l_shipdate", "1996-01-01", "1996-03-31", stored.schema["l_shipdate"].dataType).collect()}
+    assert gone
+    inside = stored.filter("l_shipdate BETWEEN TIMESTAMP_NTZ '1996-01-01' AND TIMESTAMP_NTZ '1996-03-31'").select("_metadata.file_path").distinct()
+    assert not gone & {r[0] for r in inside.collect()}
+    texts = {r["file"] for r in layout.prunable_files(stats, "l_returnflag", "R", "R", stored.schema["l_returnflag"].dataType).collect()}
+    assert not texts & {r[0] for r in stored.filter("l_returnflag = 'R'").select("_metadata.file_path").distinct().collect()}
+
+
+def test_hilbert_neighbours_touch(spark):
+    """On a full grid every step of the curve goes to a neighbour, and every place is met once."""
+    grid = spark.range(256).select((F.col("id") % 16).alias("a"), F.floor(F.col("id") / 16).alias("b"))
+    walk = [(r["a"], r["b"], r["h"]) for r in layout._hilbert(grid, ["a", "b"], 4, "h").orderBy("h").collect()]
+    assert [h for *_, h in walk] == list(range(256))
+    assert all(abs(p[0] - q[0]) + abs(p[1] - q[1]) == 1 for p, q in zip(walk, walk[1:]))
+
+
+def test_order_keys_never_swap(spark):
+    rows = [(None, None), ("", "1960-01-01"), ("a", "1970-01-01"), ("ab", "1999-12-31"), ("abcdefg", "2000-01-01"), ("abcdefh", "2024-02-29"), ("z", "2100-01-01"), ("é", "2200-01-01")]
+    df = spark.createDataFrame(rows, "s string, d string").withColumn("day", F.col("d").cast("date")).withColumn("t", F.col("d").cast("timestamp_ntz"))
+    keys = df.select(*[layout.order_key(F.col(c), df.schema[c].dataType).alias(c) for c in ("s", "day", "t")]).collect()
+    assert tuple(keys[0]) == (None, None, None)
+    for column in range(3):
+        assert [k[column] for k in keys[1:]] == sorted(k[column] for k in keys[1:])
+
+
+def test_bit_sets_lose_no_file(spark, line, tmp_path):
+    path = str(tmp_path / "filtered")
+    line.repartition(8, F.xxhash64("l_orderkey", "l_linenumber")).write.parquet(path)
+    stored = spark.read.parquet(path)
+    files = stored.select(F.col("_metadata.file_path").alias("file")).distinct()
+    filters = layout.file_filters(stored, "l_partkey", bits=1 << 14)
+    assert filters.count() <= 8 * (1 << 14) // 64
+    skipped = 0
+    for value in (1, 17, 155, 10**9):
+        gone = {r["file"] for r in layout.files_without(filters, files, F.lit(value).cast("bigint"), bits=1 << 14).collect()}
+        assert not gone & {r[0] for r in stored.filter(F.col("l_partkey") == value).select("_metadata.file_path").distinct().collect()}
+        skipped += len(gone)
+    assert skipped >= 8
