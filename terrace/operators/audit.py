@@ -76,15 +76,18 @@ def session_windows(df: DataFrame, time: str, gap_seconds: int, keys: list[str],
     return counted.select(*keys, F.col("w.start").alias("started"), F.col("w.end").alias("ended"), "n")
 
 
-def detect_bursts(df: DataFrame, time: str, cond: Column, n: int, span_seconds: int, keys: list[str]) -> DataFrame:
+def detect_bursts(
+    df: DataFrame, time: str, cond: Column, n: int, span_seconds: int, keys: list[str], weight: Column | None = None
+) -> DataFrame:
     """(keys, time, n_here, n_in_span): instants at which at least ``n`` matching events lie in the
-    span that ends there, both ends included.
+    span that ends there, both ends included. A row stands for ``weight`` events (default: one).
 
     Events of one key and instant are counted first. Instants are then cut into slots one span
     wide; a copy in the next slot lets the window of a slot see back a whole span. A hot key
     thus spreads over its slots, and rows at most double.
     """
-    instants = df.filter(cond).groupBy(*keys, time).agg(F.count(F.lit(1)).alias("n_here"))
+    events = F.count(F.lit(1)) if weight is None else F.sum(weight)
+    instants = df.filter(cond).groupBy(*keys, time).agg(events.alias("n_here"))
     own = instants.select("*", micros(time).alias("__us"), time_slot(time, span_seconds).alias("__own"))
     seen = own.withColumn("__slot", F.explode(F.array(F.col("__own"), F.col("__own") + 1)))
     back = Window.partitionBy(*keys, "__slot").orderBy("__us").rangeBetween(-span_seconds * 1_000_000, 0)
@@ -153,6 +156,18 @@ def distinct_users(df: DataFrame, user: str, keys: list[str], method: str = "exa
     raise ValueError(f"unknown method {method!r}")
 
 
+def daily_reach(df: DataFrame, time: str, user: str, keys: list[str], watermark: str | None = None) -> DataFrame:
+    """(day_start, keys, users): a mergeable sketch for each day, so a stream's state ends with the day."""
+    rows = df.withWatermark(time, watermark) if watermark else df
+    days = rows.groupBy(F.window(time, "1 day").alias("w"), *keys).agg(F.hll_sketch_agg(user).alias("users"))
+    return days.select(F.col("w.start").alias("day_start"), *keys, "users")
+
+
+def reach_of_days(days: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, users) estimated over the days given, from :func:`daily_reach`."""
+    return days.groupBy(*keys).agg(F.hll_sketch_estimate(F.hll_union_agg("users")).alias("users"))
+
+
 def distribution(
     df: DataFrame, col: str, keys: list[str], qs: list[float], exact: bool = True,
     chunk: Column | None = None, hot_rows: int = HOT_ROWS,

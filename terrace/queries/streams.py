@@ -166,8 +166,9 @@ SELECT date_trunc('day', ts) AS window_start, date_trunc('day', ts) + INTERVAL 1
 FROM events GROUP BY ALL
 """)
 def activity_windows_stream(spark: SparkSession, sf: str) -> DataFrame:
-    counted = audit.activity_windows(_event_stream(spark, sf), "ts", "1 day", ["event_type"])
-    return _ntz(_complete(counted, "daily"), "window_start", "window_end")
+    """In update mode behind a watermark: days that can change no more leave the state."""
+    counted = audit.activity_windows(_event_stream(spark, sf), "ts", "1 day", ["event_type"], watermark="1 hour")
+    return _ntz(runs.run_updates(counted, ["window_start", "window_end", "event_type"], "daily"), "window_start", "window_end")
 
 
 @query("SELECT user_id, event_type, min(ts) AS first_seen FROM events GROUP BY ALL")
@@ -194,10 +195,8 @@ f AS (SELECT *, coalesce(lag(burst) OVER (PARTITION BY user_id ORDER BY ts, even
 SELECT user_id, ts AS alert_at FROM f WHERE burst AND NOT before
 """)
 def alert_stream(spark: SparkSession, sf: str) -> DataFrame:
-    found = alerts.alert_stream(
-        _event_stream(spark, sf), "ts", F.col("event_type") == "error", 3, 36 * 3600, ["user_id"], "1 hour"
-    )
-    return _ntz(runs.run_to_scratch(found, "alerts"), "alert_at")
+    found = alerts.alert_stream(_event_stream(spark, sf), "ts", F.col("event_type") == "error", 3, 36 * 3600, ["user_id"])
+    return _ntz(found, "alert_at")
 
 
 @query(HISTORY_SQL)
@@ -264,8 +263,10 @@ def verified_stream(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("SELECT event_type, true AS within_10_percent FROM events GROUP BY event_type")
 def distinct_users_stream(spark: SparkSession, sf: str) -> DataFrame:
-    near = audit.distinct_users(_event_stream(spark, sf), "user_id", ["event_type"], "approximate", 0.02)
+    """Daily sketches in update mode behind a watermark, joined when they are read."""
+    days = audit.daily_reach(_event_stream(spark, sf), "ts", "user_id", ["event_type"], "1 hour")
+    near = audit.reach_of_days(runs.run_updates(days, ["day_start", "event_type"], "reach"), ["event_type"])
     exact = audit.distinct_users(table(spark, sf, "events"), "user_id", ["event_type"]).withColumnRenamed("users", "exact")
-    both = _complete(near, "reach").join(exact, "event_type")
+    both = near.join(exact, "event_type")
     ok = F.abs(F.col("users") - F.col("exact")) <= 0.1 * F.col("exact")
     return both.select("event_type", ok.alias("within_10_percent"))

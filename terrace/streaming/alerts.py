@@ -1,75 +1,80 @@
-"""Continuous burst alerts with state per key."""
+"""Continuous burst alerts from micro-batches, with a small table of what went before."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+from terrace.functions.times import micros
+from terrace.operators.audit import detect_bursts
+from terrace.plans.chunks import HOT_ROWS, neighbour, tag_chunks, untag
+from terrace.session import discard, scratch_path, write_table
+from terrace.sources.tables import path_exists
+from terrace.streaming.runs import run_batches, write_batch
 
+#: Spans after which a silent key is forgotten.
+KEEP_SPANS = 100
 
-class _Bursts(StatefulProcessor):
-    """Keeps the last ``n - 1`` matching instants and whether an episode is on."""
 
-    def __init__(self, n: int, span_us: int, key_names: list[str]):
-        self._n, self._span, self._key_names = n, span_us, key_names
+def alert_writer(
+    path: str, tail: str, time: str, cond: Column, n: int, span_seconds: int, keys: list[str],
+    keep_spans: int = KEEP_SPANS, hot_rows: int = HOT_ROWS,
+) -> Callable[[DataFrame, int], None]:
+    """Handler that stores (keys, alert_at) of each micro-batch below ``path``: one alert when ``n`` matching
+    events lie in the span that ends at an event, the next one only after the burst has ended.
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self._state = handle.getValueState("recent", "recent array<bigint>, alerting boolean")
-        self._handle = handle
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        times = np.sort(np.concatenate([chunk["us"].to_numpy() for chunk in rows])).tolist()
-        recent, alerting = ([], False)
-        if self._state.exists():
-            held = self._state.get()
-            recent, alerting = list(held[0]), bool(held[1])
-        alerts = []
-        for t in times:
-            burst = sum(t - self._span <= r <= t for r in recent) + 1 >= self._n
-            if burst and not alerting:
-                alerts.append(t)
-            alerting = burst
-            recent = sorted([*recent, t])[1 - self._n:]
-        self._state.update((recent, alerting))
-        for timer in self._handle.listTimers():
-            self._handle.deleteTimer(timer)
-        # once a whole span has passed in event time the key holds nothing worth keeping
-        self._handle.registerTimer((recent[-1] + self._span) // 1000 + 1)
-        if alerts:
-            out = {name: [part] * len(alerts) for name, part in zip(self._key_names, key)}
-            yield pd.DataFrame({**out, "us": alerts})
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self._state.clear()
-        return iter(())
+    Below ``tail`` it keeps, per batch, what later events need: of each key the instants of its last span,
+    ``n - 1`` at most, with their counts and whether a burst was on. A batch meets the tail of the one before,
+    so one that is delivered again gives the same again. Instants of a batch that came late are judged by what
+    the tail still holds, and those judged before give no second alert. Keys silent for ``keep_spans`` spans
+    before the newest event of all leave the tail. Rows without a time count for nothing.
+    A hot key is spread by time slots and chunks, as in batch.
+    """
+    if n < 2:
+        raise ValueError("a burst needs at least two events")
 
-    def close(self) -> None:
-        pass
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        fresh = batch.filter(cond).filter(F.col(time).isNotNull()).groupBy(*keys, time).agg(F.count(F.lit(1)).alias("n_here"))
+        fresh = fresh.withColumns({"was_on": F.lit(False), "is_new": F.lit(True)})
+        before = f"{tail}/batch={batch_id - 1}"
+        if batch_id and path_exists(spark, before):
+            fresh = fresh.unionByName(spark.read.parquet(before).withColumn("is_new", F.lit(False)))
+        # an instant that more events reach later is judged once
+        met = fresh.groupBy(*keys, time).agg(F.sum("n_here").alias("n_here"), F.bool_or("was_on").alias("was_on"), F.bool_and("is_new").alias("is_new"))
+        scratch = [scratch_path(spark, f"alert-{name}") for name in ("instants", "judged")]
+        met = write_table(met, scratch[0])
+        counted = detect_bursts(met, time, F.lit(True), 1, span_seconds, keys, weight=F.col("n_here"))
+        on = met.alias("m").join(
+            counted.select(*keys, time, "n_in_span").alias("c"),
+            [F.col(f"m.{k}").eqNullSafe(F.col(f"c.{k}")) for k in [*keys, time]],
+        ).select("m.*", (F.col("m.was_on") | (F.col("c.n_in_span") >= n)).alias("on"))
+        on = write_table(on, scratch[1])
+        seen = untag(neighbour(tag_chunks(on, keys, time, None, hot_rows), [time], {"__on_before": F.col("on")}))
+        starts = seen.filter(F.col("is_new") & F.col("on") & ~F.coalesce("__on_before", F.lit(False)))
+        write_batch(starts.select(*keys, F.col(time).alias("alert_at")), path, batch_id)
+        # Spark keeps so few instants of a key in each task before they meet
+        latest = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc(time)))
+        end = on.groupBy(*keys).agg(F.max(micros(time)).alias("__end"))
+        kept = on.withColumn("__place", latest).filter(F.col("__place") < n)
+        kept = kept.alias("k").join(end.alias("e"), [F.col(f"k.{k}").eqNullSafe(F.col(f"e.{k}")) for k in keys])
+        newest = on.agg(F.max(micros(time))).scalar()
+        inside = (F.col("__end") - micros(F.col(f"k.{time}")) <= span_seconds * 1_000_000) & (newest - F.col("__end") <= keep_spans * span_seconds * 1_000_000)
+        # of an instant no more than n events matter
+        rows = kept.filter(inside).select(*[F.col(f"k.{c}").alias(c) for c in [*keys, time]], F.least("n_here", F.lit(n)).alias("n_here"), F.col("on").alias("was_on"))
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{tail}/batch={batch_id}")
+        for path_done in [*scratch, f"{tail}/batch={batch_id - 2}"]:
+            discard(spark, path_done)
 
+    return handle
 
-def alert_stream(df: DataFrame, time: str, cond: Column, n: int, span_seconds: int, keys: list[str], delay: str) -> DataFrame:
-    """(keys, alert_at): one alert when ``n`` matching events fall into the span; the next one only
-    after the burst has ended. Events of a key count in event-time order within a micro-batch.
 
-    ``keys`` must be of type long or string. The state store of the session becomes RocksDB, which
-    the stateful operator needs. Only matching rows, cut to keys and time, reach
-    Python; a key's state is at most ``n - 1`` instants.
-    """
-    if n < 2:
-        raise ValueError("a burst needs at least two events")
-    spark = df.sparkSession
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
-    types = dict(df.dtypes)
-    rows = df.filter(cond).withWatermark(time, delay).select(*keys, time, F.unix_micros(time).alias("us"))
-    schema = ", ".join([*[f"{k} {types[k]}" for k in keys], "us bigint"])
-    found = rows.groupBy(*keys).transformWithStateInPandas(
-        statefulProcessor=_Bursts(n, span_seconds * 1_000_000, keys),
-        outputStructType=schema, outputMode="Append", timeMode="EventTime",
-    )
-    return found.select(*keys, F.timestamp_micros("us").alias("alert_at"))
+def alert_stream(df: DataFrame, time: str, cond: Column, n: int, span_seconds: int, keys: list[str]) -> DataFrame:
+    """Run a stream to the end of its input and open its alerts (keys, alert_at)."""
+    spark: SparkSession = df.sparkSession
+    path, tail = scratch_path(spark, "alerts"), scratch_path(spark, "alerts-tail")
+    run_batches(df, alert_writer(path, tail, time, cond, n, span_seconds, keys), scratch_path(spark, "alerts-progress"))
+    schema = df.select(*keys, F.col(time).alias("alert_at")).schema
+    return spark.read.schema(schema).parquet(path).select(*keys, "alert_at")

@@ -6,10 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from terrace.operators.changes import apply_changes_scd2, live_rows, merge_changes
 from terrace.operators.gold import partial_aggregate, refresh_aggregate
-from terrace.session import scratch_path
+from terrace.session import discard, scratch_path
+from terrace.sources.tables import path_exists
+
+#: Micro-batches between two folds of a store.
+FOLD_EVERY = 16
 
 
 def run_to_files(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:
@@ -44,28 +49,97 @@ def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
     ).partitionBy("batch_id").parquet(path)
 
 
+def _folders(spark: SparkSession, path: str, prefix: str) -> dict[int, str]:
+    """The folders ``<prefix>=<number>`` below ``path`` by number."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return {}
+    names = [status.getPath().getName() for status in fs.listStatus(root)]
+    return {int(n.split("=", 1)[1]): f"{path}/{n}" for n in names if n.startswith(f"{prefix}=")}
+
+
+def _bases(spark: SparkSession, path: str) -> dict[int, str]:
+    """Complete folds of a batch store by their last batch: Spark marks a table when all of it is written."""
+    return {k: f for k, f in _folders(spark, f"{path}-base", "upto").items() if path_exists(spark, f"{f}/_SUCCESS")}
+
+
 def read_batches(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop("batch_id")
+    """The newest complete fold and the batches after it; all batches where none was folded."""
+    bases = _bases(spark, path)
+    stored = spark.read.parquet(path)
+    if not bases:
+        return stored.drop("batch_id")
+    last = max(bases)
+    return spark.read.parquet(bases[last]).unionByName(stored.filter(F.col("batch_id") > last).drop("batch_id"))
 
 
-def scd1_writer(path: str, keys: list[str], seq: list[str], delete_when: Column) -> Callable[[DataFrame, int], None]:
-    """Handler that keeps, per micro-batch, the newest change of each key below ``path``.
+def fold_batches(spark: SparkSession, path: str, batch_id: int, merge: Callable[[DataFrame], DataFrame]) -> None:
+    """Merge all batches up to ``batch_id`` into one table, so that a store stays a bounded number of folders.
 
-    Nothing written earlier is rewritten; :func:`read_scd1` merges the batches.
+    ``merge`` must give the same for merged rows and later ones as for all of them. A fold that is killed is
+    not complete and is ignored; one that is done already is not repeated. What the fold before this one
+    replaced is removed, so that readers of the last state still find their files.
     """
-
+    bases = _bases(spark, path)
+    if bases and max(bases) >= batch_id:
+        return
+    merge(read_batches(spark, path)).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}-base/upto={batch_id}")
+    if bases:
+        last = max(bases)
+        gone = {k: f for k, f in _folders(spark, f"{path}-base", "upto").items() if k < last}
+        gone_batches = {k: f for k, f in _folders(spark, path, "batch_id").items() if k <= last}
+        for folder in [*gone.values(), *gone_batches.values()]:
+            discard(spark, folder)
+
+
+def _folding(path: str, reduce: Callable[[DataFrame], DataFrame], merge: Callable[[DataFrame], DataFrame], every: int) -> Callable[[DataFrame, int], None]:
     def handle(batch: DataFrame, batch_id: int) -> None:
-        write_batch(merge_changes(None, batch, keys, seq, delete_when), path, batch_id)
+        spark = batch.sparkSession
+        write_batch(reduce(batch), path, batch_id)
+        if batch_id % every == every - 1:
+            fold_batches(spark, path, batch_id, merge)
 
     return handle
 
 
+def scd1_writer(path: str, keys: list[str], seq: list[str], delete_when: Column, fold_every: int = FOLD_EVERY) -> Callable[[DataFrame, int], None]:
+    """Handler that keeps, per micro-batch, the newest change of each key below ``path``.
+
+    Every ``fold_every`` batches these become one table (deletions stay in it as such, so that late changes
+    still meet them); :func:`read_scd1` merges it with the batches since.
+    """
+
+    def newest(rows: DataFrame) -> DataFrame:
+        return merge_changes(None, rows, keys, seq, delete_when)
+
+    def merged(rows: DataFrame) -> DataFrame:
+        return merge_changes(None, rows, keys, seq, F.col("_deleted"))
+
+    return _folding(path, newest, merged, fold_every)
+
+
 def read_scd1(spark: SparkSession, path: str, keys: list[str], seq: list[str]) -> DataFrame:
     """Current rows of a table kept by :func:`scd1_writer`."""
     changes = read_batches(spark, path)
     return live_rows(merge_changes(None, changes, keys, seq, F.col("_deleted")))
 
 
+def run_updates(stream: DataFrame, keys: list[str], label: str) -> DataFrame:
+    """Run an aggregate in update mode and open its last state: of each key the row of its newest batch.
+
+    With a watermark Spark forgets groups that can change no more, so state stays bounded however long the
+    stream runs, and what is written are the groups that changed.
+    """
+    spark = stream.sparkSession
+    path = scratch_path(spark, label)
+    run_batches(stream, lambda batch, batch_id: write_batch(batch, path, batch_id), scratch_path(spark, f"{label}-progress"), "update")
+    rest = [c for c in stream.columns if c not in keys]
+    stored = spark.read.schema(StructType([*stream.schema.fields, StructField("batch_id", LongType())])).parquet(path)
+    newest = stored.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch_id").alias("__last"))
+    return newest.select(*keys, "__last.*").select(*stream.columns)
+
+
 def change_log_writer(path: str) -> Callable[[DataFrame, int], None]:
     """Handler that appends the changes of each micro-batch to a log below ``path``."""
 
@@ -82,13 +156,16 @@ def read_scd2(
     return apply_changes_scd2(None, read_batches(spark, path), keys, seq, delete_when, track, chunk)
 
 
-def aggregate_writer(path: str, keys: list[str], measure: Column, member: Column) -> Callable[[DataFrame, int], None]:
-    """Handler that stores mergeable partials of each micro-batch below ``path``."""
+def aggregate_writer(path: str, keys: list[str], measure: Column, member: Column, fold_every: int = FOLD_EVERY) -> Callable[[DataFrame, int], None]:
+    """Handler that stores mergeable partials of each micro-batch below ``path`` and folds them every ``fold_every`` batches."""
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        write_batch(partial_aggregate(batch, keys, measure, member), path, batch_id)
+    def partials(rows: DataFrame) -> DataFrame:
+        return partial_aggregate(rows, keys, measure, member)
 
-    return handle
+    def merged(rows: DataFrame) -> DataFrame:
+        return refresh_aggregate(rows, rows.limit(0), keys)
+
+    return _folding(path, partials, merged, fold_every)
 
 
 def read_aggregate(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:

@@ -135,7 +135,7 @@ def test_alerts_once_per_episode(spark):
         spark.createDataFrame(rows, "id bigint, u string, t timestamp").coalesce(1).write.mode("append").parquet(source)
         time.sleep(1.1)
     stream = spark.readStream.schema("id bigint, u string, t timestamp").option("maxFilesPerTrigger", 1).parquet(source)
-    out = runs.run_to_scratch(alerts.alert_stream(stream, "t", F.lit(True), 3, 300, ["u"], "1 minute"), "alerts")
+    out = alerts.alert_stream(stream, "t", F.lit(True), 3, 300, ["u"])
     assert bag(out.select("u", F.date_format("alert_at", "HH:mm").alias("at"))) == {("u", "00:02"): 1, ("u", "01:02"): 1}
 
 
@@ -150,3 +150,81 @@ def test_events_arrive_in_four_batches_in_order(spark, sf, tmp_path):
     runs.run_batches(_arriving_events(spark, sf), note, str(tmp_path / "progress"))
     assert len(seen) == 4 and sum(r.n for r in seen) == 1000
     assert all(a.high < b.low for a, b in zip(seen, seen[1:]))
+
+
+def test_alerts_of_batches_equal_those_of_one(spark):
+    """Cut anywhere, delivered twice, hot or not: alerts are those of the whole log; the tail stays small and no Python runs."""
+    import random
+
+    draw = random.Random(4)
+    at, rows = 0, []
+    for k in range(240):
+        at += draw.choice([0, 20, 60, 200, 700])
+        rows.append((draw.choice(["u", "v", None]), at))
+    log = spark.createDataFrame(rows, "u string, s bigint").withColumn("t", F.timestamp_seconds(F.col("s") + 1_700_000_000))
+    whole = None
+    for cuts, hot in (([240], 10**9), ([1, 2, 90, 91, 200, 240], 10**9), ([100, 240], 5)):
+        path, tail = scratch_path(spark, "alerts"), scratch_path(spark, "alerts-tail")
+        handle = alerts.alert_writer(path, tail, "t", F.lit(True), 3, 300, ["u"], hot_rows=hot)
+        low = 0
+        for batch_id, high in enumerate(cuts):
+            # events of one instant come together
+            times = sorted(s for _, s in rows)
+            low_s, high_s = (times[low] if low else -1), (times[high] if high < 240 else 10**9)
+            part = log.filter((F.col("s") >= low_s) & (F.col("s") < high_s))
+            handle(part, batch_id)
+            handle(part, batch_id)
+            low = high
+        found = bag(spark.read.parquet(path), "u", "alert_at")
+        whole = whole or found
+        assert found == whole and sum(found.values()) > 10
+        last = spark.read.parquet(f"{tail}/batch={len(cuts) - 1}")
+        assert last.groupBy("u").count().filter("count > 2").isEmpty()
+
+
+def test_folded_stores_stay_bounded(spark):
+    """After 50 batches there are few folders, a fold that was killed loses nothing, and a batch delivered again changes nothing."""
+    import os
+
+    path = scratch_path(spark, "folded")
+    keys, seq, gone = ["k"], ["v"], F.col("v") % 7 == 0
+    handle = runs.scd1_writer(path, keys, seq, gone, fold_every=8)
+    totals = scratch_path(spark, "folded-totals")
+    add = runs.aggregate_writer(totals, ["k"], F.col("v"), F.col("v"), fold_every=8)
+    rows = [(k % 5, (k * 37) % 101) for k in range(100)]
+    df = lambda part: spark.createDataFrame(part, "k int, v int").coalesce(1)
+    for b in range(50):
+        part = df(rows[2 * b : 2 * b + 2])
+        handle(part, b)
+        add(part, b)
+        if b == 30:
+            # a fold that was killed half way has no mark of Spark's
+            os.makedirs(f"{path}-base/upto=29")
+            handle(part, b)
+            add(part, b)
+    for folder in (path, totals):
+        assert len([f for f in os.listdir(folder) if f.startswith("batch_id=")]) <= 18
+        assert len(os.listdir(f"{folder}-base")) <= 3
+    log = df(rows)
+    assert bag(runs.read_scd1(spark, path, keys, seq), "k", "v") == bag(apply_changes_scd1(None, log, keys, seq, gone), "k", "v")
+    cols = ["k", "n_rows", "total", "low", "high"]
+    assert bag(runs.read_aggregate(spark, totals, ["k"]), *cols) == bag(gold.partial_aggregate(log, ["k"], F.col("v"), F.col("v")), *cols)
+
+
+def test_state_ends_with_the_day(spark, slices):
+    """Behind a watermark the state keeps open days only, and the last state of each day is that of the batch."""
+    stream = flows.event_time(stream_of(spark, slices), "ts")
+    counted = audit.activity_windows(stream, "ts", "1 day", ["event_type"], watermark="10 minutes")
+    held = []
+    path = scratch_path(spark, "kept")
+    query = (
+        counted.writeStream.foreachBatch(lambda b, i: runs.write_batch(b, path, i)).outputMode("update")
+        .option("checkpointLocation", scratch_path(spark, "kept-progress")).trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    held = [s["numRowsTotal"] for p in query.recentProgress for s in p["stateOperators"]]
+    days = audit.activity_windows(slices[1], "ts", "1 day", ["event_type"])
+    assert max(held) < days.count() / 2
+    out = runs.run_updates(counted, ["window_start", "window_end", "event_type"], "daily")
+    text = lambda df: df.select(F.date_format("window_start", "yyyy-MM-dd").alias("d"), "event_type", "n")
+    assert bag(text(out)) == bag(text(days))
