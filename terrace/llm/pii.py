@@ -1,7 +1,8 @@
 """Personal data: base patterns, and identifiers found by the contexts that base matches stand in.
 
-All of it is DataFrame expressions. Base matches are the seeds. Words that hold a digit are instances,
-the words ahead of them (one or two) and the literal in front of their value are lexical patterns.
+All of it is DataFrame expressions. Base matches are the seeds. Words that hold a digit or an ``@`` are
+instances, so that every base match covers one; the words ahead of them (one or two) and the literal in
+front of their value are lexical patterns.
 Rounds over the graph of patterns and instances score a pattern by the share of its instances that
 are known and an instance by the patterns it stands in; instances of high score in patterns of high
 confidence become spans of their own kind.
@@ -23,30 +24,66 @@ EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Z
 IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-#: A word that holds a digit.
-INSTANCE = r"(?<!\S)[^\s0-9]*+[0-9]\S*+"
-#: Code points ahead of an instance in which its context is sought.
-CONTEXT = 64
+#: A word that holds a digit or an ``@``.
+INSTANCE = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+"
+#: The one or two words at the end of what stands ahead of an instance.
+AHEAD = r"(?<!\S)(?:\S++\s++)?+\S++\s*+$"
 #: Rounds, distinct known instances that a pattern needs, and the scores that patterns and instances need.
 ROUNDS, MIN_SUPPORT, MIN_CONFIDENCE, MIN_SCORE = 3, 5, 0.8, 0.7
 SPAN = "array<struct<kind:string,start:int,end:int,value:string>>"
 
 
+def let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def prefix_sums(numbers: Column) -> Column:
+    """Running totals of an array by doubling: each round adds what stands 1, 2, 4, ... places ahead."""
+
+    def rounds(all_numbers: Column) -> Column:
+        steps = F.filter(F.array(*[F.lit(1 << k) for k in range(31)]), lambda step: step < F.size(all_numbers))
+
+        def add(sums: Column, step: Column) -> Column:
+            return F.transform(sums, lambda n, i: n + F.coalesce(F.get(sums, i - step), F.lit(0)))
+
+        return F.aggregate(steps, all_numbers, add)
+
+    return let(numbers, rounds)
+
+
+def pieces(text: str, pattern: str) -> Column:
+    """The matches of the pattern, the gaps ahead of them, and where each match ends in code points."""
+    matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    both = F.struct(matches.alias("m"), F.split(text, pattern, -1).alias("gaps"))
+
+    def with_ends(w: Column) -> Column:
+        # the pieces between matches tell where each match begins
+        gaps = F.slice(w["gaps"], 1, F.size(w["m"]))
+        ends = prefix_sums(F.zip_with(gaps, w["m"], lambda gap, m: F.length(gap) + F.length(m)))
+        return F.arrays_zip(gaps.alias("gap"), w["m"].alias("m"), ends.alias("end"))
+
+    return let(both, with_ends)
+
+
 def located(text: str, pattern: str, kind: str) -> Column:
     """Matches of the pattern with their places in code points, end exclusive."""
-    matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    # the pieces between matches tell where each match begins
-    gaps = F.split(text, pattern, -1)
-    widths = F.zip_with(F.slice(gaps, 1, F.size(matches)), matches, lambda gap, m: F.struct(F.length(gap).alias("gap"), m.alias("m")))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out"))
+    return F.transform(
+        pieces(text, pattern),
+        lambda w: F.struct(F.lit(kind).alias("kind"), (w["end"] - F.length(w["m"])).alias("start"), w["end"].alias("end"), w["m"].alias("value")),
+    )
+
 
-    def step(acc: Column, w: Column) -> Column:
-        begin = acc["at"] + w["gap"]
-        end = begin + F.length(w["m"])
-        one = F.struct(F.lit(kind).alias("kind"), begin.alias("start"), end.alias("end"), w["m"].alias("value"))
-        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
+def counts_below(points: Column, limits: Column) -> Column:
+    """How many of the points are below each of the rising limits; all are sorted once, no pairs are looked at."""
+    codes = F.sort_array(F.concat(F.transform(points, lambda p: 2 * p + 1), F.transform(limits, lambda at: 2 * at)))
 
-    return F.aggregate(widths, start, step, lambda acc: acc["out"])
+    def counted(sorted_codes: Column) -> Column:
+        sums = prefix_sums(F.transform(sorted_codes, lambda c: c % 2))
+        both = F.zip_with(sorted_codes, sums, lambda c, n: F.struct(c.alias("c"), n.alias("n")))
+        return F.transform(F.filter(both, lambda x: x["c"] % 2 == 0), lambda x: x["n"])
+
+    return let(codes, counted)
 
 
 def luhn(digits: Column) -> Column:
@@ -87,28 +124,30 @@ def base_spans(text: str) -> Column:
 
 
 def instances(text: str) -> Column:
-    """Words that hold a digit, with the text ahead of each: the context is read off its end."""
-    matches = F.regexp_extract_all(text, F.lit(INSTANCE), F.lit(0))
-    gaps = F.split(text, INSTANCE, -1)
-    widths = F.zip_with(
-        F.slice(gaps, 1, F.size(matches)), matches, lambda gap, m: F.struct(F.length(gap).alias("gap"), F.right(gap, F.lit(CONTEXT)).alias("ahead"), m.alias("m"))
-    )
+    """Words that hold a digit or an ``@``, each with the one or two words ahead of it."""
     kind = "array<struct<start:int,end:int,value:string,ahead:string>>"
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("out"))
+    found = F.transform(
+        pieces(text, INSTANCE),
+        lambda w: F.struct(
+            (w["end"] - F.length(w["m"])).alias("start"), w["end"].alias("end"), w["m"].alias("value"),
+            F.regexp_extract(w["gap"], AHEAD, 0).alias("ahead"),
+        ),
+    )
+    return F.when(F.col(text).rlike("[0-9@]"), found).otherwise(F.array().cast(kind))
 
-    def step(acc: Column, w: Column) -> Column:
-        begin = acc["at"] + w["gap"]
-        end = begin + F.length(w["m"])
-        one = F.struct(begin.alias("start"), end.alias("end"), w["m"].alias("value"), w["ahead"].alias("ahead"))
-        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
 
-    return F.when(F.col(text).rlike("[0-9]"), F.aggregate(widths, start, step, lambda acc: acc["out"])).otherwise(F.array().cast(kind))
+def with_seeds(words: str, base: str) -> Column:
+    """The words and whether a base span covers part of each: it begins before the word's end and does not end by its start."""
+    begun = counts_below(F.transform(base, lambda s: s["start"]), F.transform(words, lambda w: w["end"]))
+    ended = counts_below(F.transform(base, lambda s: s["end"]), F.transform(words, lambda w: w["start"] + 1))
+    seeds = F.zip_with(begun, ended, lambda b, e: b > e)
+    return F.zip_with(words, seeds, lambda w, seed: F.struct(w["start"].alias("start"), w["end"].alias("end"), w["value"].alias("value"), w["ahead"].alias("ahead"), seed.alias("seed")))
 
 
 def patterns_of(ahead: str, value: str) -> Column:
     """Lexical patterns of an instance: one word ahead, two words ahead, the literal in front of its value."""
-    tail = F.lower(F.regexp_extract(ahead, r"(\S++)\s*+$", 1))
-    two = F.lower(F.regexp_extract(ahead, r"(\S++\s++\S++)\s*+$", 1))
+    tail = F.lower(F.regexp_extract(ahead, r"(?<!\S)(\S++)\s*+$", 1))
+    two = F.lower(F.regexp_extract(ahead, r"(?<!\S)(\S++\s++\S++)\s*+$", 1))
     literal = F.lower(F.regexp_extract(value, r"^(\p{L}[\p{L}_-]*+[=:])", 1))
     return F.array_compact(
         F.array(
@@ -122,14 +161,14 @@ def patterns_of(ahead: str, value: str) -> Column:
 def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key``, ``mark`` (a digest of the text), ``base`` and ``words`` of every document; the text is read once and left behind."""
     body = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    return body.select("key", F.md5("text").alias("mark"), base_spans("text").alias("base"), instances("text").alias("words"))
+    found = body.select("key", F.md5("text").alias("mark"), base_spans("text").alias("base"), instances("text").alias("words"))
+    return found.select("key", "mark", "base", with_seeds("words", "base").alias("words"))
 
 
 def graph(scanned: DataFrame) -> DataFrame:
     """(``pattern``, ``instance``, ``seed``): which instance stands in which pattern, and whether a base match covers it."""
-    found = scanned.select(F.col("base"), F.explode("words").alias("w"))
-    seed = F.exists("base", lambda s: (s["start"] < F.col("w.end")) & (F.col("w.start") < s["end"]))
-    edges = found.select(F.lower("w.value").alias("instance"), seed.alias("seed"), F.explode(patterns_of("w.ahead", "w.value")).alias("pattern"))
+    found = scanned.select(F.explode("words").alias("w"))
+    edges = found.select(F.lower("w.value").alias("instance"), F.col("w.seed").alias("seed"), F.explode(patterns_of("w.ahead", "w.value")).alias("pattern"))
     return edges.groupBy("pattern", "instance").agg(F.max("seed").alias("seed"))
 
 
@@ -169,8 +208,7 @@ def discovered(scanned: DataFrame, rounds: int = ROUNDS, min_support: int = MIN_
     sure = patterns.filter((F.col("confidence") >= min_confidence) & (F.col("support") >= min_support)).select("pattern")
     new = scores.filter(~F.col("known") & (F.col("score") >= min_score)).select("instance")
     picked = edges.filter(~F.col("seed")).join(sure, "pattern", "left_semi").join(new, "instance", "left_semi").select("instance", "pattern").distinct()
-    free = scanned.select("key", "mark", "base", F.explode("words").alias("w"))
-    free = free.filter(~F.exists("base", lambda s: (s["start"] < F.col("w.end")) & (F.col("w.start") < s["end"])))
+    free = scanned.select("key", "mark", F.explode("words").alias("w")).filter(~F.col("w.seed"))
     places = free.select("key", "mark", "w.start", "w.end", "w.value", F.lower("w.value").alias("instance"), F.explode(patterns_of("w.ahead", "w.value")).alias("pattern"))
     spans = places.join(picked, ["instance", "pattern"], "left_semi")
     one = F.struct(F.lit(FOUND).alias("kind"), "start", "end", "value")

@@ -58,6 +58,41 @@ def test_contexts_find_unseen_identifiers(spark):
     assert all(rows[200 + i] == [] for i in range(30)) and all(len(rows[i]) == 1 for i in range(20))
 
 
+def test_seeds_without_digits_teach(spark):
+    names = [a + b for a in ("ann", "bob", "eve", "kim", "lou", "sam") for b in ("ford", "hill", "lake", "moor", "wood")]
+    known = [(i, f"Please write to member id: {n}@example.org or ask for it.") for i, n in enumerate(names)]
+    unseen = [(100 + i, f"Please write to member id: AB-{i}77x or ask for it.") for i in range(5)]
+    docs = spark.createDataFrame(known + unseen, "doc_id long, text string")
+    rows = {r["doc_id"]: [(s["kind"], s["value"]) for s in r["spans"]] for r in pii.find_personal_data(docs).collect()}
+    assert [rows[100 + i] for i in range(5)] == [[(pii.FOUND, f"AB-{i}77x")] for i in range(5)]
+
+
+def test_words_ahead_are_whole(spark):
+    long = "x" * 5000
+    docs = spark.createDataFrame([(1, f"a {long} 77 b  c 78 79")], "doc_id long, text string")
+    words = docs.select(pii.instances("text").alias("w")).first()["w"]
+    assert [w["ahead"] for w in words] == [f"a {long} ", "b  c ", ""]
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.text(alphabet="a9@.-+ ()1:", max_size=60), min_size=1, max_size=8))
+def test_seeds_as_by_pairs(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in pii.scan(docs).collect():
+        for w in r["words"]:
+            assert w["seed"] == any(s["start"] < w["end"] and w["start"] < s["end"] for s in r["base"])
+
+
+def test_work_grows_with_the_matches(spark):
+    """A text of 100,000 matches: every word is an instance, every second one a base span."""
+    text = "".join(f"w{i} a{i}@b.cc " for i in range(50_000))
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    row = pii.scan(docs).first()
+    assert len(row["words"]) == 100_000 and len(row["base"]) == 50_000
+    assert [w["seed"] for w in row["words"]] == [False, True] * 50_000
+    assert all(text[w["start"] : w["end"]] == w["value"] for w in row["words"])
+
+
 def test_redaction(spark):
     docs = spark.createDataFrame([(1, "mail a@b.cc or +49 30 1234567 now")], "doc_id long, text string")
     spans = docs.withColumn("spans", pii.base_spans("text"))
