@@ -201,12 +201,12 @@ def alert_stream(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(HISTORY_SQL)
 def history_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """History from a log of micro-batches."""
+    """History kept up to date by four micro-batches: only keys of a batch are replayed."""
     path, progress = scratch_path(spark, "changes"), scratch_path(spark, "progress")
     stream = _arriving_events(spark, sf).select("user_id", "event_type", "ts", "event_id")
-    runs.run_batches(stream, runs.change_log_writer(path), progress)
-    gone = F.col("event_type") == "error"
-    return runs.read_scd2(spark, path, ["user_id"], ["ts", "event_id"], gone, ["event_type"])
+    writer = runs.scd2_writer(path, ["user_id"], ["ts", "event_id"], F.col("event_type") == "error", ["event_type"])
+    runs.run_batches(stream, writer, progress)
+    return runs.read_history(spark, path)
 
 
 @query("""

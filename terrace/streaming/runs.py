@@ -8,13 +8,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from terrace.operators.changes import apply_changes_scd2, live_rows, merge_changes
+from terrace.operators.changes import GONE, history_from_changes, live_rows, merge_changes
 from terrace.operators.gold import partial_aggregate, refresh_aggregate
+from terrace.plans.joins import null_safe_join
 from terrace.session import discard, scratch_path
 from terrace.sources.tables import path_exists
 
 #: Micro-batches between two folds of a store.
 FOLD_EVERY = 16
+#: Folders over which the keys of a stored history are spread; a micro-batch rewrites those it touches.
+BUCKETS = 64
+BUCKET, MARK = "__bucket", "__mark"
 
 
 def run_to_files(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:
@@ -140,20 +144,70 @@ def run_updates(stream: DataFrame, keys: list[str], label: str) -> DataFrame:
     return newest.select(*keys, "__last.*").select(*stream.columns)
 
 
-def change_log_writer(path: str) -> Callable[[DataFrame, int], None]:
-    """Handler that appends the changes of each micro-batch to a log below ``path``."""
+def _versions(spark: SparkSession, stored: str, below: int | None = None) -> dict[int, dict[int, str]]:
+    """Per bucket its folders by batch, of batches written to their end (and below ``below``)."""
+    out: dict[int, dict[int, str]] = {}
+    for batch_id, folder in _folders(spark, stored, "batch_id").items():
+        if (below is None or batch_id < below) and path_exists(spark, f"{folder}/_SUCCESS"):
+            for bucket, part in _folders(spark, folder, BUCKET).items():
+                out.setdefault(bucket, {})[batch_id] = part
+    return out
+
+
+def scd2_writer(
+    path: str, keys: list[str], seq: list[str], delete_when: Column, track: list[str],
+    chunk: Column | None = None, buckets: int = BUCKETS, fold_every: int = FOLD_EVERY,
+) -> Callable[[DataFrame, int], None]:
+    """Handler that keeps the history of all changes below ``path``; :func:`read_history` opens it.
+
+    Changes are appended to a log. Keys of the batch are replayed from the log, which is exact for late and
+    repeated changes; the history of other keys in the same buckets is taken over, other buckets are neither
+    read nor written. A batch writes its buckets under its own number and reads only those of earlier batches, so
+    a repeated batch replaces itself. Of each bucket the newest version and the one before it stay.
+    """
+    log, stored = f"{path}-log", f"{path}-history"
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch, path, batch_id)
+        spark = batch.sparkSession
+        bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int").alias(BUCKET)
+        write_batch(batch.select(*keys, *track, *seq, F.coalesce(delete_when, F.lit(False)).alias(GONE), bucket), log, batch_id)
+        if batch_id not in _folders(spark, log, "batch_id"):
+            return  # an empty batch
+        fresh = spark.read.parquet(f"{log}/batch_id={batch_id}")
+        marks = fresh.select(BUCKET).distinct()
+        touched = [r[0] for r in marks.collect()]  # at most ``buckets``
+        names = fresh.select(*keys).distinct()
+        changes = null_safe_join(read_batches(spark, log).filter(F.col(BUCKET).isin(touched)), names, keys, "left_semi")
+        whole = history_from_changes(changes, keys, seq, F.col(GONE), track, chunk)
+        before = _versions(spark, stored, batch_id)
+        held = [before[b][max(before[b])] for b in touched if b in before]
+        if held:
+            others = spark.read.parquet(*held).filter(~F.col(MARK)).drop(MARK)
+            whole = whole.unionByName(null_safe_join(others, names, keys, "left_anti"))
+        # a bucket without rows has a folder too, so that it hides its older version
+        rows = whole.select("*", bucket, F.lit(False).alias(MARK)).unionByName(marks.withColumn(MARK, F.lit(True)), allowMissingColumns=True)
+        rows.hint("rebalance", F.col(BUCKET)).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(BUCKET).parquet(
+            f"{stored}/batch_id={batch_id}"
+        )
+        for b in touched:
+            for old in sorted(before.get(b, {}))[:-1]:
+                discard(spark, before[b][old])
+        for folder in _folders(spark, stored, "batch_id").values():
+            if not _folders(spark, folder, BUCKET):
+                discard(spark, folder)
+        if batch_id % fold_every == fold_every - 1:
+            fold_batches(spark, log, batch_id, lambda rows: rows.hint("rebalance", F.col(BUCKET)).sortWithinPartitions(BUCKET))
 
     return handle
 
 
-def read_scd2(
-    spark: SparkSession, path: str, keys: list[str], seq: list[str], delete_when: Column, track: list[str], chunk: Column | None = None
-) -> DataFrame:
-    """History of a log kept by :func:`change_log_writer`; late changes fall into place."""
-    return apply_changes_scd2(None, read_batches(spark, path), keys, seq, delete_when, track, chunk)
+def read_history(spark: SparkSession, path: str) -> DataFrame:
+    """The history kept by :func:`scd2_writer`: of each bucket its newest complete version."""
+    versions = _versions(spark, f"{path}-history")
+    if not versions:
+        raise ValueError("no batch with rows has been stored")
+    newest = [folders[max(folders)] for folders in versions.values()]
+    return spark.read.parquet(*newest).filter(~F.col(MARK)).drop(MARK)
 
 
 def aggregate_writer(path: str, keys: list[str], measure: Column, member: Column, fold_every: int = FOLD_EVERY) -> Callable[[DataFrame, int], None]:

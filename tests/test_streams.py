@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from terrace.functions.money import cents
 from terrace.operators import audit, gold
-from terrace.operators.changes import apply_changes_scd1
+from terrace.operators.changes import apply_changes_scd1, apply_changes_scd2
 from terrace.session import scratch_path
 from terrace.sources.files import ingest_files_stream
 from terrace.streaming import alerts, flows, runs
@@ -228,3 +228,44 @@ def test_state_ends_with_the_day(spark, slices):
     out = runs.run_updates(counted, ["window_start", "window_end", "event_type"], "daily")
     text = lambda df: df.select(F.date_format("window_start", "yyyy-MM-dd").alias("d"), "event_type", "n")
     assert bag(text(out)) == bag(text(days))
+
+
+def test_history_writer_replays_only_touched_keys(spark):
+    """Four batches with late, repeated and tied changes equal one batch; other buckets keep their files."""
+    cols = "k int, t timestamp_ntz, n int, op string, v string"
+    at = lambda d: ts(f"2024-01-{d:02}T00:00:00")
+    batches = [
+        [(k, at(5), 0, "u", "a") for k in range(20)] + [(None, at(5), 0, "u", "z")],
+        [(1, at(7), 0, "u", "a"), (2, at(7), 0, "d", None), (None, at(6), 0, "u", "y")],  # repeat of a value, delete
+        [(1, at(6), 0, "u", "b"), (1, at(2), 0, "u", "c"), (1, at(7), 0, "u", "a"), (2, at(1), 0, "u", "q")],  # late ones split rows
+        [(3, at(5), 1, "d", None)],  # the later change of an instant takes the row away
+    ]
+    path = scratch_path(spark, "history")
+    write = runs.scd2_writer(path, ["k"], ["t", "n"], F.col("op") == "d", ["v"], buckets=4, fold_every=2)
+    want = lambda n: bag(apply_changes_scd2(None, spark.createDataFrame(sum(batches[:n], []), cols), ["k"], ["t", "n"], F.col("op") == "d", ["v"]), *names)
+    names = ["k", "v", "n", "valid_from", "valid_to"]
+    held = []
+    for i, rows in enumerate(batches):
+        write(spark.createDataFrame(rows, cols), i)
+        assert bag(runs.read_history(spark, path), *names) == want(i + 1)
+        held.append(set(runs.read_history(spark, path).inputFiles()))
+    assert len(held[2] & held[3]) >= 3  # the last batch has one key, so one bucket of four is new
+    write(spark.createDataFrame(batches[3], cols), 3)  # delivered again
+    write(spark.createDataFrame([], cols), 4)
+    assert bag(runs.read_history(spark, path), *names) == want(4)
+    assert all(len(found) <= 2 for found in runs._versions(spark, f"{path}-history").values())
+
+
+def test_history_of_a_bucket_that_becomes_empty(spark):
+    cols = "k int, t timestamp_ntz, n int, op string, v string"
+    path = scratch_path(spark, "history")
+    write = runs.scd2_writer(path, ["k"], ["t", "n"], F.col("op") == "d", ["v"])
+    write(spark.createDataFrame([(1, ts("2024-01-01T00:00:00"), 0, "u", "a")], cols), 0)
+    assert runs.read_history(spark, path).count() == 1
+    write(spark.createDataFrame([(1, ts("2024-01-01T00:00:00"), 1, "d", None)], cols), 1)
+    assert runs.read_history(spark, path).count() == 0
+
+
+def test_no_history_yet(spark):
+    with pytest.raises(ValueError):
+        runs.read_history(spark, scratch_path(spark, "history"))
