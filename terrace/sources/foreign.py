@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrace.operators.snapshots import diff_snapshots
-from terrace.plans.joins import null_safe_join
+from terrace.plans.joins import any_of, null_safe_join
 from terrace.sources.tables import path_exists
 
 
@@ -46,18 +46,29 @@ def read_foreign_parallel(
     ).load()
 
 
-def join_federated(local: DataFrame, remote: DataFrame, on: str, max_keys: int = 10_000, how: str = "inner") -> DataFrame:
-    """Join with a remote table, shrinking it first to the local keys when those are few.
+def key_ranges(keys: DataFrame, on: str, ranges: int) -> DataFrame:
+    """At most ``ranges`` rows (low, high) that cover every key but NULL, about equally many rows of ``keys`` in each.
 
-    At most ``max_keys + 1`` distinct keys reach the driver. With more keys the join is left to
-    Spark, which reads the whole remote side.
+    Spark range-partitions the keys, so any type with an order will do; each partition is one range.
+    """
+    cut = keys.select(F.col(on).alias("__k")).filter(F.col("__k").isNotNull()).repartitionByRange(ranges, "__k")
+    return cut.groupBy(F.spark_partition_id().alias("__part")).agg(F.min("__k").alias("low"), F.max("__k").alias("high")).drop("__part")
+
+
+def join_federated(local: DataFrame, remote: DataFrame, on: str, ranges: int = 64, how: str = "inner") -> DataFrame:
+    """Join with a remote table of which only the ranges that the local keys cover are read.
+
+    At most ``ranges`` pairs of bounds reach the driver, however many keys there are; a range of one
+    key becomes an equality. They push down to the remote read, the join itself decides about each row.
     """
     if how not in ("inner", "left"):
         raise ValueError("only inner and left joins may shrink the remote side")
-    keys = [r[0] for r in local.select(on).filter(F.col(on).isNotNull()).distinct().limit(max_keys + 1).collect()]
-    if len(keys) <= max_keys:
-        remote = remote.filter(F.col(on).isin(keys) if keys else F.lit(False))
-    return local.join(remote, on, how)
+    bounds = key_ranges(local, on, ranges).collect()
+    at = F.col(on)
+    single = [r["low"] for r in bounds if r["low"] == r["high"]]
+    inside = [at.between(r["low"], r["high"]) for r in bounds if r["low"] != r["high"]]
+    covered = any_of(([at.isin(single)] if single else []) + inside)
+    return local.join(remote.filter(covered), on, how)
 
 
 def union_sources(sources: dict[str, DataFrame]) -> DataFrame:

@@ -101,15 +101,31 @@ def test_federated_join_pushes_keys(spark, sf):
     local = spark.createDataFrame([(1, "x"), (2, "y"), (2, "z"), (None, "n")], "k int, tag string")
     shrunk = foreign.join_federated(local, remote, "k")
     assert "In(c_nationkey, [1,2])" in executed_plan(shrunk)
-    whole = foreign.join_federated(local, remote, "k", max_keys=1)
-    assert "In(c_nationkey" not in executed_plan(whole)
-    assert bag(shrunk) == bag(whole)
+    whole = foreign.join_federated(local, remote, "k", ranges=1)
+    assert "GreaterThanOrEqual(c_nationkey,1)" in executed_plan(whole) and "LessThanOrEqual(c_nationkey,2)" in executed_plan(whole)
+    assert bag(shrunk) == bag(whole) == bag(local.join(remote, "k"))
     assert foreign.join_federated(local.filter("k is null"), remote, "k").count() == 0
     assert foreign.join_federated(local, remote, "k", how="left").count() == shrunk.count() + 1
     with pytest.raises(ValueError):
         foreign.join_federated(local, remote, "k", how="right")
 
 
+@pytest.mark.parametrize("kind", ["bigint", "string", "date", "double"])
+def test_federated_join_by_ranges_of_any_type(spark, kind):
+    """Many keys in two far clusters: few ranges apart from each other cover them, and the join is the plain one."""
+    key = {"bigint": F.col("id"), "double": F.col("id") / 4, "string": F.format_string("k%07d", "id"), "date": F.date_add(F.lit("2000-01-01").cast("date"), F.col("id").cast("int"))}[kind]
+    every = spark.range(0, 30_000).select(key.alias("k"), "id")
+    ends = every.filter("id < 3000 or id >= 27000").filter("id % 3 = 0").select("k").unionAll(spark.range(2).select(F.lit(None).cast(every.schema["k"].dataType).alias("k")))
+    bounds = sorted((r["low"], r["high"]) for r in foreign.key_ranges(ends, "k", 16).collect())
+    keys = sorted(r["k"] for r in ends.dropna().collect())
+    assert 8 <= len(bounds) <= 16 and all(a[1] < b[0] for a, b in zip(bounds, bounds[1:]))
+    assert all(any(low <= k <= high for low, high in bounds) for k in keys)
+    # the ranges are apart, so at most one of them spans the gap
+    assert sum(low <= keys[999] and high >= keys[1000] for low, high in bounds) <= 1
+    out = foreign.join_federated(ends, every, "k", ranges=16)
+    assert out.count() == 2000 and bag(out) == bag(ends.join(every, "k"))
+
+
 def test_reconcile_sources(spark):
     a = spark.createDataFrame([(1, "x"), (2, "y"), (3, "z")], "k int, v string")
     assert foreign.reconcile_sources(a, a.orderBy(F.desc("k")), ["k"]).count() == 0
