@@ -63,18 +63,30 @@ def test_pseudonyms_join(spark, data):
 
 
 TEXT = 'mail a.b@c.org, ip 10.0.0.1, call +1 (555) 555-0100, card 1234 5678 1234 5678, token = "ab12ef"'
+SECRET = "api_key=Zq81mmplx04Trw"
 
 
 def test_redaction_and_scan(spark):
-    df = spark.createDataFrame([(1, TEXT), (2, "nothing"), (3, None)], "id int, text string")
+    df = spark.createDataFrame([(1, f"{TEXT}, {SECRET}"), (2, "nothing"), (3, None)], "id int, text string")
     out = {r["id"]: r["text"] for r in p.redact_text(df, "text").collect()}
-    assert out == {1: "mail <EMAIL>, ip <IP>, call <PHONE>, card <CARD>, <TOKEN>", 2: "nothing", 3: None}
+    assert out == {1: "mail <EMAIL>, ip <IP>, call <PHONE>, card <CARD>, <TOKEN>, <SECRET>", 2: "nothing", 3: None}
     scan = p.scan_sensitive(df, ["text"])
     assert bag(scan, "tag", "hits", "n_rows") == {(t, 1, 3): 1 for t in SENSITIVE}
     tags = p.tags_from_scan(scan.withColumn("object", F.lit("docs")), "object", 0.5)
     assert tags.count() == 0
 
 
+def test_common_forms(spark):
+    cases = [
+        ("call +49 30 1234567 now", "call <PHONE> now"), ("call +1 555-123-4567 now", "call <PHONE> now"),
+        ("call +1 (555) 123-4567 12 times", "call <PHONE> 12 times"), ("+44 20 7946 0958.", "<PHONE>."),
+        ("secret_key=abcdef0123456789", "<SECRET>"), ('API-KEY: "AKIA1234567890"', '<SECRET>"'), ("access: administrator", "access: administrator"),
+        ("999.999.999.999", "999.999.999.999"), ("at 255.0.10.1 up", "at <IP> up"), ("1 + 2 = 3", "1 + 2 = 3"), (None, None),
+    ]
+    df = spark.createDataFrame([(i, text) for i, (text, _) in enumerate(cases)], "id int, t string")
+    assert {r["id"]: r["t"] for r in p.redact_text(df, "t").collect()} == {i: want for i, (_, want) in enumerate(cases)}
+
+
 def test_addresses(spark):
     df = spark.createDataFrame([("10.0.0.1",), ("256.0.0.1",), ("1.2.3",), ("a.b.c.d",), (None,)], "a string")
     assert [r[0] for r in df.select(p.ipv4_number("a")).collect()] == [167772161, None, None, None, None]
