@@ -9,9 +9,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from terrace.functions.times import micros
+from terrace.plans.chunks import HOT_KEYS, HOT_ROWS
+from terrace.plans.joins import null_safe_join
 from terrace.sources.foreign import source_digest
 from terrace.sources.tables import folder_bytes
 
+#: Column that tells apart the rows of a hot key in tables of :func:`bucket_pair`.
+SALT = "__salt"
+
 
 def write_partitioned(
     df: DataFrame, path: str, by: list[str], sort: list[str] | None = None, max_records: int = 0, mode: str = "overwrite"
@@ -210,3 +215,28 @@ def bucket_table(df: DataFrame, name: str, keys: list[str], n: int, path: str |
     if path:
         writer = writer.option("path", path)
     writer.saveAsTable(name)
+
+
+def bucket_pair(
+    large: DataFrame, other: DataFrame, names: tuple[str, str], keys: list[str], n: int,
+    paths: tuple[str, str] | None = None, hot_rows: int = HOT_ROWS,
+) -> None:
+    """Save two tables that join on ``keys`` and ``__salt`` without a shuffle, and without a bucket of one hot key.
+
+    Rows of ``large`` whose key has more than ``hot_rows`` rows there, and more than a ``HOT_KEYS``-th of all, are dealt
+    to one salt for each ``hot_rows`` of them (``n`` at most); each row of ``other`` with that key is copied to all of them. Other
+    keys have the salt 0. So inner joins, and outer ones that keep ``large``, give what they give on the keys alone; a
+    reader of ``other`` by itself takes ``__salt = 0``. Both tables have the columns ``keys``; NULL is a key when dealt.
+    """
+    counted = large.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    share = counted.agg(F.sum("__n") / HOT_KEYS).scalar()
+    hot = counted.filter((F.col("__n") > hot_rows) & (F.col("__n") > share))
+    # at most HOT_KEYS keys; a shuffled join would gather each of them
+    hot = F.broadcast(hot.select(*keys, F.least(F.ceil(F.col("__n") / hot_rows), F.lit(n)).cast("int").alias("__salts")))
+    salts = F.coalesce("__salts", F.lit(1))
+    # any spread will do, since the other side is there for every salt
+    placed = null_safe_join(large.withColumn("__at", F.monotonically_increasing_id()), hot, keys, "left")
+    dealt = placed.withColumn(SALT, F.pmod("__at", salts).cast("int")).select(*large.columns, SALT)
+    copied = null_safe_join(other, hot, keys, "left").withColumn(SALT, F.explode(F.sequence(F.lit(0), salts - 1))).select(*other.columns, SALT)
+    for i, df in enumerate((dealt, copied)):
+        bucket_table(df, names[i], [*keys, SALT], n, paths[i] if paths else None)

@@ -429,3 +429,21 @@ def bucket_table(spark: SparkSession, sf: str) -> DataFrame:
     return joined.groupBy("o_orderpriority").agg(
         F.count(F.lit(1)).alias("n"), F.sum("l_quantity").cast("bigint").alias("quantity")
     )
+
+
+@query("""
+SELECT l_returnflag, l_linestatus, s.top AS top_price, count(*) AS n, CAST(sum(l_quantity) AS BIGINT) AS quantity
+FROM lineitem JOIN (SELECT l_returnflag AS flag, max(l_extendedprice) AS top FROM lineitem GROUP BY 1) s ON l_returnflag = s.flag
+GROUP BY ALL
+""")
+def bucket_pair(spark: SparkSession, sf: str) -> DataFrame:
+    """Line items and a table by return flag, of which each holds a large share of all rows: bucketed with salts, joined without a shuffle."""
+    line = table(spark, sf, "lineitem")
+    tops = line.groupBy("l_returnflag").agg(F.max("l_extendedprice").alias("top_price"))
+    tag = scratch_path(spark, "b").rsplit("-", 1)[1]
+    names = (f"flagged_{tag}", f"tops_{tag}")
+    layout.bucket_pair(line, tops, names, ["l_returnflag"], 8, tuple(scratch_path(spark, n) for n in names), hot_rows=1_000)
+    joined = spark.table(names[0]).join(spark.table(names[1]), ["l_returnflag", layout.SALT])
+    return joined.groupBy("l_returnflag", "l_linestatus", "top_price").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("l_quantity").cast("bigint").alias("quantity")
+    )

@@ -84,6 +84,32 @@ def test_buckets_join_without_a_shuffle(spark, sf, line):
     assert "SortMergeJoin" in plan and "Exchange" not in plan
 
 
+def test_salted_buckets(spark):
+    """A hot key lies in several buckets; joins give the rows of the plain join, also of NULL keys and keys of one side."""
+    rows = [(1, k) for k in range(900)] + [(None, k) for k in range(300)] + [(k, 0) for k in range(2, 40)]
+    large = spark.createDataFrame(rows, "k int, v int").repartition(3)
+    other = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "n"), (99, "z")], "k int, w string")
+    tag = scratch_path(spark, "b").rsplit("-", 1)[1]
+    names = (f"large_{tag}", f"other_{tag}")
+    layout.bucket_pair(large, other, names, ["k"], 8, tuple(scratch_path(spark, n) for n in names), hot_rows=100)
+    left, right = (spark.table(n) for n in names)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for how in ("inner", "left"):
+            out = left.join(right, ["k", layout.SALT], how)
+            assert bag(out, "k", "v", "w") == bag(large.join(other, "k", how), "k", "v", "w")
+            plan = executed_plan(out)
+            assert "SortMergeJoin" in plan and "Exchange" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert bag(left, "k", "v") == bag(large, "k", "v") and bag(right.filter("__salt = 0"), "k", "w") == bag(other, "k", "w")
+    sizes = {r["k"]: r["most"] for r in left.groupBy("k", layout.SALT).count().groupBy("k").agg(F.max("count").alias("most")).collect()}
+    assert sizes[1] < 200 and sizes[None] < 150 and sizes[2] == 1
+    buckets = left.filter("k = 1").select(F.pmod(F.hash("k", layout.SALT), F.lit(8))).distinct().count()
+    assert buckets > 2
+
+
 def test_star_and_groupings(spark):
     fact = spark.createDataFrame([(1, 10), (2, 20), (None, 30)], "k int, v int")
     dim = spark.createDataFrame([(1, "one", 5)], "dk int, name string, size int")
