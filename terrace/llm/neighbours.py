@@ -125,7 +125,10 @@ def sample_rows(docs: DataFrame, labels: DataFrame, key: str, label: str, text:
 
 
 def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "quality", text: str = "text", size: int = SAMPLE) -> Model:
-    """A model of ``size`` labelled rows at most; only their term counts reach the driver."""
+    """A model of ``size`` labelled rows at most; only their term counts reach the driver.
+
+    Of several texts under one key the smallest is learned; a null text counts as empty.
+    """
     rows = sample_rows(docs, labels, key, label, text, size)
     kind = docs.schema[key].dataType.simpleString()
 
@@ -136,9 +139,10 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", label: str =
                 [batch.column("key"), batch.column("label"), pa.array([c.tobytes() for c in counts], pa.binary())], ["key", "label", "counts"]
             )
 
-    got = rows.select(F.col(key).alias("key"), F.col("__label").cast("double").alias("label"), "text")
-    found = got.mapInArrow(run, f"key {kind}, label double, counts binary").collect()
-    found = sorted(found, key=lambda r: (r["key"], r["counts"]))[:size]
+    # one text a key, so that no more than ``size`` rows reach the driver
+    drawn = F.min(F.struct(F.coalesce("text", F.lit("")).alias("text"), F.col("__label").cast("double").alias("label"))).alias("one")
+    got = rows.groupBy(F.col(key).alias("key")).agg(drawn).select("key", "one.label", "one.text")
+    found = sorted(got.mapInArrow(run, f"key {kind}, label double, counts binary").collect(), key=lambda r: r["key"])
     counts = np.array([np.frombuffer(r["counts"], dtype=np.float32) for r in found]).reshape(len(found), TERMS)
     return fit(counts, np.array([r["label"] for r in found]))
 

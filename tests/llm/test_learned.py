@@ -5,6 +5,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import regex
 from pyspark.sql import functions as F
@@ -41,6 +42,33 @@ def test_quality_awkward(spark):
     assert neighbours.scored(docs.limit(0), neighbours.fit(np.zeros((0, neighbours.TERMS)), np.zeros(0))).count() == 0
 
 
+def test_votes_against_all_cosines(spark):
+    """Scores are the mean label of the nearest sample vectors, weighted by cosine, found one pair at a time."""
+    docs = table(spark, "/root/testdata/sf0.001", "documents")
+    model = neighbours.learn(docs, table(spark, "/root/testdata/sf0.001", "labels"))
+    texts = [r["text"] or "" for r in docs.orderBy("doc_id").limit(60).collect()]
+    found = {r["doc_id"]: r["score"] for r in neighbours.scored(docs.orderBy("doc_id").limit(60), model).collect()}
+    checked = 0
+    for key, text in zip([r["doc_id"] for r in docs.orderBy("doc_id").limit(60).collect()], texts, strict=True):
+        place = model.project(neighbours.term_counts(pa.array([text])))[0]
+        cosines = sorted(((float(np.dot(place, v)), float(q)) for v, q in zip(model.vectors, model.labels, strict=True)), key=lambda c: -c[0])
+        edge = cosines[neighbours.NEIGHBOURS - 1][0]
+        if abs(edge - cosines[neighbours.NEIGHBOURS][0]) < 1e-6 or edge <= 0:
+            continue  # the last neighbour is open
+        near = cosines[: neighbours.NEIGHBOURS]
+        assert found[key] == pytest.approx(sum(c * q for c, q in near) / sum(c for c, _ in near), abs=1e-4)
+        checked += 1
+    assert checked > 30
+
+
+def test_sample_has_one_row_a_key(spark):
+    docs = spark.createDataFrame([(1, "b b b"), (1, "a a a"), (1, "a a a"), (2, None), (3, "c")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (1, 0), (2, 1), (4, 1), (None, 1)], "doc_id long, quality int")
+    model = neighbours.learn(docs, labels)
+    assert model.labels.tolist() == [0.0, 1.0]
+    assert np.allclose(model.vectors[0], model.project(neighbours.term_counts(pa.array(["a a a"])))[0], atol=1e-5)
+
+
 def test_language_on_held_out_rows(spark):
     rows = QUERIES["op8_language"](spark, SF).collect()
     known = {r["doc_id"]: r["lang"] for r in table(spark, SF, "documents").select("doc_id", "lang").collect()}
