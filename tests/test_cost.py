@@ -128,3 +128,16 @@ def test_a_pool_of_unknown_cents_keeps_its_drivers(spark):
 def test_usage_without_a_price_is_counted(spark):
     priced = spark.createDataFrame([("w", 2.0, 4), ("w", 3.0, None), ("w", None, None), ("v", 1.0, 1)], "ws string, q double, cost_cents long")
     assert bag(cost.unpriced_usage(priced, ["ws"], "q")) == {("w", 2, 3.0): 1}
+
+
+def test_price_lists_are_not_broadcast(spark):
+    """A list made of few columns of a small file may be long: Spark's guess of its size must not send it to the driver."""
+    prices = spark.range(50).select(F.col("id").cast("string").alias("sku"), F.explode(F.sequence(F.lit(1), F.lit(9))).alias("m"))
+    first = F.make_date(F.lit(2024), "m", F.lit(1)).cast("timestamp_ntz")
+    until = F.make_date(F.lit(2024), F.col("m") + 1, F.lit(1)).cast("timestamp_ntz")
+    prices = prices.select("sku", first.alias("valid_from"), until.alias("valid_to"), (F.col("m") * 10).cast("bigint").alias("unit_cents"))
+    use = spark.createDataFrame([(1, "7", D2, 1.0), (2, "99", D2, 1.0), (3, None, D2, 1.0)], "id int, sku string, at timestamp_ntz, q double")
+    out = cost.price_usage(use, prices, ["sku"], "at", "q")
+    assert bag(out, "id", "cost_cents") == {(1, 20): 1, (2, None): 1, (3, None): 1}
+    plan = executed_plan(out)
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
