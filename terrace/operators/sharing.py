@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrace.operators.layout import write_partitioned
+from terrace.plans.joins import any_of
 
 
 def build_share(df: DataFrame, columns: list[str], predicate: Column | None = None) -> DataFrame:
@@ -24,8 +25,14 @@ def write_shares(shared: DataFrame, path: str) -> None:
 
 
 def share_usage(grants: DataFrame, reads: DataFrame, on: list[str]) -> DataFrame:
-    """(finding, on): ``ungranted_read`` for reads without a grant, ``unused_grant`` for the reverse."""
-    granted, read = grants.select(*on).distinct(), reads.select(*on).distinct()
-    ungranted = read.join(granted, on, "left_anti").select(F.lit("ungranted_read").alias("finding"), *on)
-    unused = granted.join(read, on, "left_anti").select(F.lit("unused_grant").alias("finding"), *on)
-    return ungranted.unionByName(unused)
+    """(finding, on): ``ungranted_read`` for reads without a grant, ``unused_grant`` for the reverse.
+
+    NULL equals nothing, so a read and a grant that hold one are both found. Both sides are counted
+    off in one aggregate, which a task holds once: joins would keep and sort each side twice.
+    """
+    seen = grants.select(*on, F.lit(1).alias("__side")).unionByName(reads.select(*on, F.lit(2).alias("__side")))
+    sides = seen.groupBy(*on).agg(F.bit_or("__side").alias("__sides"))
+    unknown = any_of([F.col(c).isNull() for c in on])
+    one_sided = F.when(F.col("__sides") == 1, F.array(F.lit("unused_grant"))).when(F.col("__sides") == 2, F.array(F.lit("ungranted_read")))
+    found = one_sided.when(unknown, F.array(F.lit("ungranted_read"), F.lit("unused_grant")))
+    return sides.select(F.explode(found).alias("finding"), *on)

@@ -348,3 +348,16 @@ def test_bit_sets_lose_no_file(spark, line, tmp_path):
         assert not gone & {r[0] for r in stored.filter(F.col("l_partkey") == value).select("_metadata.file_path").distinct().collect()}
         skipped += len(gone)
     assert skipped >= 8
+
+
+def test_share_usage_in_one_aggregate(spark):
+    """A task holds each pair once: nothing is joined; NULL equals nothing, so it is found on both sides."""
+    kind = "a int, b string"
+    grants = spark.createDataFrame([(1, "x"), (1, "x"), (2, "x"), (None, "n"), (3, None)], kind)
+    reads = spark.createDataFrame([(1, "x"), (4, "y"), (4, "y"), (None, "n")], kind)
+    use = sharing.share_usage(grants, reads, ["a", "b"])
+    assert bag(use) == {
+        ("unused_grant", 2, "x"): 1, ("unused_grant", None, "n"): 1, ("unused_grant", 3, None): 1,
+        ("ungranted_read", 4, "y"): 1, ("ungranted_read", None, "n"): 1,
+    }
+    assert "Join" not in executed_plan(use)
