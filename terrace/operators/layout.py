@@ -17,6 +17,13 @@ from terrace.sources.tables import folder_bytes
 #: Column that tells apart the rows of a hot key in tables of :func:`bucket_pair`.
 SALT = "__salt"
 
+#: Rows of a file or bucket, on average, beyond which there are more of them.
+FILE_ROWS = 1 << 20
+
+
+def parts_for(rows: int, least: int) -> int:
+    """Files or buckets for so many rows: ``least``, or more where these would hold above ``FILE_ROWS`` each."""
+    return max(least, ceil(rows / FILE_ROWS))
 
 def write_partitioned(
     df: DataFrame, path: str, by: list[str], sort: list[str] | None = None, max_records: int = 0, mode: str = "overwrite"
@@ -116,8 +123,9 @@ def cluster_layout(df: DataFrame, cols: list[str], method: str = "range", files:
     ``range`` sorts by the columns in turn; ``zorder`` interleaves the bits of each column's
     quantile rank, so that a filter on any of them skips files. ``hilbert`` walks the ranks of two
     columns so that neighbours on the way are neighbours in both, which leaves fewer files for a range
-    on both. Numbers, dates, times and texts may be clustered. Quantile cuts (at most ``2**bits``
-    numbers per column) are the only values that reach the driver.
+    on both. Numbers, dates, times and texts may be clustered. There are ``files`` files, or more where
+    these would hold above ``FILE_ROWS`` rows each; by default Spark chooses. Quantile cuts (at most
+    ``2**bits`` numbers per column) and a count are the only values that reach the driver.
     """
     if method == "range":
         by: list[Column] = [F.col(c) for c in cols]
@@ -138,7 +146,7 @@ def cluster_layout(df: DataFrame, cols: list[str], method: str = "range", files:
         by = [F.col("__z")]
     else:
         raise ValueError(f"unknown method {method!r}")
-    ranged = df.repartitionByRange(files, *by) if files else df.repartitionByRange(*by)
+    ranged = df.repartitionByRange(parts_for(df.count(), files), *by) if files else df.repartitionByRange(*by)
     extra = [c for c in df.columns if c.startswith("__z")]
     return ranged.sortWithinPartitions(*by).drop(*extra)
 
@@ -210,7 +218,10 @@ def files_without(filters: DataFrame, files: DataFrame, value: Column, bits: int
 
 
 def bucket_table(df: DataFrame, name: str, keys: list[str], n: int, path: str | None = None) -> None:
-    """Save a table hashed and sorted on ``keys`` so that later joins on them need no shuffle."""
+    """Save a table hashed and sorted on ``keys`` so that later joins on them need no shuffle.
+
+    Tables joined so have the same ``n``; :func:`parts_for` gives one that grows with the larger table.
+    """
     writer = df.repartition(n, *keys).write.mode("overwrite").format("parquet").bucketBy(n, *keys).sortBy(*keys)
     if path:
         writer = writer.option("path", path)
@@ -240,3 +251,5 @@ def bucket_pair(
     copied = null_safe_join(other, hot, keys, "left").withColumn(SALT, F.explode(F.sequence(F.lit(0), salts - 1))).select(*other.columns, SALT)
     for i, df in enumerate((dealt, copied)):
         bucket_table(df, names[i], [*keys, SALT], n, paths[i] if paths else None)
+    There are ``n`` buckets, or more where these would hold above ``FILE_ROWS`` rows of ``large`` each.
+    n = parts_for(large.count(), n)

@@ -350,6 +350,28 @@ def test_bit_sets_lose_no_file(spark, line, tmp_path):
     assert skipped >= 8
 
 
+def test_buckets_grow_with_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(layout, "FILE_ROWS", 100)
+    large, other = spark.range(3000).select((F.col("id") % 3).alias("k"), "id"), spark.range(3).select(F.col("id").alias("k"))
+    tag = scratch_path(spark, "b").rsplit("-", 1)[1]
+    names = (f"large_{tag}", f"other_{tag}")
+    layout.bucket_pair(large, other, names, ["k"], 8, tuple(scratch_path(spark, n) for n in names), hot_rows=100)
+    for name in names:
+        found = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {name}").collect()}
+        assert found["Num Buckets"] == "30"
+    joined = spark.table(names[0]).join(spark.table(names[1]), ["k", layout.SALT])
+    assert bag(joined, "k", "id") == bag(large, "k", "id")
+    assert layout.parts_for(0, 8) == layout.parts_for(800, 8) == 8 and layout.parts_for(801, 8) == 9
+
+
+def test_files_grow_with_the_rows(spark, line, tmp_path, monkeypatch):
+    monkeypatch.setattr(layout, "FILE_ROWS", 200)
+    path = str(tmp_path / "many")
+    layout.cluster_layout(line, ["l_orderkey"], "range", files=8).write.parquet(path)
+    sizes = [r["count"] for r in spark.read.parquet(path).groupBy("_metadata.file_path").count().collect()]
+    assert sum(sizes) == line.count() and len(sizes) > 20 and max(sizes) < 600
+
+
 def test_share_usage_in_one_aggregate(spark):
     """A task holds each pair once: nothing is joined; NULL equals nothing, so it is found on both sides."""
     kind = "a int, b string"
