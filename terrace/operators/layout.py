@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from itertools import product
 from math import ceil
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,7 +17,6 @@ from terrace.sources.tables import folder_bytes
 
 #: Column that tells apart the rows of a hot key in tables of :func:`bucket_pair`.
 SALT = "__salt"
-
 #: Rows of a file or bucket, on average, beyond which there are more of them.
 FILE_ROWS = 1 << 20
 
@@ -25,6 +25,7 @@ def parts_for(rows: int, least: int) -> int:
     """Files or buckets for so many rows: ``least``, or more where these would hold above ``FILE_ROWS`` each."""
     return max(least, ceil(rows / FILE_ROWS))
 
+
 def write_partitioned(
     df: DataFrame, path: str, by: list[str], sort: list[str] | None = None, max_records: int = 0, mode: str = "overwrite"
 ) -> None:
@@ -63,18 +64,19 @@ def compact_partitions(
     return len(copy.inputFiles())
 
 
-def _with_rank(df: DataFrame, value: Column, cuts: list[float], bits: int, name: str) -> DataFrame:
-    """Add the number of cuts at or below the value (NULL: 0), by halving.
+def _rank(value: Column, cuts: list[float], bits: int) -> Column:
+    """The number of cuts at or below the value (NULL: 0), by halving.
 
-    There are ``2**bits - 1`` ascending cuts. Each halving is a projection of its own: one nested
-    expression would outgrow what the JVM compiles.
+    There are ``2**bits - 1`` ascending cuts. The value is taken once, and the halvings are one small
+    expression: a projection for each would make a method that the JVM leaves uncompiled.
     """
     marks = F.array(*[F.lit(float(c)) for c in cuts])
-    df = df.withColumn(name, F.lit(0))
-    for bit in reversed(range(bits)):
-        step = 2**bit
-        df = df.withColumn(name, F.col(name) + F.when(value >= F.element_at(marks, F.col(name) + step), step).otherwise(0))
-    return df
+    steps = F.array(*[F.lit(2**bit) for bit in reversed(range(bits))])
+
+    def halved(v: Column) -> Column:
+        return F.aggregate(steps, F.lit(0), lambda at, step: at + F.when(v >= F.get(marks, at + step - 1), step).otherwise(0))
+
+    return F.get(F.transform(F.array(value), halved), 0)
 
 
 def order_key(value: Column, kind: T.DataType) -> Column:
@@ -92,19 +94,38 @@ def order_key(value: Column, kind: T.DataType) -> Column:
     return value.cast("double")
 
 
+def _hilbert_turns(width: int) -> list[int]:
+    """What ``width`` bits of two ranks give in each of four states: their digits on the curve, times four, and the next state.
+
+    A state is whether the square is turned (its axes swapped) and whether it is mirrored. The entry of
+    a state and two numbers ``a`` and ``b`` below ``2**width`` is at ``(state << 2 * width) + (a << width) + b``.
+    """
+    turns = []
+    for state, a, b in product(range(4), range(2**width), range(2**width)):
+        digits, (turned, mirrored) = 0, divmod(state, 2)
+        for bit in reversed(range(width)):
+            pair = (a >> bit & 1) ^ mirrored, (b >> bit & 1) ^ mirrored
+            right, up = pair[::-1] if turned else pair
+            digits = digits * 4 + (right * 3 ^ up)
+            # the lower half is turned, and mirrored on the right
+            if not up:
+                turned, mirrored = 1 - turned, mirrored ^ right
+        turns.append(digits * 4 + turned * 2 + mirrored)
+    return turns
+
+
 def _hilbert(df: DataFrame, names: list[str], bits: int, out: str) -> DataFrame:
-    """Add the place on a Hilbert curve of two ranks below ``2**bits``; each turn is a projection of its own."""
-    last = 2**bits - 1
-    x, y = (f"{out}_{n}" for n in "xy")
-    df = df.withColumns({x: F.col(names[0]).cast("bigint"), y: F.col(names[1]).cast("bigint"), out: F.lit(0).cast("bigint")})
-    for bit in reversed(range(bits)):
-        right, up = (F.shiftright(F.col(c), bit).bitwiseAND(F.lit(1)) for c in (x, y))
-        df = df.withColumns({f"{out}_r": right, f"{out}_u": up})
-        right, up = F.col(f"{out}_r"), F.col(f"{out}_u")
-        df = df.withColumn(out, F.col(out) + (right * 3).bitwiseXOR(up) * 4**bit)
-        # the lower half is turned: mirrored on the right, and its axes swapped
-        mirrored = [F.when(right == 1, last - F.col(c)).otherwise(F.col(c)) for c in (x, y)]
-        df = df.withColumns({x: F.when(up == 0, mirrored[1]).otherwise(F.col(x)), y: F.when(up == 0, mirrored[0]).otherwise(F.col(y))})
+    """Add the place on a Hilbert curve of two ranks below ``2**bits``, from the highest bits on, up to four at a time."""
+    turn = f"{out}_turn"
+    df = df.withColumns({turn: F.lit(0), out: F.lit(0).cast("bigint")})
+    left = bits
+    while left:
+        width = (left - 1) % 4 + 1
+        left -= width
+        a, b = (F.shiftright(F.col(c).cast("bigint"), left).bitwiseAND(F.lit(2**width - 1)) for c in names)
+        at = F.shiftleft(F.col(turn).bitwiseAND(F.lit(3)), 2 * width) + F.shiftleft(a, width) + b
+        df = df.withColumn(turn, F.get(F.expr(f"array({', '.join(map(str, _hilbert_turns(width)))})"), at.cast("int")))
+        df = df.withColumn(out, F.shiftleft(F.col(out), 2 * width) + F.shiftright(F.col(turn), 2))
     return df
 
 
@@ -137,8 +158,7 @@ def cluster_layout(df: DataFrame, cols: list[str], method: str = "range", files:
         steps = [i / 2**bits for i in range(1, 2**bits)]
         numbers = [order_key(F.col(c), df.schema[c].dataType) for c in cols]
         found = df.agg(*[F.percentile_approx(n, steps, 4 * 2**bits).alias(f"q{i}") for i, n in enumerate(numbers)]).first()
-        for i, (n, cuts) in enumerate(zip(numbers, found)):
-            df = _with_rank(df, n, cuts or [0.0] * len(steps), bits, f"__z{i}")
+        df = df.withColumns({f"__z{i}": _rank(n, cuts or [0.0] * len(steps), bits) for i, (n, cuts) in enumerate(zip(numbers, found))})
         if method == "zorder":
             df = df.withColumn("__z", _interleave([F.col(f"__z{i}") for i in range(len(cols))], bits))
         else:
@@ -238,7 +258,9 @@ def bucket_pair(
     to one salt for each ``hot_rows`` of them (``n`` at most); each row of ``other`` with that key is copied to all of them. Other
     keys have the salt 0. So inner joins, and outer ones that keep ``large``, give what they give on the keys alone; a
     reader of ``other`` by itself takes ``__salt = 0``. Both tables have the columns ``keys``; NULL is a key when dealt.
+    There are ``n`` buckets, or more where these would hold above ``FILE_ROWS`` rows of ``large`` each.
     """
+    n = parts_for(large.count(), n)
     counted = large.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
     share = counted.agg(F.sum("__n") / HOT_KEYS).scalar()
     hot = counted.filter((F.col("__n") > hot_rows) & (F.col("__n") > share))
@@ -251,5 +273,3 @@ def bucket_pair(
     copied = null_safe_join(other, hot, keys, "left").withColumn(SALT, F.explode(F.sequence(F.lit(0), salts - 1))).select(*other.columns, SALT)
     for i, df in enumerate((dealt, copied)):
         bucket_table(df, names[i], [*keys, SALT], n, paths[i] if paths else None)
-    There are ``n`` buckets, or more where these would hold above ``FILE_ROWS`` rows of ``large`` each.
-    n = parts_for(large.count(), n)

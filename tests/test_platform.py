@@ -372,6 +372,15 @@ def test_files_grow_with_the_rows(spark, line, tmp_path, monkeypatch):
     assert sum(sizes) == line.count() and len(sizes) > 20 and max(sizes) < 600
 
 
+def test_ranks_are_one_small_expression(spark, line):
+    """The value is taken once, and no chain of projections is left that would make a method too long for the JVM."""
+    cuts = [1.0, 3.0, 3.0, 5.0, 8.0, 9.0, 11.0]
+    df = spark.createDataFrame([(v,) for v in (None, 0.0, 1.0, 2.0, 3.0, 8.5, 11.0, 99.0, float("nan"))], "v double")
+    assert [r[0] for r in df.select(layout._rank(F.col("v"), cuts, 3)).collect()] == [0, 0, 1, 1, 3, 5, 7, 7, 7]
+    plan = layout.cluster_layout(line, ["l_shipdate", "l_returnflag"], "hilbert", files=4)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Project") < 10 and plan.count("conv(") == 1
+
+
 def test_share_usage_in_one_aggregate(spark):
     """A task holds each pair once: nothing is joined; NULL equals nothing, so it is found on both sides."""
     kind = "a int, b string"
