@@ -156,6 +156,13 @@ def links_by_midpoint(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     return found.filter(F.col("any") & (F.size("fps") > 1)).select(F.explode("fps").alias("fp"), "root")
 
 
+def labelled(distinct: DataFrame, list_max: int = LIST_MAX) -> DataFrame:
+    """``distinct``, one row a fingerprint in ``fp``, with the ``label`` of the component that its links give."""
+    pairs = write_through(links(distinct.select("fp"), list_max=list_max), "simhash-links")
+    labels = components(pairs, "fp", "root").select(F.col("item").alias("fp"), "label")
+    return distinct.join(labels, "fp", "left").withColumn("label", F.coalesce("label", "fp"))
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", list_max: int = LIST_MAX) -> DataFrame:
     """``key``, ``fp`` and ``component_id`` (the smallest key that can be reached over links) of every document.
 
@@ -164,9 +171,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", li
     """
     marked = write_through(fingerprints(docs, key, text), "simhash")
     distinct = write_through(marked.groupBy("fp").agg(F.min(key).alias("first")), "simhash-distinct")
-    pairs = write_through(links(distinct.select("fp"), list_max=list_max), "simhash-links")
-    labels = components(pairs, "fp", "root").select(F.col("item").alias("fp"), "label")
-    joined = distinct.join(labels, "fp", "left").withColumn("label", F.coalesce("label", "fp"))
+    joined = labelled(distinct, list_max)
     named = joined.groupBy("label").agg(F.min("first").alias("component_id"))
     by_fp = joined.select("fp", "label").join(named, "label").select("fp", "component_id")
     return marked.join(by_fp, "fp").select(key, "fp", "component_id")

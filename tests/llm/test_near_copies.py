@@ -6,6 +6,7 @@ import zstandard
 import corpus_pipeline
 from tests.llm.plain import awkward
 from terrace.llm import near_copies
+from terrace.llm.simhash import fingerprint
 
 
 def plain_shingles(text):
@@ -86,3 +87,21 @@ def test_blocks_meet_every_hub_of_a_list(spark, monkeypatch):
         monkeypatch.setattr(near_copies, "HUB_BLOCK", block)
         found = near_copies.verified(entries, hubs, spark.createDataFrame(packed, "id long, packed binary"), 4, 0.8)
         assert sorted(map(tuple, found.collect())) == want
+
+
+def test_fingerprints_link_without_a_common_band(spark, monkeypatch):
+    """The stage goes by SimHash links too: near copies at three bits meet by these alone, and unlike texts of one fingerprint stay."""
+    monkeypatch.setattr(near_copies, "band_hashes", lambda hashes: [int(hashes.sum() >> 1)] if len(hashes) else [])
+    draw = random.Random(11)
+    texts = []
+    for _ in range(30):
+        base = [f"w{draw.randrange(5000)}" for _ in range(300)]
+        copy = list(base)
+        copy[draw.randrange(300)] = "other"
+        texts += [" ".join(base), " ".join(copy)]
+    bits = [(fingerprint(texts[i].encode(), 5) ^ fingerprint(texts[i + 1].encode(), 5)).bit_count() for i in range(0, 60, 2)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = {r["doc_id"] for r in corpus_pipeline.without_near_duplicates(spark, docs, "").collect()}
+    assert kept == {i for i in range(60) if i % 2 == 0 or bits[i // 2] > 3} and len(kept) < 50
+    monkeypatch.setattr(near_copies, "fingerprint", lambda text, size: 5)
+    assert near_copies.keep_first(docs.filter("doc_id % 2 = 0")).count() == 30
