@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from terrace.functions.times import month_of
 from terrace.operators import cost
+from terrace.queries.inputs import usage
 from tests.helpers import bag, executed_plan, ts
 
 FEW = settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
@@ -141,3 +142,20 @@ def test_price_lists_are_not_broadcast(spark):
     assert bag(out, "id", "cost_cents") == {(1, 20): 1, (2, None): 1, (3, None): 1}
     plan = executed_plan(out)
     assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_customers_of_usage_are_not_broadcast(spark, tmp_path):
+    """Customers grow with the rows; keys that come twice or are missing join as in the SQL."""
+    tables = {
+        "lineitem": ([(1, 7, 2.0, D1), (1, 8, 1.0, D2), (2, 7, 3.0, D1), (3, 7, 1.0, D1), (None, 7, 1.0, D1)], "l_orderkey long, l_partkey long, l_quantity double, l_shipdate timestamp_ntz"),
+        "orders": ([(1, 10, "1-URGENT"), (2, 11, None), (2, 11, None), (3, None, "x"), (4, 10, "y")], "o_orderkey long, o_custkey long, o_orderpriority string"),
+        "customer": ([(10, 5), (10, 6), (11, 5), (12, None), (None, 5)], "c_custkey long, c_nationkey int"),
+        "nation": ([(5, 1), (6, 2)], "n_nationkey int, n_regionkey int"),
+    }
+    for name, (rows, columns) in tables.items():
+        spark.createDataFrame(rows, columns).write.parquet(f"{tmp_path}/{name}.parquet")
+    out = usage(spark, str(tmp_path))
+    first, second = (7, 2.0, D1, "1-URGENT", 10), (8, 1.0, D2, "1-URGENT", 10)
+    assert bag(out) == {(*first, 5, 1): 1, (*first, 6, 2): 1, (*second, 5, 1): 1, (*second, 6, 2): 1, (7, 3.0, D1, None, 11, 5, 1): 2}
+    joins = [line for line in executed_plan(out).splitlines() if "Join" in line and "o_custkey" in line]
+    assert joins and all("SortMergeJoin" in line for line in joins)
