@@ -51,6 +51,23 @@ def test_words_have_the_ids_of_the_text(tokenizer, texts):
     assert ids == [plain(tokenizer, t) for t in texts]
 
 
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.lists(st.text(alphabet="aBéÀß×÷.,!|'1 \u0301\u00a0ſKİ", max_size=30), max_size=4), min_size=1, max_size=4), st.sampled_from([0, 3, 600_000]))
+def test_words_of_several_slices(tokenizer, slices, kept_words):
+    ids = token_files.WordIds(tokenizer_path(), kept_words)
+    for _ in range(2):
+        got = ids.encode_parts([pa.array(texts, pa.string()) for texts in slices], END_ID)
+        assert [part.to_pylist() for part in got] == [[plain(tokenizer, t) for t in texts] for texts in slices]
+        assert len(ids.kept) <= kept_words
+
+
+def test_a_word_is_encoded_once_in_all_its_forms(tokenizer):
+    ids = token_files.WordIds(tokenizer_path())
+    texts = ["And and, AND. (and) and!", "and, Andes É é, 1."]
+    assert ids.encode(pa.array(texts), END_ID).to_pylist() == [plain(tokenizer, t) for t in texts]
+    assert sorted(map(str, ids.kept)) == sorted(["", "and", "andes", "É", "é", ",", ".", "!", "(and)", "1."])
+
+
 def test_awkward(spark, tokenizer, tmp_path):
     docs = awkward(spark)
     token_files.write_corpus(docs, str(tmp_path / "c"), tokenizer_path(), END_ID)
