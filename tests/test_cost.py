@@ -1,5 +1,6 @@
 """Prices, owners, allocation, budgets."""
 
+import duckdb
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -7,7 +8,9 @@ from pyspark.sql import functions as F
 
 from terrace.functions.times import month_of
 from terrace.operators import cost
+from terrace.queries import ORACLES, QUERIES
 from terrace.queries.inputs import usage
+from tests.compare import mismatch
 from tests.helpers import bag, executed_plan, ts
 
 FEW = settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
@@ -159,3 +162,25 @@ def test_customers_of_usage_are_not_broadcast(spark, tmp_path):
     assert bag(out) == {(*first, 5, 1): 1, (*first, 6, 2): 1, (*second, 5, 1): 1, (*second, 6, 2): 1, (7, 3.0, D1, None, 11, 5, 1): 2}
     joins = [line for line in executed_plan(out).splitlines() if "Join" in line and "o_custkey" in line]
     assert joins and all("SortMergeJoin" in line for line in joins)
+
+
+def test_rollup_has_the_cost_of_all_usage(spark, tmp_path):
+    """Items without an order, of an order without a customer and of a customer without a nation are in the totals."""
+    day, con = ts("1996-05-01T00:00:00"), duckdb.connect()
+    tables = {
+        "lineitem": ([(k, 7, 1.0, day) for k in (1, 2, 3, 4, 5, None)] + [(1, 9, 1.0, day)], "l_orderkey long, l_partkey long, l_quantity double, l_shipdate timestamp_ntz"),
+        "orders": ([(1, 10, "x"), (2, 11, "x"), (3, 99, "x"), (4, None, "x")], "o_orderkey long, o_custkey long, o_orderpriority string"),
+        "customer": ([(10, 5), (11, None)], "c_custkey long, c_nationkey int"),
+        "nation": ([(5, 1)], "n_nationkey int, n_regionkey int"),
+        "part": ([(7, 2.0)], "p_partkey long, p_retailprice double"),
+    }
+    for name, (rows, columns) in tables.items():
+        spark.createDataFrame(rows, columns).coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{tmp_path}/{name}.parquet/*.parquet')")
+    out = QUERIES["cost_rollup"](spark, str(tmp_path))
+    assert bag(out, "account", "workspace", "grouping_id", "cost_cents") == {
+        (1, 5, 0, 210): 1, (1, -1, 1, 210): 1, (-1, -1, 0, 1050): 1, (-1, -1, 1, 1050): 1, (-1, -1, 3, 1260): 1
+    }
+    assert mismatch(out, con, ORACLES["cost_rollup"]) is None
+    joins = [line for line in executed_plan(out).splitlines() if "Join" in line and "o_custkey" in line]
+    assert joins and all("SortMergeJoin" in line for line in joins)
