@@ -307,6 +307,16 @@ def test_splitting_tree_is_exact():
     assert set(tree.sum(axis=0)) <= {46, 47} and (tree == mixture.split_quotas(quotas, 7)).all()
 
 
+def test_pipeline_learns_from_every_labelled_document(spark):
+    """Labels in the rows that op8_language holds out are as good as any: no language of theirs, and no document, is lost."""
+    keys = [k for k in range(200) if remainder(k, 3) == 1][:30]
+    others = [k for k in range(200) if remainder(k, 3) != 1][:20]
+    rows = [(k, f"der Hund und die Katze liegen auf Matte {k}", "de") for k in keys] + [(k, f"die Katze und der Hund {k}", None) for k in others] + [(900, "12 34", None), (901, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = corpus_pipeline.known_language(spark, docs, "")
+    assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == sorted(keys + others)
+
+
 def test_pipeline(spark, sf):
     """Stage by stage: what goes and what stays, then the whole run."""
     docs = table(spark, sf, "documents")
